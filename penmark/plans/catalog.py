@@ -207,3 +207,209 @@ SELECT lang, source AS author FROM (SELECT DISTINCT lang FROM documents), (SELEC
 def q_grid_mesh(spark, d):
     docs = table(spark, d, "documents").select("lang", F.col("source").alias("author"))
     return M.grid_mesh(docs, x="lang", y="author")
+
+
+# ------------------------------------------------------------------ 2.5 terms
+
+from penmark.functions import lexicon  # noqa: E402
+from penmark.functions import text as T  # noqa: E402
+from penmark.operators import features as FE  # noqa: E402
+from penmark.operators import terms as TM  # noqa: E402
+
+_STOP = S.STOP
+
+
+def _top_sql(words_expr: str) -> str:
+    return f"""{_M},
+f AS (SELECT doc_id, {words_expr} AS w FROM m WHERE {_KEPT}),
+t AS (SELECT doc_id, unnest(w) AS term, generate_subscripts(w, 1) AS pos FROM f),
+c AS (SELECT doc_id, term, count(*) AS n, min(pos) AS fp FROM t GROUP BY doc_id, term),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, fp) AS rank FROM c)
+SELECT doc_id, rank::INTEGER AS rank, term, n::BIGINT AS n FROM r WHERE rank <= 10"""
+
+
+@query("top_terms", _top_sql("flatten(sw)"))
+def q_top_terms(spark, d):
+    return TM.top_terms(metrics(spark, d), 10)
+
+
+@query("top_terms_no_stop", _top_sql(f"list_filter(flatten(sw), lambda x: NOT list_contains({_STOP}, x))"))
+def q_top_terms_no_stop(spark, d):
+    return TM.top_terms_no_stop(metrics(spark, d), 10)
+
+
+@query("top_bigrams", f"""{_M},
+f AS (SELECT doc_id, list_filter(flatten(sw), lambda x: NOT list_contains({_STOP}, x)) AS w FROM m WHERE {_KEPT}),
+p AS (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM f WHERE len(w) > 1),
+c AS (SELECT doc_id, w[i] AS w1, w[i + 1] AS w2, count(*) AS n, min(i - 1) AS fp FROM p GROUP BY doc_id, w[i], w[i + 1]),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, fp) AS rank FROM c)
+SELECT doc_id, rank::INTEGER AS rank, w1, w2, n::BIGINT AS n FROM r WHERE rank <= 10""")
+def q_top_bigrams(spark, d):
+    return TM.top_bigrams(metrics(spark, d), 10)
+
+
+# Unsmoothed path: terms of the cleaned body (equal to the rebuilt token text).
+_TF_CLEAN = f"""tf AS (SELECT doc_id, term, count(*) AS tf FROM
+  (SELECT doc_id, unnest({S.terms(S.clean('text'))}) AS term FROM documents) GROUP BY doc_id, term)"""
+
+
+def clean_term_counts(spark, d):
+    docs = documents(spark, d).withColumn("text", T.clean_text("text"))
+    return FE.term_counts(docs)
+
+
+@query("count_vectors", f"WITH {_TF_CLEAN} SELECT doc_id, term, tf::BIGINT AS tf FROM tf")
+def q_count_vectors(spark, d):
+    return clean_term_counts(spark, d)
+
+
+@query("term_occurrences", f"WITH {_TF_CLEAN} SELECT term, sum(tf)::BIGINT AS occurrences FROM tf GROUP BY term")
+def q_term_occurrences(spark, d):
+    return TM.term_occurrences(clean_term_counts(spark, d))
+
+
+@query("matrix_shape", f"""WITH {_TF_CLEAN}
+SELECT (SELECT count(*) FROM documents)::BIGINT AS n_samples, count(DISTINCT term)::BIGINT AS n_features FROM tf""")
+def q_matrix_shape(spark, d):
+    return TM.matrix_shape(table(spark, d, "documents"), clean_term_counts(spark, d))
+
+
+@query("tfidf_unsmoothed", f"""WITH {_TF_CLEAN},
+n AS (SELECT count(*) AS n FROM documents),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w AS (SELECT doc_id, term, tf * (ln(n.n / df.df) + 1) AS w FROM tf JOIN df USING (term), n)
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
+def q_tfidf_unsmoothed(spark, d):
+    tf = clean_term_counts(spark, d)
+    n = table(spark, d, "documents").select(F.count(F.lit(1))).scalar()
+    idf = FE.document_frequency(tf, n, smooth=False)
+    return FE.tfidf(tf, idf).select("doc_id", "term", r6("weight").alias("weight"))
+
+
+# Classifier-sweep path: raw text terms, hash split (seed 42, 25 % test), idf on train.
+SWEEP_SEED, SWEEP_TEST = "42", 0.25
+_SPLIT = S.split_flag("text", SWEEP_SEED, SWEEP_TEST)
+_SWEEP = f"""d AS (SELECT doc_id, lang, text, {_SPLIT} AS is_test FROM documents),
+tr AS (SELECT doc_id, lang, text FROM d WHERE NOT is_test),
+te AS (SELECT doc_id, lang, text FROM d WHERE is_test),
+n AS (SELECT count(*) AS n FROM tr),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({S.terms('text')}) AS term FROM tr) GROUP BY doc_id, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+idf AS (SELECT term, ln((1 + n.n) / (1 + df)) + 1 AS idf FROM df, n WHERE df <= 0.5 * n.n),
+w0 AS (SELECT doc_id, term, (1 + ln(tf)) * idf AS w FROM tf JOIN idf USING (term)),
+w AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w0)"""
+
+
+def sweep_split(spark, d):
+    docs = documents(spark, d).select("doc_id", "lang", "text")
+    flag = FE.split_flag("text", SWEEP_SEED, SWEEP_TEST)
+    return docs.filter(~flag), docs.filter(flag)
+
+
+def sweep_tfidf(spark, d):
+    """(train weights, test weights, idf) of the sublinear, max_df=0.5 vectoriser."""
+    train, test = sweep_split(spark, d)
+    w_train, idf = FE.fit_tfidf(train, smooth=True, sublinear=True, max_df=0.5)
+    w_test = FE.transform_tfidf(test, idf, sublinear=True)
+    return train, test, w_train, w_test, idf
+
+
+@query("tfidf_sublinear", f"WITH {_SWEEP} SELECT doc_id, term, round(weight, 6) AS weight FROM w")
+def q_tfidf_sublinear(spark, d):
+    _, _, w, _, _ = sweep_tfidf(spark, d)
+    return w.select("doc_id", "term", r6("weight").alias("weight"))
+
+
+@query("transform_test", f"""WITH {_SWEEP},
+ttf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({S.terms('text')}) AS term FROM te) GROUP BY doc_id, term),
+tw0 AS (SELECT doc_id, term, (1 + ln(tf)) * idf AS w FROM ttf JOIN idf USING (term))
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM tw0""")
+def q_transform_test(spark, d):
+    _, _, _, wt, _ = sweep_tfidf(spark, d)
+    return wt.select("doc_id", "term", r6("weight").alias("weight"))
+
+
+_CHI2 = f"""{_SWEEP},
+sh AS (SELECT lang, count(*) / any_value(n.n) AS p FROM tr, n GROUP BY lang),
+o AS (SELECT term, lang, sum(weight) AS o FROM w JOIN tr USING (doc_id) GROUP BY term, lang),
+t AS (SELECT term, sum(o) AS t FROM o GROUP BY term),
+c AS (SELECT term, sum((o - p * t) * (o - p * t) / (p * t)) + any_value(t) * (1 - sum(p)) AS score
+      FROM o JOIN sh USING (lang) JOIN t USING (term) GROUP BY term),
+top AS (SELECT term, score FROM c ORDER BY score DESC, term LIMIT 50)"""
+
+
+def sweep_chi2(spark, d, k=50):
+    train, _, w, _, _ = sweep_tfidf(spark, d)
+    return FE.chi2_select(w, train.select("doc_id", "lang"), k)
+
+
+@query("chi2_select", f"WITH {_CHI2} SELECT term, round(score, 4) AS chi2 FROM top")
+def q_chi2_select(spark, d):
+    return sweep_chi2(spark, d).select("term", F.round("chi2", 4).alias("chi2"))
+
+
+@query("selected_names", f"""WITH {_CHI2}
+SELECT term, (row_number() OVER (ORDER BY term) - 1)::INTEGER AS position FROM top""")
+def q_selected_names(spark, d):
+    return FE.selected_names(sweep_chi2(spark, d))
+
+
+@query("hashed_vectors", f"""WITH tf AS (SELECT doc_id, term, count(*) AS tf FROM
+  (SELECT doc_id, unnest({S.terms('text')}) AS term FROM documents) GROUP BY doc_id, term),
+b AS (SELECT doc_id, (('0x' || substr(md5(term), 1, 8))::BIGINT % 65536) AS bucket, sum(tf)::DOUBLE AS w
+      FROM tf GROUP BY doc_id, bucket)
+SELECT doc_id, bucket, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM b""")
+def q_hashed_vectors(spark, d):
+    h = FE.hashed_vectors(documents(spark, d), 2 ** 16)
+    return h.select("doc_id", "bucket", r6("weight").alias("weight"))
+
+
+_TOK = f"""list_filter(list_transform({S.extract_all('text', T.WORD_OR_PUNCT)},
+   lambda t: trim(trim(trim(lower(t)), '_'), '*')),
+   lambda t: NOT list_contains({_STOP}, t) AND NOT regexp_matches(t, {S.lit(T.PUNCT_ONLY)}))"""
+
+
+def pipeline_tokens() :
+    return T.filter_tokens(T.normalize_tokens(T.wordpunct_tokens("text")))
+
+
+@query("tfidf_pretokenized", f"""WITH tf AS (SELECT doc_id, term, count(*) AS tf FROM
+  (SELECT doc_id, unnest({_TOK}) AS term FROM documents) GROUP BY doc_id, term),
+n AS (SELECT count(*) AS n FROM documents),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w AS (SELECT doc_id, term, tf * (ln((1 + n.n) / (1 + df.df)) + 1) AS w FROM tf JOIN df USING (term), n)
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
+def q_tfidf_pretokenized(spark, d):
+    docs = documents(spark, d)
+    tf = FE.term_counts(docs, tokens=pipeline_tokens())
+    n = docs.select(F.count(F.lit(1))).scalar()
+    return FE.tfidf(tf, FE.document_frequency(tf, n, smooth=True)).select(
+        "doc_id", "term", r6("weight").alias("weight"))
+
+
+@query("label_encode", """
+SELECT doc_id, lang, (dense_rank() OVER (ORDER BY lang) - 1)::INTEGER AS label_index FROM documents""")
+def q_label_encode(spark, d):
+    out, _ = FE.label_encode(table(spark, d, "documents").select("doc_id", "lang"))
+    return out
+
+
+@query("train_test_split", """
+SELECT doc_id, CASE WHEN md5('23' || text) < '40000000' THEN 'test' ELSE 'train' END AS split FROM documents""")
+def q_train_test_split(spark, d):
+    return FE.train_test_split(table(spark, d, "documents").select("doc_id", "text"),
+                               "text", "23", 0.25).select("doc_id", "split")
+
+
+@query("corpus_size", f"""
+SELECT CASE WHEN {_SPLIT} THEN 'test' ELSE 'train' END AS split, count(*)::BIGINT AS n_docs,
+       round(sum(strlen(text)) / 1e6, 6) AS size_mb, count(DISTINCT lang)::BIGINT AS n_categories
+FROM documents GROUP BY 1""")
+def q_corpus_size(spark, d):
+    docs = FE.train_test_split(table(spark, d, "documents"), "text", SWEEP_SEED, SWEEP_TEST)
+    out = TM.corpus_size(docs)
+    return out.select("split", "n_docs", r6("size_mb").alias("size_mb"), "n_categories")
+
+
+# The remaining sections register themselves on import.
+from penmark.plans import catalog_pages  # noqa: E402,F401
