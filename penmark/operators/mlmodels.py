@@ -107,7 +107,8 @@ def build_and_evaluate(df: DataFrame, classifier: Estimator | type = None, text_
     Returns (model, report DataFrame, {"eval_fit": s, "full_fit": s}).
     """
     from penmark.operators.evaluate import classification_report
-    classifier = classifier or OneVsRest(classifier=LinearSVC(regParam=1e-4, maxIter=50))
+    classifier = classifier or OneVsRest(classifier=LinearSVC(regParam=1e-4, maxIter=20), parallelism=4)
+    df = df.persist()
     train, test = hash_split(df, text_col, seed, test_size)
     t0 = time.time()
     model = text_pipeline(classifier, text_col, label_col, vocab_size).fit(train)
@@ -119,6 +120,7 @@ def build_and_evaluate(df: DataFrame, classifier: Estimator | type = None, text_
     t3 = time.time()
     if outpath:
         full.write().overwrite().save(outpath)
+    df.unpersist()
     return full, report, {"eval_fit": t1 - t0, "report": t2 - t1, "full_fit": t3 - t2}
 
 
@@ -242,11 +244,12 @@ def ridge_fit_predict(train: DataFrame, test: DataFrame, num_classes: int, alpha
 def l1_select_then_svc(train: DataFrame, test: DataFrame, threshold: float = 1e-5):
     """An L1 model picks the features; a linear SVM classifies on those only."""
     l1 = LogisticRegression(featuresCol="features", labelCol="label_idx", elasticNetParam=1.0,
-                            regParam=1e-3, maxIter=50).fit(train)
+                            regParam=1e-3, maxIter=20).fit(train)
     coef = l1.coefficientMatrix.toArray()
     keep = [int(j) for j in np.nonzero(np.abs(coef).max(axis=0) > threshold)[0]] or [0]
     slicer = VectorSlicer(inputCol="features", outputCol="selected", indices=keep)
-    svc = OneVsRest(classifier=LinearSVC(regParam=1e-4, maxIter=50), featuresCol="selected", labelCol="label_idx")
+    svc = OneVsRest(classifier=LinearSVC(regParam=1e-4, maxIter=20), featuresCol="selected", labelCol="label_idx",
+                    parallelism=4)
     model = svc.fit(slicer.transform(train))
     return model.transform(slicer.transform(test)), keep
 
@@ -265,12 +268,12 @@ def coefficients(model, vocabulary: list[str] | None = None) -> DataFrame:
 
 
 CLASSIFIERS: dict[str, Callable[[], Estimator]] = {
-    "linear_svc_l2": lambda: OneVsRest(classifier=LinearSVC(regParam=1e-4, maxIter=100, tol=1e-3)),
-    "logistic_l1": lambda: LogisticRegression(elasticNetParam=1.0, regParam=1e-4, maxIter=100, tol=1e-3),
-    "sgd_l2": lambda: OneVsRest(classifier=LinearSVC(regParam=1e-4, maxIter=50)),
-    "sgd_l1": lambda: LogisticRegression(elasticNetParam=1.0, regParam=1e-4, maxIter=50),
-    "sgd_elasticnet": lambda: LogisticRegression(elasticNetParam=0.15, regParam=1e-4, maxIter=50),
-    "random_forest": lambda: RandomForestClassifier(numTrees=100, seed=42),
+    "linear_svc_l2": lambda: OneVsRest(classifier=LinearSVC(regParam=1e-4, maxIter=20, tol=1e-3), parallelism=4),
+    "logistic_l1": lambda: LogisticRegression(elasticNetParam=1.0, regParam=1e-4, maxIter=30, tol=1e-3),
+    "sgd_l2": lambda: OneVsRest(classifier=LinearSVC(regParam=1e-4, maxIter=20), parallelism=4),
+    "sgd_l1": lambda: LogisticRegression(elasticNetParam=1.0, regParam=1e-4, maxIter=30),
+    "sgd_elasticnet": lambda: LogisticRegression(elasticNetParam=0.15, regParam=1e-4, maxIter=30),
+    "random_forest": lambda: RandomForestClassifier(numTrees=100, maxDepth=8, seed=42),
     "multinomial_nb": lambda: NaiveBayes(modelType="multinomial", smoothing=0.01),
     "bernoulli_nb": lambda: NaiveBayes(modelType="bernoulli", smoothing=0.01),
     "gaussian_nb": lambda: NaiveBayes(modelType="gaussian"),
@@ -282,7 +285,9 @@ def vectorise(train: DataFrame, test: DataFrame, text_col: str = "text", label_c
     """Fit the text stages and label index on train; return (train, test, fitted model)."""
     pipe = Pipeline(stages=[*text_vector_stages(text_col, vocab_size), label_stages(label_col)])
     model = pipe.fit(train)
-    return model.transform(train), model.transform(test), model
+    # Iterative trainers rescan their input; keep the vectors rather than re-tokenise.
+    keep = [c for c in train.columns if c != text_col] + ["label_idx", "features"]
+    return model.transform(train).select(*keep).persist(), model.transform(test).select(*keep).persist(), model
 
 
 def fit_time_score(name: str, est_factory, train: DataFrame, test: DataFrame) -> tuple:
@@ -311,6 +316,7 @@ def grid_search(df: DataFrame, feature_cols: list[str], label_col: str, max_dept
     spark = df.sparkSession
     data = VectorAssembler(inputCols=feature_cols, outputCol="features").transform(
         StringIndexer(inputCol=label_col, outputCol="label_idx", stringOrderType="alphabetAsc").fit(df).transform(df))
+    data = data.select("features", "label_idx").persist()
     dt = DecisionTreeClassifier(featuresCol="features", labelCol="label_idx", seed=seed)
     grid = ParamGridBuilder().addGrid(dt.maxDepth, list(max_depths)).addGrid(
         dt.minInstancesPerNode, list(min_instances)).build()
@@ -322,6 +328,7 @@ def grid_search(df: DataFrame, feature_cols: list[str], label_col: str, max_dept
         m = tvs.fit(data)
         for pm, score in zip(grid, m.validationMetrics):
             rows.append((pm[dt.maxDepth], pm[dt.minInstancesPerNode], s, float(score)))
+    data.unpersist()
     return spark.createDataFrame(rows, "max_depth int, min_instances int, split int, score double")
 
 

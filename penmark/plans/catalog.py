@@ -412,4 +412,4 @@ def q_corpus_size(spark, d):
 
 
 # The remaining sections register themselves on import.
-from penmark.plans import catalog_io, catalog_ml, catalog_models, catalog_pages  # noqa: E402,F401
+from penmark.plans import catalog_io, catalog_ml, catalog_models, catalog_pages, catalog_stream  # noqa: E402,F401

@@ -25,7 +25,7 @@ from penmark.plans.catalog_pages import _FILT, _NORM
 from penmark.session import shared_path
 from penmark.tables import table
 
-VOCAB = 1 << 16
+VOCAB = 1 << 12
 
 
 def sweep_vectors(spark, d):
@@ -49,7 +49,7 @@ def _fit_predict(spark, d, name):
 def metrics_split(spark, d):
     """Balanced per-author metrics, 25 % hash holdout (seed 23), as in the structural path."""
     m = metric_scalars(metrics(spark, d))
-    bal = M.balanced_sample(m, "doc_id", seed="0").drop("shuffle_key")
+    bal = M.balanced_sample(m, "doc_id", seed="0").drop("shuffle_key").persist()
     return bal.filter(~FE.split_flag("doc_id", "23", 0.25)), bal.filter(FE.split_flag("doc_id", "23", 0.25))
 
 
@@ -169,7 +169,7 @@ def q_build_and_evaluate(spark, d):
 
 @query("pluggable_classifier")
 def q_pluggable_classifier(spark, d):
-    clf = LogisticRegression(regParam=1e-3, maxIter=50)
+    clf = LogisticRegression(regParam=1e-3, maxIter=20)
     _, report, _ = ML.build_and_evaluate(documents(spark, d), clf, vocab_size=VOCAB)
     return report
 
@@ -216,7 +216,7 @@ def q_assemble_features(spark, d):
 def q_coef_density(spark, d):
     tr, _, vm = sweep_vectors(spark, d)
     lr = LogisticRegression(featuresCol="features", labelCol="label_idx", elasticNetParam=1.0,
-                            regParam=1e-3, maxIter=50).fit(tr)
+                            regParam=1e-3, maxIter=20).fit(tr)
     return EV.coef_density(ML.coefficients(lr))
 
 
