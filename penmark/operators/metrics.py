@@ -55,7 +55,11 @@ def article_metrics(articles: DataFrame, body_col: str = "body", clean: bool = T
     """
     body = T.clean_text(body_col, strict) if clean else F.col(body_col)
     df = articles.withColumn(body_col, body)
-    df = df.withColumn("sentences_words", T.tokenize_words(T.split_sentences(body_col)))
+    # The word arrays come out of a one-row ``inline`` (a Generate node): filters
+    # and projections above reference the materialised column instead of having
+    # the optimizer inline the tokenisation into every predicate that uses it.
+    words = T.tokenize_words(T.split_sentences(body_col)).alias("sentences_words")
+    df = df.select("*", F.inline(F.array(F.struct(words))))
     lens = T.sentence_lengths("sentences_words")
     df = df.withColumn("number_of_words_each_sentence", lens)
     n = F.size("number_of_words_each_sentence")
@@ -73,8 +77,9 @@ def article_metrics(articles: DataFrame, body_col: str = "body", clean: bool = T
 
 
 def drop_incomplete_rows(metrics: DataFrame) -> DataFrame:
-    """Drop rows with any null statistic (articles with no sentence)."""
-    return metrics.filter(F.col("total_number_of_sentences") > 0).dropna(subset=list(FEATURES))
+    """Drop rows with any null statistic: every statistic is null exactly when
+    the article has no sentence, so that one test is the whole null check."""
+    return metrics.filter(F.col("total_number_of_sentences") > 0)
 
 
 def feature_projection(metrics: DataFrame, label_col: str = "author") -> DataFrame:

@@ -19,8 +19,8 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        NaiveBayes, OneVsRest, RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import (IDF, CountVectorizer, IndexToString, Normalizer, StringIndexer,
-                                VectorSlicer)
+from pyspark.ml.feature import (IDF, Binarizer, CountVectorizer, IndexToString, Normalizer,
+                                StringIndexer, VectorSlicer)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.regression import LinearRegression
@@ -107,7 +107,8 @@ def build_and_evaluate(df: DataFrame, classifier: Estimator | type = None, text_
     Returns (model, report DataFrame, {"eval_fit": s, "full_fit": s}).
     """
     from penmark.operators.evaluate import classification_report
-    classifier = classifier or OneVsRest(classifier=LinearSVC(regParam=1e-4, maxIter=20), parallelism=4)
+    # Default linear model: one multinomial fit (an SVM needs one fit per class in MLlib).
+    classifier = classifier or LogisticRegression(regParam=1e-4, maxIter=20)
     df = df.persist()
     train, test = hash_split(df, text_col, seed, test_size)
     t0 = time.time()
@@ -275,7 +276,9 @@ CLASSIFIERS: dict[str, Callable[[], Estimator]] = {
     "sgd_elasticnet": lambda: LogisticRegression(elasticNetParam=0.15, regParam=1e-4, maxIter=30),
     "random_forest": lambda: RandomForestClassifier(numTrees=100, maxDepth=8, seed=42),
     "multinomial_nb": lambda: NaiveBayes(modelType="multinomial", smoothing=0.01),
-    "bernoulli_nb": lambda: NaiveBayes(modelType="bernoulli", smoothing=0.01),
+    "bernoulli_nb": lambda: Pipeline(stages=[
+        Binarizer(threshold=0.0, inputCol="features", outputCol="binary"),
+        NaiveBayes(modelType="bernoulli", smoothing=0.01, featuresCol="binary", labelCol="label_idx")]),
     "gaussian_nb": lambda: NaiveBayes(modelType="gaussian"),
 }
 
@@ -295,7 +298,8 @@ def fit_time_score(name: str, est_factory, train: DataFrame, test: DataFrame) ->
     ev = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction", metricName="accuracy")
     t0 = time.time()
     est = est_factory()
-    est.setParams(featuresCol="features", labelCol="label_idx")
+    if not isinstance(est, Pipeline):
+        est.setParams(featuresCol="features", labelCol="label_idx")
     model = est.fit(train)
     t1 = time.time()
     pred = model.transform(test)

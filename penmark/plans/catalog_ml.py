@@ -169,7 +169,7 @@ def q_build_and_evaluate(spark, d):
 
 @query("pluggable_classifier")
 def q_pluggable_classifier(spark, d):
-    clf = LogisticRegression(regParam=1e-3, maxIter=20)
+    clf = NaiveBayes(modelType="multinomial", smoothing=0.01)
     _, report, _ = ML.build_and_evaluate(documents(spark, d), clf, vocab_size=VOCAB)
     return report
 
