@@ -54,7 +54,10 @@ def document_frequency(tf: DataFrame, n_docs: Column, smooth: bool = True,
 
     ``max_df`` drops terms found in more than that share of the documents.
     """
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # Reading ``tf`` here (occurrences) keeps this branch's partial aggregate equal
+    # to the term-count branch, so Spark reuses that shuffle instead of tokenising
+    # the corpus a second time.
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("occurrences"))
     if max_df is not None:
         df = df.filter(F.col("df") <= F.lit(max_df) * n_docs)
     if smooth:
