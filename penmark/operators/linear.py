@@ -178,7 +178,8 @@ def nb_top_terms(cells: DataFrame, k: int = 10) -> DataFrame:
 
 def knn_predict(train: DataFrame, test: DataFrame, k: int = 10, id_col: str = "vec_id",
                 vec_col: str = "embedding", label_col: str = "label",
-                train_blocks: int = 4, test_blocks: int = 4) -> DataFrame:
+                train_blocks: int | None = None, test_blocks: int | None = None,
+                train_rows_per_block: int = 50_000, test_rows_per_block: int = 5_000) -> DataFrame:
     """Exact k nearest neighbours (Euclidean, ties by id) and majority vote.
 
     Block nested loop: train rows go to ``train_blocks`` blocks and test rows
@@ -187,7 +188,13 @@ def knn_predict(train: DataFrame, test: DataFrame, k: int = 10, id_col: str = "v
     its k best per test row. No pair is materialised as a row, no side is
     broadcast, and every task holds one block of each side.
     """
-    tb, qb = train_blocks, test_blocks
+    # Block counts follow the data so that one task holds at most about
+    # train_rows_per_block x test_rows_per_block distances.
+    tb = train_blocks or max(1, -(-train.count() // train_rows_per_block))
+    qb = test_blocks or max(1, -(-test.count() // test_rows_per_block))
+    par = train.sparkSession.sparkContext.defaultParallelism
+    if train_blocks is None and test_blocks is None and tb * qb < par:
+        qb = max(qb, -(-par // tb))
     tr = train.select(F.col(id_col).alias("t_id"), F.col(vec_col).alias("v"), F.col(label_col).alias("label"),
                       F.pmod(F.xxhash64(id_col), F.lit(tb)).alias("tb"),
                       F.explode(F.sequence(F.lit(0), F.lit(qb - 1))).alias("qb"))

@@ -234,7 +234,7 @@ def ridge_fit_predict(train: DataFrame, test: DataFrame, num_classes: int, alpha
         target = F.when(F.col("label_idx") == k, 1.0).otherwise(-1.0)
         lr = LinearRegression(featuresCol="features", labelCol="_t", predictionCol=f"_s{k}",
                               regParam=alpha / max(n, 1), elasticNetParam=0.0, standardization=False,
-                              solver="l-bfgs", maxIter=50, tol=1e-2)
+                              solver="l-bfgs", maxIter=20, tol=1e-2)
         model = lr.fit(train.withColumn("_t", target))
         scored = model.transform(scored)
         cols.append(f"_s{k}")

@@ -27,15 +27,15 @@ def derive_lexicon(tokens: DataFrame) -> DataFrame:
     """
     vocab = tokens.select("token").distinct()
     rules = [("n", "s", 1), ("v", "ed", 2), ("r", "ly", 2)]
-    parts = []
-    for cls, suffix, cut in rules:
-        cand = (vocab.filter(F.col("token").endswith(suffix) & (F.length("token") > cut + 1))
-                .select("token", F.lit(cls).alias("pos"),
-                        F.expr(f"substring(token, 1, length(token) - {cut})").alias("lemma")))
-        parts.append(cand.join(vocab.withColumnRenamed("token", "lemma"), "lemma", "left_semi"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    t = F.col("token")
+    cands = F.array(*[
+        F.when(t.endswith(suffix) & (F.length(t) > cut + 1),
+               F.struct(F.lit(cls).alias("pos"), F.expr(f"substring(token, 1, length(token) - {cut})").alias("lemma")))
+        for cls, suffix, cut in rules])
+    # All rules in one pass over the vocabulary, then one semi-join on the stem.
+    out = (vocab.select("token", F.explode(cands).alias("c")).filter(F.col("c").isNotNull())
+           .select("token", "c.pos", "c.lemma")
+           .join(vocab.withColumnRenamed("token", "lemma"), "lemma", "left_semi"))
     return out.select("token", "pos", "lemma")
 
 

@@ -17,13 +17,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from penmark.sources.files import ARTICLE, read_articles_jsonl
+from penmark.sources.files import ARTICLE, path_exists, read_articles_jsonl
+
+
+def _stored_urls(spark: SparkSession, store_dir: str, store_format: str) -> DataFrame:
+    if store_format == "json":
+        return read_articles_jsonl(spark, store_dir, ["url"])
+    if not path_exists(spark, store_dir):
+        return spark.createDataFrame([], "url string")
+    return spark.read.format(store_format).load(store_dir).select("url")
 
 
 def stream_ingest(spark: SparkSession, source_dir: str, store_dir: str, checkpoint_dir: str,
                   schema: StructType = ARTICLE, keyed_state: bool = False,
-                  available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start (and, with ``available_now``, run to completion) the ingest query."""
+                  available_now: bool = True, max_files_per_trigger: int | None = None,
+                  store_format: str = "json"):
+    """Start (and, with ``available_now``, run to completion) the ingest query.
+
+    ``store_format="json"`` keeps the JSON-lines article store; a columnar format
+    such as ``"parquet"`` makes the per-batch URL lookup read one column only,
+    which is the better choice once the store is large.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -32,9 +46,9 @@ def stream_ingest(spark: SparkSession, source_dir: str, store_dir: str, checkpoi
         stream = stream.dropDuplicates(["url"])
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        stored = read_articles_jsonl(batch.sparkSession, store_dir, ["url"])
+        stored = _stored_urls(batch.sparkSession, store_dir, store_format)
         fresh = batch.dropDuplicates(["url"]).join(stored, "url", "left_anti")
-        fresh.select("url", "author", "headline", "body").write.mode("append").json(store_dir)
+        fresh.select("url", "author", "headline", "body").write.mode("append").format(store_format).save(store_dir)
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
@@ -44,8 +58,10 @@ def stream_ingest(spark: SparkSession, source_dir: str, store_dir: str, checkpoi
     return query
 
 
-def stored_articles(spark: SparkSession, store_dir: str) -> DataFrame:
-    return read_articles_jsonl(spark, store_dir)
+def stored_articles(spark: SparkSession, store_dir: str, store_format: str = "json") -> DataFrame:
+    if store_format == "json":
+        return read_articles_jsonl(spark, store_dir)
+    return spark.read.format(store_format).load(store_dir)
 
 
 def url_counts(store: DataFrame) -> DataFrame:

@@ -98,3 +98,18 @@ def test_ingest_set_operations(spark):
                                 "author_url string, article_url string, page_id long, link_pos int")
     merged = {r["article_url"]: r["author_url"] for r in I.upsert_url_index(old, new).collect()}
     assert merged == {"u1": "x", "u3": "y"}
+
+
+def test_top_k_is_limited_before_the_shuffle(spark):
+    df = spark.createDataFrame([(1, [["a", "b"], ["a"]])], "doc_id long, sentences_words array<array<string>>")
+    plan = TM.top_terms(df, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_metrics_tokenise_once_per_article(spark):
+    """The word arrays sit behind a Generate node, so the drop filter does not
+    re-run the tokenisation inside its predicate."""
+    df = spark.createDataFrame([(1, "A b. C.", "x")], "doc_id long, body string, author string")
+    plan = M.article_metrics(df)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [ln for ln in plan.splitlines() if "Filter" in ln]
+    assert filters and not any("regexp_extract_all" in ln for ln in filters)
