@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -255,7 +256,9 @@ _TF_CLEAN = f"""tf AS (SELECT doc_id, term, count(*) AS tf FROM
 
 def clean_term_counts(spark, d):
     docs = documents(spark, d).withColumn("text", T.clean_text("text"))
-    return FE.term_counts(docs)
+    # Term counts feed both the weights and the document frequencies; caching
+    # them avoids tokenising the corpus once per branch (equal plans share one cache).
+    return FE.term_counts(docs).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 @query("count_vectors", f"WITH {_TF_CLEAN} SELECT doc_id, term, tf::BIGINT AS tf FROM tf")
@@ -310,7 +313,11 @@ def sweep_tfidf(spark, d):
     """(train weights, test weights, idf) of the sublinear, max_df=0.5 vectoriser."""
     train, test = sweep_split(spark, d)
     w_train, idf = FE.fit_tfidf(train, smooth=True, sublinear=True, max_df=0.5)
-    w_test = FE.transform_tfidf(test, idf, sublinear=True)
+    # The fitted tables are read by several branches (fit, scoring, selection):
+    # keep them instead of recomputing tokenisation, aggregation and norms each time.
+    idf = idf.persist(StorageLevel.MEMORY_AND_DISK)
+    w_train = w_train.persist(StorageLevel.MEMORY_AND_DISK)
+    w_test = FE.transform_tfidf(test, idf, sublinear=True).persist(StorageLevel.MEMORY_AND_DISK)
     return train, test, w_train, w_test, idf
 
 
