@@ -154,16 +154,20 @@ def sentence_length_histogram(metrics: DataFrame, bins: int = 50,
 
     Bins are half open except the last, which is closed. An author whose values
     are all equal gets the range (v - 0.5, v + 0.5). Only non-empty bins are kept.
-    Range per author is a partial aggregate joined back (no per-author window).
+    Sentence lengths are first counted per (author, length) with partial
+    aggregation; the per-author range is then a window over that small table,
+    so the corpus is read once and no window ever sees raw sentences.
     """
-    values = metrics.select(author_col, F.explode("number_of_words_each_sentence").alias("x"))
-    rng = (values.groupBy(author_col).agg(F.min("x").alias("lo0"), F.max("x").alias("hi0"))
-           .withColumn("lo", F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0").cast("double")))
-           .withColumn("hi", F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0").cast("double")))
-           .select(author_col, "lo", "hi"))
-    binned = values.join(rng, author_col).withColumn(
+    counts = (metrics.select(author_col, F.explode("number_of_words_each_sentence").alias("x"))
+              .groupBy(author_col, "x").agg(F.count(F.lit(1)).alias("c")))
+    w = Window.partitionBy(author_col)
+    lo0, hi0 = F.min("x").over(w), F.max("x").over(w)
+    ranged = (counts.withColumn("lo0", lo0).withColumn("hi0", hi0)
+              .withColumn("lo", F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0").cast("double")))
+              .withColumn("hi", F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0").cast("double"))))
+    binned = ranged.withColumn(
         "bin", F.least(F.lit(bins - 1), F.floor((F.col("x") - F.col("lo")) * bins / (F.col("hi") - F.col("lo")))).cast("int"))
-    out = binned.groupBy(author_col, "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
+    out = binned.groupBy(author_col, "bin", "lo", "hi").agg(F.sum("c").alias("n"))
     width = (F.col("hi") - F.col("lo")) / bins
     return out.select(author_col, "bin",
                       (F.col("lo") + F.col("bin") * width).alias("bin_lo"),

@@ -256,11 +256,16 @@ def l1_select_then_svc(train: DataFrame, test: DataFrame, threshold: float = 1e-
 
 
 def coefficients(model, vocabulary: list[str] | None = None) -> DataFrame:
-    """Linear coefficients as a long table (class, feature, weight)."""
+    """Non-zero linear coefficients as a long table (class, feature, weight).
+
+    The coefficient matrix already lives on the driver in the fitted model; only
+    its non-zero cells become rows.
+    """
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     mat = model.coefficientMatrix.toArray()
-    rows = [(str(k), int(j), float(mat[k, j])) for k in range(mat.shape[0]) for j in range(mat.shape[1])]
+    ks, js = np.nonzero(mat)
+    rows = [(str(int(k)), int(j), float(mat[k, j])) for k, j in zip(ks, js)]
     df = spark.createDataFrame(rows, "class string, feature long, weight double")
     if vocabulary is not None:
         voc = spark.createDataFrame(list(enumerate(vocabulary)), "feature long, term string")

@@ -217,7 +217,8 @@ def q_coef_density(spark, d):
     tr, _, vm = sweep_vectors(spark, d)
     lr = LogisticRegression(featuresCol="features", labelCol="label_idx", elasticNetParam=1.0,
                             regParam=1e-3, maxIter=20).fit(tr)
-    return EV.coef_density(ML.coefficients(lr))
+    classes = spark.range(lr.numClasses).select(F.col("id").cast("string").alias("class"))
+    return EV.coef_density(ML.coefficients(lr), lr.numFeatures, classes)
 
 
 @query("classifier_leaderboard")
