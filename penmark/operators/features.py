@@ -126,7 +126,8 @@ def chi2_scores(weights: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     obs = (weights.join(labels.select(id_col, label_col), id_col)
            .groupBy("term", label_col).agg(F.sum("weight").alias("o")))
     total = obs.groupBy("term").agg(F.sum("o").alias("t"))
-    cells = obs.join(F.broadcast(shares), label_col).join(total, "term")
+    # One row per class: AQE broadcasts it when its measured size is small.
+    cells = obs.join(shares, label_col).join(total, "term")
     e = F.col("p") * F.col("t")
     return cells.groupBy("term").agg(
         (F.sum((F.col("o") - e) * (F.col("o") - e) / e) + F.first("t") * (1 - F.sum("p"))).alias("chi2"))
