@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from penmark.functions import text as T
-from penmark.operators.skew import smallest_k_per_group, top_k_per_group
+from penmark.operators.skew import smallest_k_per_group
 
 FEATURES = (
     "total_number_of_sentences",

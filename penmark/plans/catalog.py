@@ -212,7 +212,6 @@ def q_grid_mesh(spark, d):
 
 # ------------------------------------------------------------------ 2.5 terms
 
-from penmark.functions import lexicon  # noqa: E402
 from penmark.functions import text as T  # noqa: E402
 from penmark.operators import features as FE  # noqa: E402
 from penmark.operators import terms as TM  # noqa: E402
@@ -376,7 +375,7 @@ _TOK = f"""list_filter(list_transform({S.extract_all('text', T.WORD_OR_PUNCT)},
    lambda t: NOT list_contains({_STOP}, t) AND NOT regexp_matches(t, {S.lit(T.PUNCT_ONLY)}))"""
 
 
-def pipeline_tokens() :
+def pipeline_tokens():
     return T.filter_tokens(T.normalize_tokens(T.wordpunct_tokens("text")))
 
 

@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
-from penmark.functions import text as T
 from penmark.operators import ingest as I
-from penmark.operators import metrics as M
 from penmark.plans import sqlfrag as S
 from penmark.plans.catalog import _KEPT, _M, _MCOLS, articles, metric_scalars, metrics, query
 from penmark.plans.catalog_pages import _PAIRS, all_pairs, pages

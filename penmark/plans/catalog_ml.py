@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 from penmark.functions import text as T
 from penmark.operators import evaluate as EV
 from penmark.operators import features as FE
-from penmark.operators import linear as L
 from penmark.operators import metrics as M
 from penmark.operators import mlmodels as ML
 from penmark.plans import sqlfrag as S
-from penmark.plans.catalog import documents, metric_scalars, metrics, query, r6, sweep_split
-from penmark.plans.catalog_pages import _FILT, _NORM
+from penmark.plans.catalog import documents, metric_scalars, metrics, query, sweep_split
+from penmark.plans.catalog_pages import _FILT
 from penmark.session import shared_path
 from penmark.tables import table
 

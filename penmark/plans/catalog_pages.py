@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from penmark.functions import text as T
 from penmark.operators import ingest as I
-from penmark.operators import metrics as M
 from penmark.operators import pages as P
 from penmark.operators import tokens as TK
 from penmark.plans import sqlfrag as S

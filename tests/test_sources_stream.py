@@ -10,10 +10,10 @@ from penmark.streaming.ingest import stream_ingest, stored_articles
 
 def test_author_list(spark, tmp_path):
     p = tmp_path / "authors.txt"
-    p.write_text("https://medium.com/@a\nhttps://medium.com/@b\n\nhttps://medium.com//@c\nhttps://medium.com/@a")
+    p.write_text("https://blog.example.com/@a\nhttps://blog.example.com/@b\n\nhttps://blog.example.com//@c\nhttps://blog.example.com/@a")
     df = IO.read_author_list(spark, str(p))
     rows = [(r["author_url"], r["handle"]) for r in df.collect()]
-    assert ("https://medium.com/@b", "@b") in rows and ("https://medium.com//@c", "@c") in rows
+    assert ("https://blog.example.com/@b", "@b") in rows and ("https://blog.example.com//@c", "@c") in rows
     assert len(rows) == 4 and all(u for u, _ in rows)
 
 
