@@ -47,3 +47,13 @@ def test_stream_ingest_exactly_once(spark, tmp_path):
     stream_ingest(spark, src, store, ckpt)
     got = stored_articles(spark, store).groupBy("url").count().collect()
     assert len(got) == 10 and all(r["count"] == 1 for r in got)
+
+
+def test_stream_ingest_columnar_store(spark, tmp_path):
+    src, store, ckpt = (str(tmp_path / x) for x in ("in", "store", "ckpt"))
+    arts = spark.createDataFrame([(f"u{i % 6}", "a", "h", "b") for i in range(12)],
+                                 "url string, author string, headline string, body string")
+    arts.write.mode("append").json(src)
+    stream_ingest(spark, src, store, ckpt, store_format="parquet", keyed_state=True)
+    got = stored_articles(spark, store, "parquet").groupBy("url").count().collect()
+    assert len(got) == 6 and all(r["count"] == 1 for r in got)
