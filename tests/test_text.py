@@ -88,3 +88,17 @@ def test_message_noise(spark):
     msg = "From: a\nSubject: b\n\nHello there\n> quoted line\nAll good\n--\nsig"
     assert one(spark, T.strip_message_noise("s"), msg) == "Hello there\nAll good"
     assert one(spark, T.strip_header("s"), "no blank line") == ""
+
+
+def test_urls_and_author_pairs(spark):
+    from penmark.operators import pages as P
+    assert one(spark, T.url_host("s"), "https://blog.example.com:8080/en/1?x=2") == "blog.example.com"
+    df = spark.createDataFrame([("/a", "http://h.example.org/en/5"), ("https://x.example/b", "http://h.example.org/")],
+                               "href string, url string")
+    got = [r["u"] for r in df.select(T.absolute_url("href", "url").alias("u")).collect()]
+    assert got == ["http://h.example.org/a", "https://x.example/b"]
+    pages = spark.createDataFrame([(1, "http://h.example.org/en/5", '<a href="/a">A</a><a href="/b">B</a>')],
+                                  "page_id long, url string, html string")
+    authors = spark.createDataFrame([("https://h.example.org/",)], "author_url string")
+    pairs = [(r["link_pos"], r["article_url"]) for r in P.author_article_pairs(authors, pages).orderBy("link_pos").collect()]
+    assert pairs == [(0, "http://h.example.org/a"), (1, "http://h.example.org/b")]
