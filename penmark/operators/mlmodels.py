@@ -145,6 +145,10 @@ def predict_new(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ linear rules by parameter mixing
 
+# The averaged weights are broadcast every pass: classes x features must stay bounded.
+MAX_MODEL_CELLS = 50_000_000
+
+
 def _sparse_rows(pdf: pd.DataFrame, col: str):
     for v in pdf[col]:
         if v is None:
@@ -165,6 +169,10 @@ def mixing_fit(df: DataFrame, num_classes: int, num_features: int, epochs: int =
     hinge loss, aggressiveness ``c``). The last column is the bias.
     """
     spark = df.sparkSession
+    cells = num_classes * (num_features + 1)
+    if cells > MAX_MODEL_CELLS:
+        raise ValueError(f"weight matrix of {cells} cells exceeds the broadcast bound {MAX_MODEL_CELLS}; "
+                         "cap the vocabulary (vocab_size) or select features first")
     data = df.select(features_col, F.col(label_col).cast("int").alias("y")).persist()
     w = np.zeros((num_classes, num_features + 1))
     for _ in range(epochs):
