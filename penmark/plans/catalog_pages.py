@@ -57,6 +57,9 @@ def q_first_heading(spark, d):
     return pages(spark, d).select("page_id", T.first_heading("html").alias("headline"))
 
 
+# Binding: a page has no "N articles" label, so the first integer of its URL
+# stands in for the declared count; an author's declared count is the largest
+# over its pages, and its collected count is the distinct article links found.
 _DECL = "TRY_CAST(nullif(regexp_extract(url, '([0-9]+)', 1), '') AS INTEGER)"
 
 
