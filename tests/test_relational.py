@@ -113,3 +113,11 @@ def test_metrics_tokenise_once_per_article(spark):
     plan = M.article_metrics(df)._jdf.queryExecution().optimizedPlan().toString()
     filters = [ln for ln in plan.splitlines() if "Filter" in ln]
     assert filters and not any("regexp_extract_all" in ln for ln in filters)
+
+
+def test_spread_only_when_under_parallel(spark):
+    from penmark.session import spread
+    few = spark.range(100).coalesce(1)
+    assert spread(few, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(16)
+    assert spread(many, 4) is many
