@@ -195,12 +195,16 @@ def knn_predict(train: DataFrame, test: DataFrame, k: int = 10, id_col: str = "v
     par = train.sparkSession.sparkContext.defaultParallelism
     if train_blocks is None and test_blocks is None and tb * qb < par:
         qb = max(qb, -(-par // tb))
-    tr = train.select(F.col(id_col).alias("t_id"), F.col(vec_col).alias("v"), F.col(label_col).alias("label"),
-                      F.pmod(F.xxhash64(id_col), F.lit(tb)).alias("tb"),
-                      F.explode(F.sequence(F.lit(0), F.lit(qb - 1))).alias("qb"))
-    te = test.select(F.col(id_col).alias("q_id"), F.col(vec_col).alias("v"),
-                     F.pmod(F.xxhash64(id_col), F.lit(qb)).alias("qb"),
-                     F.explode(F.sequence(F.lit(0), F.lit(tb - 1))).alias("tb"))
+    # Block keys are ints on both sides: the cogroup matches groups by key value
+    # and type, and a long on one side would never meet an int on the other.
+    tr = (train.select(F.col(id_col).alias("t_id"), F.col(vec_col).alias("v"), F.col(label_col).alias("label"),
+                       F.pmod(F.xxhash64(id_col), F.lit(tb)).cast("int").alias("tb"),
+                       F.explode(F.sequence(F.lit(0), F.lit(qb - 1))).alias("qb"))
+          .withColumn("qb", F.col("qb").cast("int")))
+    te = (test.select(F.col(id_col).alias("q_id"), F.col(vec_col).alias("v"),
+                      F.pmod(F.xxhash64(id_col), F.lit(qb)).cast("int").alias("qb"),
+                      F.explode(F.sequence(F.lit(0), F.lit(tb - 1))).alias("tb"))
+          .withColumn("tb", F.col("tb").cast("int")))
 
     def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:

@@ -90,3 +90,16 @@ def test_pipeline_save_load_same_predictions(spark, tmp_path):
     a = [r["predicted"] for r in ML.predict_new(model, docs).orderBy("doc_id").collect()]
     b = [r["predicted"] for r in ML.predict_new(again, docs).orderBy("doc_id").collect()]
     assert a == b == ["A", "A", "A", "B", "B", "B"]
+
+
+@pytest.mark.parametrize("blocks", [(1, 5), (3, 2), (None, None)])
+def test_knn_every_query_answered_for_any_blocking(spark, blocks):
+    """Uneven block counts once lost whole query blocks (key types differed
+    between the cogroup sides); every test row must get a prediction."""
+    train = spark.createDataFrame([(i, [float(i % 17), float(i % 5)], i % 3) for i in range(60)],
+                                  "vec_id long, embedding array<float>, label int")
+    test = spark.createDataFrame([(1000 + i, [float(i % 13), float(i % 4)], 0) for i in range(40)],
+                                 "vec_id long, embedding array<float>, label int")
+    tb, qb = blocks
+    out = L.knn_predict(train, test, k=5, train_blocks=tb, test_blocks=qb)
+    assert out.count() == 40
