@@ -45,6 +45,20 @@ def ascii_lower(text: Column) -> Column:
 
 
 
+def fixed(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add columns behind a one-row ``inline``, so that each is computed once per row.
+
+    A plain projection may be merged into its consumer; inside a lambda that would
+    recompute the expression for every element.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
+def text_key(text: Column) -> list[Column]:
+    """Two 64-bit hashes that stand for a whole text (null counts as empty)."""
+    t = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(t).alias("__k1"), F.xxhash64(F.lit(1), t).alias("__k2")]
+
 
 def docs_table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

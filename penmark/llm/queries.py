@@ -56,3 +56,39 @@ FROM b"""
 def op8_quality_rules(spark, d):
     from penmark.llm.quality_cascade import quality_cascade
     return quality_cascade(docs_table(spark, d))
+
+
+_UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_BL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_OP3_SQL = f"""
+WITH l AS (SELECT doc_id, p, ls[p] AS line, translate(trim(ls[p], {_BL}), '{_UP}', '{_LOW}') AS k
+           FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS p
+                 FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
+f AS (SELECT k FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(f.k)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE f.k IS NULL), '')) AS kept_sha256
+FROM l LEFT JOIN f ON l.k = f.k GROUP BY doc_id"""
+
+
+@query("op3_line_dedup", _OP3_SQL)
+def op3_line_dedup(spark, d):
+    from pyspark.sql import functions as F
+
+    from penmark.llm.line_dedup import line_dedup
+    out = line_dedup(docs_table(spark, d))
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_source_mixing")
+def op5_source_mixing(spark, d):
+    from penmark.llm.source_mixing import mix_sources
+    return mix_sources(docs_table(spark, d))
+
+
+@query("op7_simhash_near_dedup")
+def op7_simhash_near_dedup(spark, d):
+    from pyspark.sql import functions as F
+
+    from penmark.llm.simhash_pivots import simhash_groups
+    out = simhash_groups(docs_table(spark, d))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
