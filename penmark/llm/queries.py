@@ -92,3 +92,16 @@ def op7_simhash_near_dedup(spark, d):
     from penmark.llm.simhash_pivots import simhash_groups
     out = simhash_groups(docs_table(spark, d))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op9_bpe_round_trip")
+def op9_bpe_round_trip(spark, d):
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from penmark.llm.bpe_speculative import decode_documents, encode_documents
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    out = decode_documents(encode_documents(docs_table(spark, d).select("doc_id", "text"), path).drop("text"), path)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
