@@ -8,6 +8,7 @@ hub. Nothing is gathered per node or on the driver but two numbers a round.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,3 +59,30 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
     roots = e.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+class Forest:
+    """Spanning links within one task: remembers which rows are connected already."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+        self.links = [np.empty((0, 2), np.int64)]
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which of the pairs (a, b) are not connected yet."""
+        return self.root[a] != self.root[b]
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Connect the pairs; keeps those that were apart before the call."""
+        new = self.apart(a, b)
+        a, b = a[new], b[new]
+        if not len(a):
+            return
+        x, y = self.root[a], self.root[b]
+        _, first = np.unique(np.minimum(x, y) * len(self.root) + np.maximum(x, y), return_index=True)
+        self.links.append(np.stack([a[first], b[first]], axis=1))
+        while (x != y).any():   # hook the larger root on the smaller, then point every row at its root again
+            np.minimum.at(self.root, np.maximum(x, y), np.minimum(x, y))
+            while (self.root[self.root] != self.root).any():
+                self.root = self.root[self.root]
+            x, y = self.root[x], self.root[y]

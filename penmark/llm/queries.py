@@ -105,3 +105,21 @@ def op9_bpe_round_trip(spark, d):
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+_OP10_SQL = """
+WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+    AND len(list_filter(embedding, lambda v: v <> 0)) > 0),
+n AS (SELECT vec_id, x, sqrt(list_dot_product(x, x)) AS s FROM e),
+l AS (SELECT a.vec_id AS u, b.vec_id AS v FROM n a JOIN n b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE CASE WHEN len(a.x) = len(b.x) THEN list_dot_product(a.x, b.x) / (a.s * b.s) END >= 0.9),
+r AS (SELECT vec_id AS u, vec_id AS v FROM embeddings UNION SELECT r.u, l.v FROM r JOIN l ON r.v = l.u)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.u = vec_id)::BIGINT AS n_links, least AS component_id, vec_id = least AS kept
+FROM embeddings JOIN (SELECT u, min(v) AS least FROM r GROUP BY u) m ON m.u = vec_id"""
+
+
+@query("op10_embedding_near_dedup", _OP10_SQL)
+def op10_embedding_near_dedup(spark, d):
+    from penmark.llm.embedding_tiles import embedding_links
+    return embedding_links(docs_table(spark, d, "embeddings"))

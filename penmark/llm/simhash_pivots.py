@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from penmark.llm.common import materialise
-from penmark.llm.components import components
+from penmark.llm.components import Forest, components
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -125,24 +125,17 @@ def spanning_links(bucket: np.ndarray, fp: np.ndarray, table: np.ndarray, max_bi
     order = np.lexsort((table[:, 0], bucket))
     bucket, fp, table = bucket[order], fp[order], table[order].astype(np.int16)
     first, n = table[:, 0], len(fp)
-    root = np.arange(n)
-    i, step, out = np.arange(n), 0, [np.empty((0, 2), np.int64)]
+    forest = Forest(n)
+    i, step = np.arange(n), 0
     while len(i):
         step += 1
         i = i[i + step < n]
         i = i[(bucket[i + step] == bucket[i]) & (first[i + step] - first[i] <= max_bits)]
-        a = i[root[i] != root[i + step]]
+        a = i[forest.apart(i, i + step)]
         a = a[np.abs(table[a + step] - table[a]).max(axis=1, initial=0) <= max_bits]
         a = a[np.bitwise_count(fp[a + step] ^ fp[a]) <= max_bits]
-        if len(a):
-            out.append(np.stack([order[a], order[a + step]], axis=1))
-            x, y = root[a], root[a + step]
-            while (x != y).any():   # merge the trees, then point every row at its root again
-                np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
-                while (root[root] != root).any():
-                    root = root[root]
-                x, y = root[x], root[y]
-    pairs = np.concatenate(out)
+        forest.add(a, a + step)
+    pairs = order[np.concatenate(forest.links)]
     return pairs[:, 0], pairs[:, 1]
 
 
