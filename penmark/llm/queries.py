@@ -123,3 +123,25 @@ FROM embeddings JOIN (SELECT u, min(v) AS least FROM r GROUP BY u) m ON m.u = ve
 def op10_embedding_near_dedup(spark, d):
     from penmark.llm.embedding_tiles import embedding_links
     return embedding_links(docs_table(spark, d, "embeddings"))
+
+
+_OP1_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 34), ' ')) AS k
+        FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35)),
+hit AS (SELECT doc_id, i FROM win WHERE k IN (SELECT k FROM win GROUP BY k HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 34)) AS p FROM hit),
+word AS (SELECT doc_id, p, w[p] AS x FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS p FROM d)),
+kept AS (SELECT word.doc_id, count(gone.p) AS n_removed, string_agg(x, ' ' ORDER BY word.p) FILTER (WHERE gone.p IS NULL) AS t
+         FROM word LEFT JOIN gone USING (doc_id, p) GROUP BY word.doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op1_substring_dedup", _OP1_SQL)
+def op1_substring_dedup(spark, d):
+    from pyspark.sql import functions as F
+
+    from penmark.llm.substring_dedup import substring_dedup
+    out = substring_dedup(docs_table(spark, d).select("doc_id", "text"))
+    return out.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
