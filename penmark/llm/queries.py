@@ -145,3 +145,13 @@ def op1_substring_dedup(spark, d):
     from penmark.llm.substring_dedup import substring_dedup
     out = substring_dedup(docs_table(spark, d).select("doc_id", "text"))
     return out.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_language_id")
+def op4_language_id(spark, d):
+    from pyspark.sql import functions as F
+
+    from penmark.llm.language_id import held_out, identify, train
+    docs = docs_table(spark, d)
+    model = train(docs.select("doc_id", "lang", "text").filter(~held_out(F.col("doc_id"))))
+    return identify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
