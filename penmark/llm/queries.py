@@ -155,3 +155,11 @@ def op4_language_id(spark, d):
     docs = docs_table(spark, d)
     model = train(docs.select("doc_id", "lang", "text").filter(~held_out(F.col("doc_id"))))
     return identify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_html_extraction")
+def op2_html_extraction(spark, d):
+    from pyspark.sql import functions as F
+
+    from penmark.llm.html_extract import extract_pages
+    return extract_pages(docs_table(spark, d, "pages")).withColumn("n_chars", F.length("text").cast("long"))
