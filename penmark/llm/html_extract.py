@@ -274,8 +274,8 @@ def article_nodes(root: Node) -> set[int]:
         node = node.parent
         path.append(node)
     threshold = min(x.density for x in path)
-    # the article, and the headlines before it
-    chosen = {id(best)} | {id(x) for x in order[:order.index(best)] if x.tag == "h1"}
+    # the article, and main headlines wherever they stand
+    chosen = {id(best)} | {id(x) for x in order if x.tag == "h1"}
     for around in path[1:]:
         on_path = {id(x) for x in path}
         chosen.update(id(p) for p in around.parts if isinstance(p, Node) and id(p) not in on_path
