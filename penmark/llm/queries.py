@@ -163,3 +163,47 @@ def op2_html_extraction(spark, d):
 
     from penmark.llm.html_extract import extract_pages
     return extract_pages(docs_table(spark, d, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def _canon(url: str) -> str:
+    """canonical_url in DuckDB's SQL."""
+    u = f"regexp_replace(regexp_replace(trim({url}), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '')"
+    host = f"regexp_replace(regexp_replace(lower(regexp_extract({u}, '^([^/?]*)', 1)), '^www[.]', ''), ':(80|443)$', '')"
+    path = f"regexp_replace(regexp_extract({u}, '^[^/?]*([^?]*)', 1), '/+$', '')"
+    params = (f"list_sort(list_filter(string_split(regexp_extract({u}, '[?](.*)$', 1), '&'), lambda p: p <> '' AND NOT "
+              "regexp_matches(lower(p), '^(utm_[a-z]+|gclid|fbclid|sessionid|phpsessid)=')))")
+    return f"{host} || {path} || CASE WHEN len({params}) > 0 THEN '?' || array_to_string({params}, '&') ELSE '' END"
+
+
+_OP6_SQL = f"""
+WITH p AS (SELECT page_id, {_canon('url')} AS url, '"' || md5(html) || '"' AS tag, 'day ' || (page_id % 28) AS day, strlen(html)::BIGINT AS n, md5(html) AS digest FROM pages),
+resp AS (
+  SELECT page_id * 10 AS id, url, page_id AS t, CASE WHEN page_id % 5 <> 0 THEN tag END AS etag, CASE WHEN page_id % 3 <> 0 THEN day END AS modified,
+    'max-age=60' AS cache, 'text/html' AS kind, 'first' AS stamp, n, digest FROM p
+  UNION ALL SELECT page_id * 10 + 4, url, page_id + 1000, '"new"', NULL, NULL, NULL, 'renewed', n, digest FROM p WHERE page_id % 17 = 0),
+rev AS (
+  SELECT page_id * 10 + 1 AS id, url, page_id + 1440 AS t, CASE WHEN page_id % 7 = 0 THEN '"changed"' ELSE tag END AS etag,
+    CASE WHEN page_id % 7 = 0 THEN '"changed"' ELSE 'W/' || tag END AS raw, day AS modified, 'never' AS expires FROM p
+  UNION ALL SELECT page_id * 10 + 2, url, page_id - 1, NULL, NULL, NULL, NULL FROM p WHERE page_id % 11 = 0
+  UNION ALL SELECT page_id * 10 + 3, url, page_id + 2000, NULL, NULL, NULL, NULL FROM p WHERE page_id % 13 = 0),
+j AS (SELECT rev.*, b.id AS bid, b.etag AS betag, b.modified AS bmod, b.cache, b.kind, b.n, b.digest,
+        row_number() OVER (PARTITION BY rev.id ORDER BY b.t DESC, b.id DESC) AS k
+      FROM rev LEFT JOIN resp b ON b.url = rev.url AND b.t < rev.t),
+s AS (SELECT *, CASE WHEN bid IS NULL THEN 'no_response'
+        WHEN etag IS NOT NULL AND betag IS NOT NULL THEN CASE WHEN etag = betag THEN 'resolved' ELSE 'mismatch' END
+        WHEN modified IS NOT NULL AND bmod IS NOT NULL THEN CASE WHEN modified = bmod THEN 'resolved' ELSE 'mismatch' END
+        ELSE 'unverified' END AS status FROM j WHERE k = 1)
+SELECT id AS record_id, url, status, CASE WHEN status = 'resolved' THEN bid END AS base_id,
+  CASE WHEN status = 'resolved' THEN array_to_string(list_filter([
+    'cache-control: ' || cache, 'content-type: ' || kind, 'date: second', 'etag: ' || raw, 'expires: ' || expires, 'last-modified: ' || modified],
+    lambda x: x IS NOT NULL), chr(10)) END AS headers,
+  CASE WHEN status = 'resolved' THEN n END AS length, CASE WHEN status = 'resolved' THEN digest END AS digest
+FROM s"""
+
+
+@query("op6_warc_revisits", _OP6_SQL)
+def op6_warc_revisits(spark, d):
+    from penmark.llm.warc_revisit import header_block, records_of_pages, resolve_revisits
+    from pyspark.sql import functions as F
+    out = resolve_revisits(records_of_pages(docs_table(spark, d, "pages")))
+    return out.withColumn("headers", header_block(F.col("headers")))

@@ -165,27 +165,33 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, parts: int = PARTS, chu
     return rows.groupBy("g").applyInPandas(link, "u long, v long")
 
 
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(id, fp, component_id) for every row of ``docs``; component_id is the smallest id reachable."""
-    rows = materialise(fingerprints(docs, id_col, size), "simhash-rows")
+def _groups(rows: DataFrame, id_col: str, max_bits: int) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint of ``rows`` (id, fp)."""
     distinct = materialise(rows.groupBy("fp").agg(F.min(id_col).alias("least")), "simhash-distinct")
     roots = components(near_links(distinct, max_bits)).withColumnRenamed("node", "fp")
-    member = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    member = materialise(member, "simhash-member")
+    member = materialise(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-member")
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(materialise(member.join(ids, "root").select("fp", "component_id"), "simhash-ids"), "fp").select(
-        id_col, "fp", "component_id")
+    return materialise(member.join(ids, "root").select("fp", "root", "component_id"), "simhash-ids")
+
+
+def simhash_groups(docs: DataFrame, id_col: str = "doc_id", size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """(id, fp, component_id) for every row of ``docs``; component_id is the smallest id reachable."""
+    rows = materialise(fingerprints(docs, id_col, size), "simhash-rows")
+    return rows.join(_groups(rows, id_col, max_bits), "fp").select(id_col, "fp", "component_id")
 
 
 def one_per_group(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of ``docs`` for each component: that with the smallest doc_id, all columns unchanged.
 
-    Rows with a null doc_id stay only where their component has no other id; of rows that
-    share the smallest doc_id one stays.
+    Of rows that share this doc_id one stays. A component whose ids are all null keeps one row.
     """
-    groups = simhash_groups(docs, size=size, max_bits=max_bits)
-    first = groups.select(F.col("component_id").alias("__first")).distinct()
-    same = docs["doc_id"].eqNullSafe(first["__first"])
-    kept = docs.join(first, same, "left_semi")
-    ids = kept.groupBy("doc_id").count().filter("count > 1").select("doc_id").limit(1)
-    return kept if ids.isEmpty() else kept.dropDuplicates(["doc_id"])
+    rows = materialise(fingerprints(docs, "doc_id", size), "simhash-rows")
+    groups = _groups(rows, "doc_id", max_bits)
+    first = materialise(groups.select(F.col("component_id").alias("doc_id")).distinct(), "simhash-first")
+    kept = docs.join(first, "doc_id", "left_semi")
+    if not rows.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id"])   # needed, and paid for, where ids repeat only
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    unnamed = fingerprints(docs.filter("doc_id IS NULL").select(row, "text"), "row", size)
+    unnamed = unnamed.join(groups.filter("component_id IS NULL"), "fp").dropDuplicates(["root"])
+    return kept.unionByName(unnamed.select("row.*"))
