@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from penmark.llm.common import GAP, WORD, materialise, words
+from penmark.llm.common import GAP, WORD, fixed, materialise, words
 
 WINDOW = 8            # words in a window of the repetition count
 MIN_WORDS = 20
@@ -147,6 +147,6 @@ def keep_quality(docs: DataFrame, rules: list[Rule] | None = None, rows: int = S
     sample = materialise(quality_stats(sample_rows(docs, rows)).drop("doc_id"), "quality-sample")
     ordered = [m[0] for m in order_rules(sample.filter(~base_failed()), rules)]
     carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"), "text")
-    kept = quality_stats(carried).filter(
-        F.when(base_failed(), F.lit(False)).otherwise(cascade(ordered)))
-    return kept.select("doc_id.*")
+    # the verdict is fixed before the filter: pushed below the counts, it would compute them for each element
+    judged = fixed(quality_stats(carried), __ok=F.when(base_failed(), F.lit(False)).otherwise(cascade(ordered)))
+    return judged.filter("__ok").select("doc_id.*")
