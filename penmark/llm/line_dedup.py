@@ -2,8 +2,8 @@
 
 The corpus is taken in batches. A batch's distinct line keys (two 64-bit hashes each)
 are counted, merge-anti-joined with the runs of keys that are already settled (seen in
-``min_docs`` documents), and added as a new sorted run. Runs are bucketed tables sorted
-by hash, so a join or a merge of runs needs no exchange of them. When a level holds
+``min_docs`` documents), and added as a new sorted run. Runs are tables bucketed and sorted
+by hash, so joins and merges of runs, merge joins in this order, need no exchange of them. When a level holds
 ``fanout`` runs they are compacted into one run of the next level; keys that reach
 ``min_docs`` there move to the settled runs, and later batches no longer carry them.
 At the end the settled keys are looked up in every text, and their lines go.
@@ -54,44 +54,38 @@ class LineRuns:
 
     def _write(self, df: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
-        (df.repartition(self.buckets, "h1").write.format("parquet")
-         .bucketBy(self.buckets, "h1").sortBy("h1", "h2").saveAsTable(name))
+        (df.select("h1", "h2", "n").repartition(self.buckets, "h1", "h2").write.format("parquet")
+         .bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").saveAsTable(name))
         return name
 
-    def _read(self, names: list[str]) -> DataFrame | None:
-        out = None
-        for n in names:
-            t = self.spark.table(n)
-            out = t if out is None else out.unionByName(t)
+    def _merge(self, names: list[str]) -> DataFrame:
+        """One row per key of the runs, counts added, by merge joins in bucket and sort order."""
+        out = self.spark.table(names[0])
+        for n in names[1:]:
+            right = self.spark.table(n).withColumnRenamed("n", "m").hint("merge")
+            out = out.join(right, ["h1", "h2"], "full_outer").select(
+                "h1", "h2", (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
         return out
 
     def add(self, batch: DataFrame) -> None:
         """``batch``: one row (h1, h2) per document and distinct line."""
         own = batch.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
-        known = self._read(self.settled)
-        if known is not None:
-            own = own.join(known.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
+        for run in self.settled:
+            own = own.join(self.spark.table(run).select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
         self.levels[0].append(self._write(own))
         level = 0
         while len(self.levels[level]) >= self.fanout:
             self._compact(level)
             level += 1
 
-    def _compact(self, level: int, last: bool = False) -> None:
-        names = [n for x in self.levels for n in x] if last else self.levels[level]
-        merged = self._read(names).groupBy("h1", "h2").agg(F.sum("n").alias("n"))
-        if last:
-            self.settled.append(self._write(merged.filter(F.col("n") >= self.min_docs)))
-            self.levels = [[]]
-        else:
-            if level + 1 == len(self.levels):
-                self.levels.append([])
-            run = self._write(merged)
-            full = self._write(self.spark.table(run).filter(F.col("n") >= self.min_docs))
-            self.settled.append(full)
-            # the settled keys stay in the run too: their count is never needed again
-            self.levels[level + 1].append(run)
-            self.levels[level] = []
+    def _compact(self, level: int) -> None:
+        names = self.levels[level]
+        merged, full = self._merge(names), F.col("n") >= self.min_docs
+        self.settled.append(self._write(merged.filter(full)))
+        if level + 1 == len(self.levels):
+            self.levels.append([])
+        self.levels[level + 1].append(self._write(merged.filter(~full)))
+        self.levels[level] = []
         self._drop(names)
 
     def _drop(self, names: list[str]) -> None:
@@ -99,12 +93,16 @@ class LineRuns:
             self.spark.sql(f"DROP TABLE IF EXISTS {n}")
 
     def finish(self) -> DataFrame:
-        """(h1, h2) of every key found in ``min_docs`` documents, as a written table; drops the runs."""
-        if any(self.levels):
-            self._compact(0, last=True)
-        out = materialise(self._read(self.settled).select("h1", "h2").distinct(), "line-keys")
-        self._drop(self.settled)
-        self.settled = []
+        """(h1, h2) of every key found in ``min_docs`` documents, as a written table; drops the runs.
+
+        A key may come twice: settled, and again among counts from before that.
+        """
+        names = [n for level in self.levels for n in level]
+        out = self._merge(names).filter(F.col("n") >= self.min_docs).select("h1", "h2")
+        for run in self.settled:
+            out = out.unionByName(self.spark.table(run).select("h1", "h2"))
+        out = materialise(out, "line-keys")
+        self._drop(names + self.settled)
         return out
 
 
