@@ -85,3 +85,8 @@ CLEANING_MARKERS = (
 # FIXED VALUES: Penn Treebank tag initial -> lexicon word class; anything else is a noun.
 TAG_CLASS = (("N", "n"), ("V", "v"), ("R", "r"), ("J", "a"))
 DEFAULT_WORD_CLASS = "n"
+
+
+# FIXED VALUES: lines that quote or announce a quoted message, as in the loader of the
+# public 20-newsgroups collection of scikit-learn (BSD licence).
+QUOTE_LINE = r"(writes in|writes:|wrote:|says:|said:|^In article|^Quoted from|^\||^>)"

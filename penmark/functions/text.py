@@ -20,7 +20,7 @@ TERM = r"[\p{L}\p{N}_]{2,}"
 SENTENCE = r"[^.!?\n]+[.!?]*"
 WORD_OR_PUNCT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
 PUNCT_ONLY = r"^[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]*$"
-LINK = r'(?i)<a[^>]*href="([^"]*)"'
+LINK = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*')"""
 _REGEX_SPECIAL = set("\\.^$|?*+()[]{}")
 
 
@@ -173,19 +173,25 @@ def first_line(c: Column | str) -> Column:
 def strip_tags(c: Column | str) -> Column:
     """Markup to text: block ends become newlines, tags go, common entities decode."""
     s = F.regexp_replace(_col(c), r"(?i)<br\s*/?>|</p>|</h[1-6]>|</li>|</div>", "\n")
-    s = F.regexp_replace(s, r"<[^>]*>", "")
+    return decode_entities(F.regexp_replace(s, r"<[^>]*>", ""))
+
+
+def decode_entities(s: Column) -> Column:
     for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         s = F.replace(s, F.lit(ent), F.lit(ch))
     return s
 
 
 def heading(html: Column | str, level: int) -> Column:
-    return F.trim(strip_tags(F.regexp_extract(_col(html), rf"(?is)<h{level}[^>]*>(.*?)</h{level}>", 1)))
+    return F.trim(strip_tags(F.regexp_extract(_col(html), rf"(?is)<h{level}(?:\s[^>]*)?>(.*?)</h{level}>", 1)))
 
 
 def first_heading(html: Column | str) -> Column:
-    """Text of the first heading by level h1..h4; the first level present wins."""
-    return F.coalesce(*[F.nullif(heading(html, lv), F.lit("")) for lv in (1, 2, 3, 4)], F.lit(""))
+    """Text of the first heading by level h1..h4; the first level present wins, also with an empty text."""
+    out = F.when(F.lit(False), F.lit(""))
+    for lv in (1, 2, 3, 4):
+        out = out.when(_col(html).rlike(rf"(?is)<h{lv}(?:\s[^>]*)?>.*?</h{lv}>"), heading(html, lv))
+    return out.otherwise(F.lit(""))
 
 
 def article_body(html: Column | str) -> Column:
@@ -194,7 +200,9 @@ def article_body(html: Column | str) -> Column:
 
 
 def links(html: Column | str) -> Column:
-    return F.regexp_extract_all(_col(html), F.lit(LINK), 1)
+    """The href of every anchor, in order: either quote style, entities decoded."""
+    quoted = F.regexp_extract_all(_col(html), F.lit(LINK), 1)
+    return F.transform(quoted, lambda q: decode_entities(F.substring(q, F.lit(2), F.length(q) - 2)))
 
 
 def url_host(url: Column | str) -> Column:
@@ -209,15 +217,12 @@ def absolute_url(href: Column | str, page_url: Column | str) -> Column:
 
 
 def declared_count(c: Column | str) -> Column:
-    """First integer in a label text, as int (null when there is none)."""
-    return F.nullif(F.regexp_extract(_col(c), r"([0-9]+)", 1), F.lit("")).cast("int")
+    """First integer in a label text, as bigint (null when there is none or it is out of range)."""
+    return F.nullif(F.regexp_extract(_col(c), r"([0-9]+)", 1), F.lit("")).try_cast("bigint")
 
 
 # ---------------------------------------------------------------- message noise
 
-_QUOTE_LINE = r"(writes in|writes:|wrote:|says:|said:|^In article|^Quoted from|^\||^>)"
-
-
 def strip_header(c: Column | str) -> Column:
     """Everything after the first blank line; no blank line leaves nothing."""
     s = _col(c)
@@ -239,7 +244,7 @@ def strip_footer(c: Column | str) -> Column:
 
 def strip_quotes(c: Column | str) -> Column:
     lines = F.split(_col(c), "\n", -1)
-    return F.array_join(F.filter(lines, lambda ln: ~ln.rlike(_QUOTE_LINE)), "\n")
+    return F.array_join(F.filter(lines, lambda ln: ~ln.rlike(lexicon.QUOTE_LINE)), "\n")
 
 
 def strip_message_noise(c: Column | str, headers: bool = True, footers: bool = True,

@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from penmark.functions import lexicon
 from penmark.functions import text as T
 from penmark.operators.features import split_flag
+from penmark.session import cut_lineage
+from penmark.sources.files import path_exists
 
 
 class TokenTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -57,6 +59,11 @@ class TokenTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
     def fit(self, dataset=None, y=None):
         return self
 
+    def write(self):
+        if self.tokenizer is not None:
+            raise ValueError("a pipeline with its own tokenizer function cannot be saved: it would load without it")
+        return super().write()
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         split = self.tokenizer or T.wordpunct_tokens
         toks = T.normalize_tokens(split(F.col(self.getInputCol())), self.getOrDefault(self.lower),
@@ -77,13 +84,21 @@ def text_vector_stages(text_col: str = "text", vocab_size: int = 1 << 18, min_df
 
 def label_stages(label_col: str) -> StringIndexer:
     return StringIndexer(inputCol=label_col, outputCol="label_idx", stringOrderType="alphabetAsc",
-                         handleInvalid="keep")
+                         handleInvalid="error")
+
+
+def skip_unknown_labels(model: PipelineModel) -> PipelineModel:
+    """Rows whose label training never saw are left out when labelled rows are scored."""
+    for s in model.stages:
+        if hasattr(s, "labels") and s.getOutputCol() == "label_idx":
+            s.setHandleInvalid("skip")
+    return model
 
 
 def text_pipeline(classifier: Estimator, text_col: str = "text", label_col: str = "lang",
                   vocab_size: int = 1 << 18, tokenizer=None) -> Pipeline:
     """[tokens, counts, idf, norm, label index, classifier] -> prediction label."""
-    clf = classifier() if isinstance(classifier, type) else classifier
+    clf = classifier() if isinstance(classifier, type) else classifier.copy()
     clf.setParams(featuresCol="features", labelCol="label_idx")
     return Pipeline(stages=[*text_vector_stages(text_col, vocab_size, tokenizer=tokenizer),
                             label_stages(label_col), clf])
@@ -114,8 +129,9 @@ def build_and_evaluate(df: DataFrame, classifier: Estimator | type = None, text_
     t0 = time.time()
     model = text_pipeline(classifier, text_col, label_col, vocab_size).fit(train)
     t1 = time.time()
+    skip_unknown_labels(model)
     pred = with_label_names(model, model.transform(test))
-    report = classification_report(pred, label_col=label_col, pred_col="predicted")
+    report = cut_lineage(classification_report(pred, label_col=label_col, pred_col="predicted"))
     t2 = time.time()
     full = text_pipeline(classifier, text_col, label_col, vocab_size).fit(df)
     t3 = time.time()
@@ -130,13 +146,16 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_or_train(path: str, train: Callable[[], PipelineModel]) -> PipelineModel:
-    """Load the pipeline saved at ``path``; train and save it when absent."""
-    try:
+    """Load the pipeline saved at ``path``; train and save it where there is none.
+
+    A model that is there but can't be read raises; it is never overwritten.
+    """
+    from pyspark.sql import SparkSession
+    if path_exists(SparkSession.getActiveSession(), path):
         return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - absent or unreadable model: rebuild it
-        model = train()
-        save_model(model, path)
-        return model
+    model = train()
+    save_model(model, path)
+    return model
 
 
 def predict_new(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -300,7 +319,7 @@ def vectorise(train: DataFrame, test: DataFrame, text_col: str = "text", label_c
               vocab_size: int = 1 << 18):
     """Fit the text stages and label index on train; return (train, test, fitted model)."""
     pipe = Pipeline(stages=[*text_vector_stages(text_col, vocab_size), label_stages(label_col)])
-    model = pipe.fit(train)
+    model = skip_unknown_labels(pipe.fit(train))
     # Iterative trainers rescan their input; keep the vectors rather than re-tokenise.
     keep = [c for c in train.columns if c != text_col] + ["label_idx", "features"]
     return model.transform(train).select(*keep).persist(), model.transform(test).select(*keep).persist(), model

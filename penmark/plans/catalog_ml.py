@@ -6,7 +6,6 @@ stage is pure column expressions (the token stage) the SQL oracle still applies.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -21,7 +20,7 @@ from penmark.operators import mlmodels as ML
 from penmark.plans import sqlfrag as S
 from penmark.plans.catalog import documents, metric_scalars, metrics, query, sweep_split
 from penmark.plans.catalog_pages import _FILT
-from penmark.session import shared_path
+from penmark.session import cut_lineage, shared_path
 from penmark.tables import table
 
 VOCAB = 1 << 12
@@ -47,9 +46,12 @@ def _fit_predict(spark, d, name):
 
 def metrics_split(spark, d):
     """Balanced per-author metrics, 25 % hash holdout (seed 23), as in the structural path."""
+    # split by text, so that exact copies are on one side
+    texts = documents(spark, d).select("doc_id", FE.split_flag("text", "23", 0.25).alias("is_test"))
     m = metric_scalars(metrics(spark, d))
-    bal = M.balanced_sample(m, "doc_id", seed="0").drop("shuffle_key").persist()
-    return bal.filter(~FE.split_flag("doc_id", "23", 0.25)), bal.filter(FE.split_flag("doc_id", "23", 0.25))
+    bal = M.balanced_sample(m, "doc_id", seed="0").drop("shuffle_key").join(texts, "doc_id")
+    bal = cut_lineage(bal)
+    return bal.filter("NOT is_test").drop("is_test"), bal.filter("is_test").drop("is_test")
 
 
 def _dt_data(df):
@@ -197,7 +199,10 @@ def q_save_model(spark, d):
 def q_load_model(spark, d):
     path = shared_path(spark, "models", "pipeline")
     model = ML.load_or_train(path, lambda: _trained_pipeline(spark, d))
-    again = PipelineModel.load(path)
+
+    def absent():
+        raise AssertionError("the saved model must be found")
+    again = ML.load_or_train(path, absent)
     bench = table(spark, d, "benchmark")
     a = ML.predict_new(model, bench).select("item_id", F.col("predicted").alias("first"))
     b = ML.predict_new(again, bench).select("item_id", F.col("predicted").alias("reloaded"))
@@ -216,14 +221,15 @@ def q_coef_density(spark, d):
     tr, _, vm = sweep_vectors(spark, d)
     lr = LogisticRegression(featuresCol="features", labelCol="label_idx", elasticNetParam=1.0,
                             regParam=1e-3, maxIter=20).fit(tr)
-    classes = spark.range(lr.numClasses).select(F.col("id").cast("string").alias("class"))
-    return EV.coef_density(ML.coefficients(lr), lr.numFeatures, classes)
+    names = spark.createDataFrame([(str(i), x) for i, x in enumerate(vm.stages[-1].labels)], "class string, label string")
+    density = EV.coef_density(ML.coefficients(lr), lr.numFeatures, names)
+    return density.join(names, "class").select(F.col("label").alias("class"), "dimensionality", "density")
 
 
 @query("classifier_leaderboard")
 def q_classifier_leaderboard(spark, d):
     tr, te, vm = sweep_vectors(spark, d)
-    tr, te = tr.persist(), te.persist()
+    tr.count(), te.count()   # fill the caches before the first timer
     rows = [ML.fit_time_score(name, ML.CLASSIFIERS[name], tr, te)
             for name in ("linear_svc_l2", "logistic_l1", "sgd_elasticnet", "multinomial_nb", "bernoulli_nb",
                          "random_forest")]

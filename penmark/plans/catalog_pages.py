@@ -60,7 +60,7 @@ def q_first_heading(spark, d):
 # Binding: a page has no "N articles" label, so the first integer of its URL
 # stands in for the declared count; an author's declared count is the largest
 # over its pages, and its collected count is the distinct article links found.
-_DECL = "TRY_CAST(nullif(regexp_extract(url, '([0-9]+)', 1), '') AS INTEGER)"
+_DECL = "TRY_CAST(nullif(regexp_extract(url, '([0-9]+)', 1), '') AS BIGINT)"
 
 
 @query("declared_count", f"SELECT page_id, {_DECL} AS declared FROM pages")
@@ -225,7 +225,7 @@ c AS (SELECT conv_id, turn, h, lines,
              list_max(list_filter(range(0, len(lines)), lambda i: trim({ws.format(x='lines[i + 1]')}, '-') = '')) AS cut FROM b),
 f AS (SELECT conv_id, turn, CASE WHEN cut > 0 THEN array_to_string(lines[1:cut], chr(10)) ELSE h END AS f FROM c)
 SELECT conv_id, turn, array_to_string(list_filter(string_split(f, chr(10)),
-       lambda ln: NOT regexp_matches(ln, {S.lit(T._QUOTE_LINE)})), chr(10)) AS text FROM f"""
+       lambda ln: NOT regexp_matches(ln, {S.lit(T.lexicon.QUOTE_LINE)})), chr(10)) AS text FROM f"""
 
 
 @query("strip_message_noise", _noise_sql())

@@ -57,18 +57,23 @@ def split_flag(key: str, seed: str, test_size: float) -> str:
 
 def strip_tags(col: str) -> str:
     s = f"regexp_replace({col}, {lit(r'(?i)<br\s*/?>|</p>|</h[1-6]>|</li>|</div>')}, chr(10), 'g')"
-    s = f"regexp_replace({s}, '<[^>]*>', '', 'g')"
+    return decode_entities(f"regexp_replace({s}, '<[^>]*>', '', 'g')")
+
+
+def decode_entities(s: str) -> str:
     for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         s = f"replace({s}, {lit(ent)}, {lit(ch)})"
     return s
 
 
 def heading(html: str, level: int) -> str:
-    return f"trim({strip_tags(f'regexp_extract({html}, {lit(f"(?is)<h{level}[^>]*>(.*?)</h{level}>")}, 1)')})"
+    return f"trim({strip_tags(f'regexp_extract({html}, {lit(f"(?is)<h{level}(?:\\s[^>]*)?>(.*?)</h{level}>")}, 1)')})"
 
 
 def first_heading(html: str) -> str:
-    return "coalesce(" + ", ".join(f"nullif({heading(html, lv)}, '')" for lv in (1, 2, 3, 4)) + ", '')"
+    whens = [f"WHEN regexp_matches({html}, {lit(f'(?is)<h{lv}(?:' + chr(92) + f's[^>]*)?>.*?</h{lv}>')}) THEN {heading(html, lv)}"
+             for lv in (1, 2, 3, 4)]
+    return "CASE " + " ".join(whens) + " ELSE '' END"
 
 
 def article_body(html: str) -> str:
@@ -85,7 +90,8 @@ def url_root(url: str) -> str:
 
 
 def links(html: str) -> str:
-    return f"regexp_extract_all({html}, {lit(T.LINK)}, 1)"
+    pattern = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*')"""
+    return f"list_transform(regexp_extract_all({html}, {lit(pattern)}, 1), lambda q: {decode_entities('q[2:-2]')})"
 
 
 def metrics_cte(strict: bool = False) -> str:

@@ -40,16 +40,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    base = configured or _LOCAL_FALLBACK_DIR
+    base = configured or _local_fallback(sc)
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir() or base
 
 
+def _local_fallback(sc) -> str:
+    """A folder of this machine, which only a session without other machines may use."""
+    if not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return _LOCAL_FALLBACK_DIR
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint folder (never machine-local on a cluster)."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    base = configured or checkpoint_dir(spark)
+    base = configured or sc.getCheckpointDir() or _local_fallback(sc)
     return "/".join([base.rstrip("/"), "penmark", *parts, uuid.uuid4().hex])
 
 

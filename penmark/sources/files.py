@@ -6,6 +6,8 @@ that is being read: a rewrite goes to a fresh path that callers then swap in.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -93,8 +95,24 @@ def write_metrics_snapshot(df: DataFrame, path: str) -> None:
 
 
 def write_url_index(df: DataFrame, path: str) -> None:
-    """Rewrite the whole index as JSON lines at ``path`` (a fresh path, then swap)."""
-    df.select("author_url", "article_url").write.mode("overwrite").json(path)
+    """Rewrite the whole index as JSON lines: written beside ``path``, then swapped in by renames.
+
+    ``df`` may read the old index. A failed write leaves the old index as it was; the old
+    files go only when the new ones are in place.
+    """
+    spark, tag = df.sparkSession, uuid.uuid4().hex
+    fresh, old = f"{path.rstrip('/')}.new-{tag}", f"{path.rstrip('/')}.old-{tag}"
+    df.select("author_url", "article_url").write.json(fresh)
+    jvm = spark.sparkContext._jvm
+    p = [jvm.org.apache.hadoop.fs.Path(x) for x in (path, fresh, old)]
+    fs = p[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = fs.exists(p[0])
+    if had and not fs.rename(p[0], p[2]):
+        raise OSError(f"cannot move the old index {path} aside")
+    if not fs.rename(p[1], p[0]):
+        raise OSError(f"cannot move {fresh} to {path}; the old index is at {old}")
+    if had:
+        fs.delete(p[2], True)
 
 
 def append_articles(df: DataFrame, path: str) -> None:
@@ -111,11 +129,19 @@ def read_author_counts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(AUTHOR_COUNTS).option("sep", ";").csv(path)
 
 
-def write_articles_by_author(df: DataFrame, path: str) -> None:
-    """One folder per author (file-name-safe key), JSON lines inside."""
-    (df.withColumn("author_key", T.safe_key(T.ascii_fold("author")))
-     .select("url", "author", "headline", "body", "author_key")
-     .write.mode("overwrite").partitionBy("author_key").json(path))
+def write_articles_by_author(df: DataFrame, path: str, files_per_author: int = 8) -> None:
+    """Add the articles not stored yet: one folder per author (file-name-safe key), JSON lines inside.
+
+    An author's rows are dealt to ``files_per_author`` tasks by URL, so that a hot author is
+    not one task's and a folder doesn't get a file from every task.
+    """
+    fresh = df.select("url", "author", "headline", "body")
+    if path_exists(df.sparkSession, path):
+        stored = df.sparkSession.read.schema(ARTICLE).json(path).select("url")
+        fresh = fresh.join(stored, fresh["url"].eqNullSafe(stored["url"]), "left_anti")
+    keyed = fresh.withColumn("author_key", T.safe_key(T.ascii_fold("author")))
+    slot = F.pmod(F.xxhash64("url"), F.lit(files_per_author))
+    keyed.repartition(F.col("author_key"), slot).write.mode("append").partitionBy("author_key").json(path)
 
 
 def write_url_list(df: DataFrame, path: str, col: str = "url") -> None:
