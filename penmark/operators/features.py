@@ -106,9 +106,9 @@ def hashed_vectors(documents: DataFrame, n_features: int = 2 ** 16, id_col: str
     The bucket is the first 32 bits of the term's md5, so any engine can
     reproduce it; counts are non-negative. No vocabulary pass is needed.
     """
-    tf = term_counts(documents, id_col, text_col, stopwords)
+    words = documents.select(id_col, F.explode(vocabulary_terms(text_col, stopwords)).alias("term"))
     bucket = F.pmod(F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("long"), F.lit(n_features))
-    out = tf.groupBy(id_col, bucket.alias("bucket")).agg(F.sum("tf").cast("double").alias("weight"))
+    out = words.groupBy(id_col, bucket.alias("bucket")).agg(F.count(F.lit(1)).cast("double").alias("weight"))
     n2 = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(id_col)))
     return out.withColumn("weight", F.col("weight") / n2)
 
@@ -117,20 +117,17 @@ def chi2_scores(weights: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                 label_col: str = "lang") -> DataFrame:
     """(term, chi2): sum over classes of (O-E)^2/E on feature weights.
 
-    O = weight sum of the term in the class, E = class share x term total.
-    Classes where the term is absent contribute E, so only non-zero (class,
-    term) cells are materialised: no class x term cross product.
+    O = weight sum of the term in the class, E = class share x term total t. The shares
+    add up to 1, so the sum over all classes, absent ones included, is sum(O^2 / share) / t - t:
+    one aggregation of the non-zero (class, term) cells.
     """
     n = labels.select(F.count(F.lit(1))).scalar()
     shares = labels.groupBy(label_col).agg((F.count(F.lit(1)) / n).alias("p"))
     obs = (weights.join(labels.select(id_col, label_col), id_col)
            .groupBy("term", label_col).agg(F.sum("weight").alias("o")))
-    total = obs.groupBy("term").agg(F.sum("o").alias("t"))
     # One row per class: AQE broadcasts it when its measured size is small.
-    cells = obs.join(shares, label_col).join(total, "term")
-    e = F.col("p") * F.col("t")
-    return cells.groupBy("term").agg(
-        (F.sum((F.col("o") - e) * (F.col("o") - e) / e) + F.first("t") * (1 - F.sum("p"))).alias("chi2"))
+    return obs.join(shares, label_col).groupBy("term").agg(
+        (F.sum(F.col("o") * F.col("o") / F.col("p")) / F.sum("o") - F.sum("o")).alias("chi2"))
 
 
 def chi2_select(weights: DataFrame, labels: DataFrame, k: int, id_col: str = "doc_id",

@@ -10,13 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from penmark.operators import metrics as M
 from penmark.plans import sqlfrag as S
-from penmark.session import spread
+from penmark.session import cut_lineage, spread
 from penmark.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,7 +121,9 @@ r AS (SELECT *, row_number() OVER (PARTITION BY author ORDER BY shuffle_key) AS
 SELECT doc_id, author, shuffle_key FROM r
 WHERE rn <= (SELECT min(c) FROM (SELECT count(*) AS c FROM k GROUP BY author))""")
 def q_balanced_sample(spark, d):
-    return M.balanced_sample(metrics(spark, d).select("doc_id", "author"), "doc_id", seed="7").select(
+    # read by several branches of the plan: tokenised and written once
+    rows = cut_lineage(metrics(spark, d).select("doc_id", "author"))
+    return M.balanced_sample(rows, "doc_id", seed="7").select(
         "doc_id", "author", "shuffle_key")
 
 
@@ -200,7 +201,9 @@ FROM l GROUP BY author""")
 def q_grid_pivot(spark, d):
     long = (metrics(spark, d).groupBy("author", "lang")
             .agg(r6(F.avg("number_of_words_sentence_mean")).alias("z")))
-    return M.grid_pivot(long, x="lang", y="author", z="z")
+    # the columns come from the table's own small column, not from tokenising the corpus
+    langs = [r.lang for r in table(spark, d, "documents").select("lang").distinct().collect()]
+    return M.grid_pivot(long, x="lang", y="author", z="z", x_values=langs)
 
 
 @query("grid_mesh", """
@@ -255,9 +258,7 @@ _TF_CLEAN = f"""tf AS (SELECT doc_id, term, count(*) AS tf FROM
 
 def clean_term_counts(spark, d):
     docs = documents(spark, d).withColumn("text", T.clean_text("text"))
-    # Term counts feed both the weights and the document frequencies; caching
-    # them avoids tokenising the corpus once per branch (equal plans share one cache).
-    return FE.term_counts(docs).persist(StorageLevel.MEMORY_AND_DISK)
+    return FE.term_counts(docs)
 
 
 @query("count_vectors", f"WITH {_TF_CLEAN} SELECT doc_id, term, tf::BIGINT AS tf FROM tf")
@@ -282,7 +283,8 @@ df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 w AS (SELECT doc_id, term, tf * (ln(n.n / df.df) + 1) AS w FROM tf JOIN df USING (term), n)
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
 def q_tfidf_unsmoothed(spark, d):
-    tf = clean_term_counts(spark, d)
+    # Read twice, for the weights and for the document frequencies: tokenised and written once.
+    tf = cut_lineage(clean_term_counts(spark, d))
     n = table(spark, d, "documents").select(F.count(F.lit(1))).scalar()
     idf = FE.document_frequency(tf, n, smooth=False)
     return FE.tfidf(tf, idf).select("doc_id", "term", r6("weight").alias("weight"))
@@ -312,11 +314,11 @@ def sweep_tfidf(spark, d):
     """(train weights, test weights, idf) of the sublinear, max_df=0.5 vectoriser."""
     train, test = sweep_split(spark, d)
     w_train, idf = FE.fit_tfidf(train, smooth=True, sublinear=True, max_df=0.5)
-    # The fitted tables are read by several branches (fit, scoring, selection):
-    # keep them instead of recomputing tokenisation, aggregation and norms each time.
-    idf = idf.persist(StorageLevel.MEMORY_AND_DISK)
-    w_train = w_train.persist(StorageLevel.MEMORY_AND_DISK)
-    w_test = FE.transform_tfidf(test, idf, sublinear=True).persist(StorageLevel.MEMORY_AND_DISK)
+    # The fitted tables are read by several branches (fit, scoring, selection): written once to
+    # the shared folder instead of recomputing tokenisation, aggregation and norms each time.
+    idf = cut_lineage(idf)
+    w_train = cut_lineage(w_train)
+    w_test = FE.transform_tfidf(test, idf, sublinear=True)
     return train, test, w_train, w_test, idf
 
 

@@ -6,6 +6,7 @@ stage is pure column expressions (the token stage) the SQL oracle still applies.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -15,33 +16,27 @@ from pyspark.sql import functions as F
 from penmark.functions import text as T
 from penmark.operators import evaluate as EV
 from penmark.operators import features as FE
+from penmark.operators import linear as LIN
 from penmark.operators import metrics as M
 from penmark.operators import mlmodels as ML
 from penmark.plans import sqlfrag as S
-from penmark.plans.catalog import documents, metric_scalars, metrics, query, sweep_split
+from penmark.plans.catalog import documents, metric_scalars, metrics, query, sweep_tfidf
 from penmark.plans.catalog_pages import _FILT
 from penmark.session import cut_lineage, shared_path
 from penmark.tables import table
 
-VOCAB = 1 << 12
 
-
-def sweep_vectors(spark, d):
-    train, test = sweep_split(spark, d)
-    tr, te, model = ML.vectorise(train, test, vocab_size=VOCAB)
-    return tr, te, model
-
-
-def _named(pred, model, label_col="lang"):
-    return ML.with_label_names(model, pred).select("doc_id", F.col(label_col).alias("label"),
-                                                   F.col("predicted").alias("prediction"))
+def sweep_vectors(spark, d) -> ML.TextVectors:
+    """The classifier sweep's sublinear, max_df=0.5 tf-idf as sparse vectors of the whole vocabulary."""
+    return ML.vectorise(*sweep_tfidf(spark, d))
 
 
 def _fit_predict(spark, d, name):
-    tr, te, vm = sweep_vectors(spark, d)
+    v = sweep_vectors(spark, d)
     est = ML.CLASSIFIERS[name]()
-    est.setParams(featuresCol="features", labelCol="label_idx")
-    return _named(est.fit(tr).transform(te), vm)
+    if not isinstance(est, Pipeline):
+        est.setParams(featuresCol="features", labelCol="label_idx")
+    return v.named(est.fit(v.train).transform(v.test))
 
 
 def metrics_split(spark, d):
@@ -95,18 +90,14 @@ def q_sgd_linear(spark, d):
 
 @query("ridge_classifier")
 def q_ridge_classifier(spark, d):
-    tr, te, vm = sweep_vectors(spark, d)
-    k = len(vm.stages[-1].labels)
-    return _named(ML.ridge_fit_predict(tr, te, k), vm)
+    v = sweep_vectors(spark, d)
+    return v.named(ML.ridge_fit_predict(v.train, v.test, len(v.labels)))
 
 
 def _mixing(spark, d, rule):
-    tr, te, vm = sweep_vectors(spark, d)
-    k = len(vm.stages[-1].labels)
-    nf = len(vm.stages[1].vocabulary)
-    w = ML.mixing_fit(tr, k, nf, epochs=50, rule=rule)
-    pred = ML.mixing_predict(te.select("doc_id", "lang", "features"), w)
-    return _named(pred, vm)
+    v = sweep_vectors(spark, d)
+    w = ML.mixing_fit(v.train, len(v.labels), v.size, epochs=50, rule=rule)
+    return v.named(ML.mixing_predict(v.test, w))
 
 
 @query("perceptron")
@@ -121,9 +112,9 @@ def q_passive_aggressive(spark, d):
 
 @query("l1_select_then_svc")
 def q_l1_select_then_svc(spark, d):
-    tr, te, vm = sweep_vectors(spark, d)
-    pred, _ = ML.l1_select_then_svc(tr, te)
-    return _named(pred, vm)
+    v = sweep_vectors(spark, d)
+    pred, _ = ML.l1_select_then_svc(v.train, v.test)
+    return v.named(pred)
 
 
 GRID_DEPTHS, GRID_MIN_INSTANCES, GRID_SPLITS = (2, 4, 8), (1, 2, 4), 3
@@ -164,20 +155,19 @@ def q_best_model(spark, d):
 
 @query("build_and_evaluate")
 def q_build_and_evaluate(spark, d):
-    _, report, _ = ML.build_and_evaluate(documents(spark, d), vocab_size=VOCAB)
+    _, report, _ = ML.build_and_evaluate(documents(spark, d))
     return report
 
 
 @query("pluggable_classifier")
 def q_pluggable_classifier(spark, d):
     clf = NaiveBayes(modelType="multinomial", smoothing=0.01)
-    _, report, _ = ML.build_and_evaluate(documents(spark, d), clf, vocab_size=VOCAB)
+    _, report, _ = ML.build_and_evaluate(documents(spark, d), clf)
     return report
 
 
 def _trained_pipeline(spark, d):
-    return ML.text_pipeline(NaiveBayes(modelType="multinomial", smoothing=0.01),
-                            vocab_size=VOCAB).fit(documents(spark, d))
+    return ML.text_pipeline(NaiveBayes(modelType="multinomial", smoothing=0.01)).fit(documents(spark, d))
 
 
 @query("predict_new")
@@ -218,21 +208,59 @@ def q_assemble_features(spark, d):
 
 @query("coef_density")
 def q_coef_density(spark, d):
-    tr, _, vm = sweep_vectors(spark, d)
+    v = sweep_vectors(spark, d)
     lr = LogisticRegression(featuresCol="features", labelCol="label_idx", elasticNetParam=1.0,
-                            regParam=1e-3, maxIter=20).fit(tr)
-    names = spark.createDataFrame([(str(i), x) for i, x in enumerate(vm.stages[-1].labels)], "class string, label string")
+                            regParam=1e-3, maxIter=100).fit(v.train)
+    names = spark.createDataFrame([(str(i), x) for i, x in enumerate(v.labels)], "class string, label string")
     density = EV.coef_density(ML.coefficients(lr), lr.numFeatures, names)
     return density.join(names, "class").select(F.col("label").alias("class"), "dimensionality", "density")
 
 
 @query("classifier_leaderboard")
 def q_classifier_leaderboard(spark, d):
-    tr, te, vm = sweep_vectors(spark, d)
-    tr.count(), te.count()   # fill the caches before the first timer
-    rows = [ML.fit_time_score(name, ML.CLASSIFIERS[name], tr, te)
-            for name in ("linear_svc_l2", "logistic_l1", "sgd_elasticnet", "multinomial_nb", "bernoulli_nb",
-                         "random_forest")]
+    """The sweep's 14 fits on one set of features."""
+    parts = train, test, w_train, w_test, idf = sweep_tfidf(spark, d)
+    v = ML.vectorise(*parts)
+    labels = train.select("doc_id", "lang")
+    k = len(v.labels)
+
+    def estimator(name):
+        def go():
+            est = ML.CLASSIFIERS[name]()
+            if not isinstance(est, Pipeline):
+                est.setParams(featuresCol="features", labelCol="label_idx")
+            model = est.fit(v.train)
+            return lambda: v.named(model.transform(v.test))
+        return go
+
+    def mixing(rule):
+        def go():
+            w = ML.mixing_fit(v.train, k, v.size, epochs=50, rule=rule)
+            return lambda: v.named(ML.mixing_predict(v.test, w))
+        return go
+
+    def long_form(fit, predict):
+        def go():
+            model = fit(w_train, labels)
+            return lambda: test.select("doc_id", F.col("lang").alias("label")).join(predict(model, test, w_test), "doc_id")
+        return go
+
+    def ridge():
+        return lambda: v.named(ML.ridge_fit_predict(v.train, v.test, k))
+
+    def selected():
+        return lambda: v.named(ML.l1_select_then_svc(v.train, v.test)[0])
+
+    def knn():
+        return lambda: v.named(ML.knn_sparse(v.train, v.test, 10))
+
+    fits = [("ridge", ridge), ("perceptron", mixing("perceptron")), ("passive_aggressive", mixing("pa")), ("knn", knn),
+            *[(n, estimator(n)) for n in ("random_forest", "linear_svc_l2", "sgd_l2", "linear_svc_l1", "sgd_l1", "sgd_elasticnet")],
+            ("nearest_centroid", long_form(LIN.nearest_centroid_fit, LIN.nearest_centroid_predict)),
+            ("multinomial_nb", long_form(LIN.multinomial_nb_fit, LIN.multinomial_nb_predict)),
+            ("bernoulli_nb", long_form(LIN.bernoulli_nb_fit, LIN.bernoulli_nb_predict)),
+            ("l1_select_then_svc", selected)]
+    rows = [ML.time_and_score(name, fit) for name, fit in fits]
     res = spark.createDataFrame(rows, "classifier string, accuracy double, train_time double, test_time double")
     return EV.normalise_times(res)
 
@@ -257,8 +285,8 @@ def q_custom_tokenizer(spark, d):
 
 @query("custom_scorer")
 def q_custom_scorer(spark, d):
-    tr, _, _ = sweep_vectors(spark, d)
-    lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=30)
+    tr = sweep_vectors(spark, d).train
+    lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=50)
     grid = ParamGridBuilder().addGrid(lr.regParam, [1e-3, 1e-1]).build()
     scorer = MulticlassClassificationEvaluator(labelCol="label_idx", metricName="accuracy")
     m = TrainValidationSplit(estimator=lr, estimatorParamMaps=grid, evaluator=scorer, trainRatio=0.75,
