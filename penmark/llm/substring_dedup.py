@@ -1,7 +1,7 @@
 """Substring dedup: Relative Lempel-Ziv factors against an index of all reference blocks.
 
 Every document is a reference. It is cut into blocks by content: in each window of
-``WINDOW`` words the 12-word run of least hash is the anchor, and the windows that follow
+``WINDOW`` words the run of ``ANCHOR`` words of least hash is the anchor, and the windows that follow
 each other with the same anchor form a block, so equal text has equal anchors and, away
 from where it starts to differ, equal blocks. All blocks of all documents are indexed by
 (anchor, hash of the block's windows), two 64-bit numbers. A block whose entry has another
