@@ -29,6 +29,7 @@ from itertools import chain, islice
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CACHE_PIECES = 1 << 19
@@ -57,10 +58,7 @@ def byte_alphabet() -> dict[str, int]:
 class Vocabulary:
     """Tokens, merges and special tokens of a tokenizer file (JSON)."""
 
-    def __init__(self, data: bytes):
-        import ahocorasick
-        import regex
-
+    def __init__(self, data: bytes, encoder: bool = True):
         spec = json.loads(data)
         vocab, alphabet = spec["model"]["vocab"], byte_alphabet()
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
@@ -71,6 +69,14 @@ class Vocabulary:
             self.token_bytes[vocab[t]] = b
         for t, i in self.special.items():
             self.token_bytes[i] = t.encode()
+        if encoder:
+            self._prepare(spec, vocab, as_bytes)
+
+    def _prepare(self, spec: dict, vocab: dict[str, int], as_bytes: dict[str, bytes]) -> None:
+        """What only encoding needs."""
+        import ahocorasick
+        import regex
+
         by_bytes = {b: vocab[t] for t, b in as_bytes.items()}
         self.single = np.array([by_bytes[bytes([b])] for b in range(256)], np.int64)
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
@@ -179,7 +185,8 @@ class Vocabulary:
 
     def encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
         """The ids of distinct pieces, see :meth:`pieces`."""
-        parts = [self.pattern.findall(p[1:] if p[:1] == " " else p if p[:1] == "\n" else " " + p) for p in pieces]
+        parts = [(" " + p,) if p.isalpha() else   # letters alone are one word
+                 self.pattern.findall(p[1:] if p[:1] == " " else p if p[:1] == "\n" else " " + p) for p in pieces]
         words = list(set(chain.from_iterable(parts)))
         known = dict(zip(words, self.encode_words(words))) if words else {}
         return {p: known[w[0]] if len(w) == 1 else b"".join([known[x] for x in w]) for p, w in zip(pieces, parts)}
@@ -243,14 +250,16 @@ class Vocabulary:
         return b"".join([table[i] for i in ids]).decode("utf-8", "replace")
 
 
-_LOADED: dict[int, Vocabulary] = {}   # of this worker, by broadcast
+_LOADED: dict[tuple, Vocabulary] = {}   # of this worker, by broadcast and use
 
 
-def _vocabulary(shared) -> Vocabulary:
-    if shared.id not in _LOADED:
-        _LOADED.clear()
-        _LOADED[shared.id] = Vocabulary(shared.value)
-    return _LOADED[shared.id]
+def _vocabulary(shared, encoder: bool = True) -> Vocabulary:
+    key = (shared.id, encoder)
+    if key not in _LOADED:
+        for old in [k for k in _LOADED if k[1] == encoder]:
+            del _LOADED[old]
+        _LOADED[key] = Vocabulary(shared.value, encoder)
+    return _LOADED[key]
 
 
 class _Share:
@@ -283,42 +292,45 @@ def _slices(batch: pa.RecordBatch, column: int, unit: int) -> Iterator[pa.Record
             yield batch.slice(a, b - a)
 
 
-def _with(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
-    return T.StructType([f for f in schema.fields if f.name != name] + [T.StructField(name, kind)])
+def _map_column(df: DataFrame, source: str, unit: int, name: str, kind: T.DataType, run) -> DataFrame:
+    """``df`` with column ``name`` (replaced if there is one): ``run(batch)`` of (others, source) in slices.
+
+    The other columns travel in a struct, so that their names don't matter.
+    """
+    others = F.struct(F.lit(True).alias("__"), *[F.col(f"`{c}`") for c in df.columns if c != source])
+    packed = df.select(others.alias("o"), F.col(f"`{source}`").alias("s"))
+    schema = T.StructType([packed.schema["o"], packed.schema["s"], T.StructField("n", kind)])
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in _slices(whole, 1, unit):
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), run(b.column(1))], names=["o", "s", "n"])
+
+    out = packed.mapInArrow(go, schema)
+    return out.select(*[(F.col("s") if c == source else F.col(f"o.`{c}`")).alias(c) for c in df.columns if c != name],
+                      F.col("n").alias(name))
 
 
 def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the ids (array of int) of each whole text."""
     share = _Share(docs.sparkSession, path)
-    keep = [c for c in docs.columns if c != ids_col]
-    docs = docs.select(*[f"`{c}`" for c in keep])
-    at = keep.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = _vocabulary(share)
-        for whole in batches:
-            for b in _slices(whole, at, 1):
-                texts = [t or "" for t in b.column(at).to_pylist()]
-                got = v.encode_batch(texts)
-                offsets = np.cumsum([0, *(len(g) // 4 for g in got)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(got), np.int32)))
-                yield pa.RecordBatch.from_arrays([*b.columns, ids], names=[*keep, ids_col])
+    def run(texts: pa.Array) -> pa.Array:
+        got = _vocabulary(share).encode_batch([t or "" for t in texts.to_pylist()])
+        offsets = np.cumsum([0, *(len(g) // 4 for g in got)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(got), np.int32)))
 
-    return docs.mapInArrow(run, _with(docs.schema, ids_col, T.ArrayType(T.IntegerType())))
+    return _map_column(docs, text_col, 1, ids_col, T.ArrayType(T.IntegerType()), run)
 
 
 def decode_documents(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``df`` with the text that the ids spell; null ids spell the empty text."""
     share = _Share(df.sparkSession, path)
-    keep = [c for c in df.columns if c != text_col]
-    df = df.select(*[f"`{c}`" for c in keep])
-    at = keep.index(ids_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = _vocabulary(share)
-        for whole in batches:
-            for b in _slices(whole, at, 4):
-                texts = [v.decode(x or []) for x in b.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*keep, text_col])
+    def run(lists: pa.Array) -> pa.Array:
+        v = _vocabulary(share, encoder=False)
+        sizes = [0 if n is None else n for n in lists.value_lengths().to_pylist()]
+        ids, ends = lists.flatten().to_numpy().tolist(), np.cumsum(sizes).tolist()
+        return pa.array([v.decode(ids[end - n:end]) for n, end in zip(sizes, ends)], pa.string())
 
-    return df.mapInArrow(run, _with(df.schema, text_col, T.StringType()))
+    return _map_column(df, ids_col, 4, text_col, T.StringType(), run)
