@@ -79,23 +79,24 @@ def features(text: str) -> np.ndarray | None:
 
 def train_svm(x: np.ndarray, y: np.ndarray, seed: int = 0) -> np.ndarray:
     """Weights (the last is the bias) of a linear SVM with hinge loss; y is -1 or 1."""
-    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    norm, alpha, w = (x * x).sum(1), np.zeros(len(x)), np.zeros(x.shape[1])
+    norm = np.einsum("ij,ij->i", x, x) + 1
+    alpha, w, bias = np.zeros(len(x)), np.zeros(x.shape[1], x.dtype), 0.0
     # rarer classes weigh more, so that a margin is worth the same on both sides
     upper = COST * np.where(y > 0, (y < 0).mean(), (y > 0).mean()) * 2
     rng = np.random.default_rng(seed)
     for _ in range(EPOCHS):
         most = 0.0
         for i in rng.permutation(len(x)):
-            g = y[i] * (w @ x[i]) - 1
+            g = y[i] * (float(w @ x[i]) + bias) - 1
             new = min(max(alpha[i] - g / norm[i], 0.0), upper[i])
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                w += x.dtype.type((new - alpha[i]) * y[i]) * x[i]
+                bias += (new - alpha[i]) * y[i]
                 most = max(most, abs(new - alpha[i]))
                 alpha[i] = new
         if most < 1e-4:
             break
-    return w
+    return np.append(w.astype(np.float64), bias)
 
 
 class Hierarchy:
@@ -169,8 +170,10 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE) -> Hierarchy:
 
     got = training_sample(rows, per_language).mapInArrow(run, "lang string, f binary").filter("f IS NOT NULL").collect()
     got.sort(key=lambda r: (r.lang, bytes(r.f)))   # the same order however the rows came
-    x = np.frombuffer(b"".join(r.f for r in got), np.float32).reshape(-1, 1 << BITS).astype(np.float64)
-    return Hierarchy(x, [r.lang for r in got])
+    langs, x = [r.lang for r in got], np.empty((len(got), 1 << BITS), np.float32)
+    for i in range(len(got)):
+        x[i], got[i] = np.frombuffer(got[i].f, np.float32), None   # one copy at a time
+    return Hierarchy(x, langs)
 
 
 def identify(docs: DataFrame, model: Hierarchy, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
