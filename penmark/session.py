@@ -47,7 +47,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def _local_fallback(sc) -> str:
     """A folder of this machine, which only a session without other machines may use."""
-    if not sc.master.startswith("local["):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return _LOCAL_FALLBACK_DIR
 
