@@ -73,17 +73,17 @@ class TokenTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
         return dataset.withColumn(self.getOutputCol(), T.filter_tokens(toks, self.getOrDefault(self.stopwords)))
 
 
-# CountVectorizer asks for a bound of the vocabulary; this one never cuts.
+# CountVectorizer asks for a bound of the vocabulary; the default never cuts.
 ALL_TERMS = 2 ** 31 - 1
 
 
-def text_vector_stages(text_col: str = "text", min_df: float = 1.0,
+def text_vector_stages(text_col: str = "text", vocab_size: int = ALL_TERMS, min_df: float = 1.0,
                        tokenizer: Callable[[Column], Column] | None = None) -> list:
     """Token stage, counts, idf (Spark's ln((n+1)/(df+1))) and L2 rows over all terms."""
     tok = TokenTransformer(inputCol=text_col, outputCol="tokens")
     tok.tokenizer = tokenizer
     return [tok,
-            CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=ALL_TERMS, minDF=min_df),
+            CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=vocab_size, minDF=min_df),
             IDF(inputCol="tf", outputCol="tfidf"),
             Normalizer(inputCol="tfidf", outputCol="features", p=2.0)]
 
@@ -102,11 +102,11 @@ def skip_unknown_labels(model: PipelineModel) -> PipelineModel:
 
 
 def text_pipeline(classifier: Estimator, text_col: str = "text", label_col: str = "lang",
-                  tokenizer=None) -> Pipeline:
+                  vocab_size: int = ALL_TERMS, tokenizer=None) -> Pipeline:
     """[tokens, counts, idf, norm, label index, classifier] -> prediction label."""
     clf = classifier() if isinstance(classifier, type) else classifier.copy()
     clf.setParams(featuresCol="features", labelCol="label_idx")
-    return Pipeline(stages=[*text_vector_stages(text_col, tokenizer=tokenizer),
+    return Pipeline(stages=[*text_vector_stages(text_col, vocab_size, tokenizer=tokenizer),
                             label_stages(label_col), clf])
 
 
@@ -122,7 +122,7 @@ def hash_split(df: DataFrame, key: str = "text", seed: str = "0", test_size: flo
 
 def build_and_evaluate(df: DataFrame, classifier: Estimator | type = None, text_col: str = "text",
                        label_col: str = "lang", outpath: str | None = None, test_size: float = 0.2,
-                       seed: str = "0"):
+                       seed: str = "0", vocab_size: int = ALL_TERMS):
     """Holdout fit and report, then a refit on all rows (optionally saved).
 
     Returns (model, report DataFrame, {"eval_fit": s, "full_fit": s}).
@@ -133,13 +133,13 @@ def build_and_evaluate(df: DataFrame, classifier: Estimator | type = None, text_
     df = df.persist()
     train, test = hash_split(df, text_col, seed, test_size)
     t0 = time.time()
-    model = text_pipeline(classifier, text_col, label_col).fit(train)
+    model = text_pipeline(classifier, text_col, label_col, vocab_size).fit(train)
     t1 = time.time()
     skip_unknown_labels(model)
     pred = with_label_names(model, model.transform(test))
     report = cut_lineage(classification_report(pred, label_col=label_col, pred_col="predicted"))
     t2 = time.time()
-    full = text_pipeline(classifier, text_col, label_col).fit(df)
+    full = text_pipeline(classifier, text_col, label_col, vocab_size).fit(df)
     t3 = time.time()
     if outpath:
         full.write().overwrite().save(outpath)
@@ -191,15 +191,17 @@ def mixing_fit(df: DataFrame, num_classes: int, num_features: int, epochs: int =
 
     ``rule``: "perceptron" (update on mistakes) or "pa" (passive-aggressive I,
     hinge loss, aggressiveness ``c``). The last column is the bias. Rows are dealt to
-    ``parts`` by id and taken in its order, so the result doesn't depend on the cluster.
+    ``parts`` by id (by a hash of the row where there is none) and taken in its order, so the
+    result doesn't depend on the cluster.
     Each part's weights go up a reduction tree as one array, all classes at a time.
     """
     spark = df.sparkSession
     cells = num_classes * (num_features + 1)
     if cells > MAX_MODEL_CELLS:
         raise ValueError(f"weight matrix of {cells} cells exceeds the broadcast bound {MAX_MODEL_CELLS}; select features first")
-    part = F.pmod(F.xxhash64(id_col), F.lit(parts)).cast("int")
-    data = df.select(part.alias("part"), id_col, features_col, F.col(label_col).cast("int").alias("y")).rdd.map(
+    key = F.col(id_col) if id_col in df.columns else F.xxhash64(vector_to_array(features_col), F.col(label_col))
+    part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    data = df.select(part.alias("part"), key.alias("key"), features_col, F.col(label_col).cast("int").alias("y")).rdd.map(
         lambda r: (r[0], (r[1], *_sparse(r[2]), r[3]))).groupByKey(parts, lambda k: k).mapValues(
         lambda rows: sorted(rows, key=lambda r: r[0])).persist()
     w = np.zeros((num_classes, num_features + 1))
