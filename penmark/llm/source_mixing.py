@@ -96,6 +96,12 @@ def mix_slots(sources: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS)
                      "sid", block.alias("block"))
 
 
+def _picks(sources: DataFrame, seed: int) -> DataFrame:
+    """(sid, block, k): how often each block is taken. Made from few rows but as many as the mix has
+    slots, which Spark's estimate doesn't know: the hint keeps it from being broadcast."""
+    return mix_slots(sources, seed).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("k")).hint("merge")
+
+
 def _sid(df: DataFrame, sources: DataFrame) -> DataFrame:
     """Attach the source's row (null is a source, too)."""
     keys = [F.coalesce("source", F.lit("")).alias("__s"), F.col("source").isNull().alias("__null")]
@@ -133,7 +139,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_pass
     """doc_id, size, source_size, target and taken (words of the mix that are the document's)."""
     sized = materialise(_sized(docs.withColumn("row_id", F.monotonically_increasing_id())), "mix-sizes")
     sources = materialise(source_targets(sized, weights, share, max_passes, block), "mix-sources")
-    picks = mix_slots(sources, seed).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("k"))
+    picks = _picks(sources, seed)
     pieces = doc_pieces(sized, sources, block)
     taken = (pieces.join(picks, ["sid", "block"], "left")
              .groupBy("row_id", "doc_id", "size", "source_size", "target")
@@ -156,10 +162,10 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_
     flat = rows.select("row_id", "row.doc_id", "row.source", "row.text")
     sized = materialise(_sized(flat), "mix-sizes")
     sources = materialise(source_targets(sized, weights, share, max_passes, block), "mix-sources")
-    picks = mix_slots(sources, seed).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("k"))
+    picks = _picks(sources, seed)
     spans = (doc_pieces(sized, sources, block).join(picks, ["sid", "block"]).groupBy("row_id", "size")
              .agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "k"))).alias("spans")))
-    out = rows.join(spans, "row_id").withColumn("pass", F.explode(F.sequence(
+    out = rows.join(spans.hint("merge"), "row_id").withColumn("pass", F.explode(F.sequence(
         F.lit(1).cast("long"), F.array_max(F.transform("spans", lambda s: s.k)))))
     out = out.withColumn("own", F.filter("spans", lambda s: s.k >= F.col("pass")))
     out = fixed(out, words=F.regexp_extract_all("row.text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0)))
