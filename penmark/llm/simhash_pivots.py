@@ -188,7 +188,8 @@ def one_per_group(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS
     rows = materialise(fingerprints(docs, "doc_id", size), "simhash-rows")
     groups = _groups(rows, "doc_id", max_bits)
     first = materialise(groups.select(F.col("component_id").alias("doc_id")).distinct(), "simhash-first")
-    kept = docs.join(first, "doc_id", "left_semi")
+    # one id a component, so it grows with the documents: dealt out at every size, not broadcast at small ones
+    kept = docs.join(first.hint("merge"), "doc_id", "left_semi")
     if not rows.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id"])   # needed, and paid for, where ids repeat only
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
