@@ -71,7 +71,10 @@ class LineRuns:
         """``batch``: one row (h1, h2) per document and distinct line."""
         own = batch.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
         for run in self.settled:
-            own = own.join(self.spark.table(run).select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
+            # an anti-join as left join and test: the optimiser would move a left_anti join below the
+            # counts and exchange every single line
+            seen = self.spark.table(run).select("h1", "h2", F.lit(True).alias("seen")).hint("merge")
+            own = own.join(seen, ["h1", "h2"], "left").filter("seen IS NULL").drop("seen")
         self.levels[0].append(self._write(own))
         level = 0
         while len(self.levels[level]) >= self.fanout:
