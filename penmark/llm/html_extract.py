@@ -1,8 +1,10 @@
 """Main text of web pages by composite text density.
 
 The page becomes a tree. Elements that are never part of an article (menus, page headers
-and footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) are
-taken out by tag, role or the words of class and id. For every node that is left the
+and footers, scripts, styles, what is hidden) are taken out by tag or role. Forms and
+elements whose class or id has a word for sidebars, notices, adverts or reader comments
+are suspects: they are taken out unless they hold the densest subtree or most of the
+unlinked text around them (wrappers of the article). For every node that is left the
 composite text density is computed from its characters, tags, linked characters and
 linked tags (Sun, Song and Liao, 2011): characters per tag, adjusted by the share of
 links. The densities of a node's children add up to its density sum; the subtree with the
@@ -49,8 +51,8 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}
         "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
         "option": ({"option"}, {"select"}), "optgroup": ({"option", "optgroup"}, {"select"})}
 
-# What is never part of the article.
-NOT_TEXT = set("""head nav footer aside form button select datalist input textarea script style title xmp iframe noembed
+# What is never part of the article (ALWAYS: unless it holds the article).
+NOT_TEXT = set("""head nav footer aside button select datalist input textarea script style title xmp iframe noembed
 noframes noscript template svg math canvas audio video object applet map dialog menu search""".split())
 ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 ALWAYS = set("""ad ads advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion cookie cookies
@@ -60,6 +62,8 @@ footer toolbar pagination pager widget widgets login alert disclaimer skip""".sp
 UNLESS_CONTENT = set("header masthead banner meta byline tags author info".split())
 CONTENT = set("article post entry content main story body text".split())
 
+COMMENTS = set("comment comments disqus reply replies respond".split())
+
 ROOTS = {"article", "main", "body", "html"}
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
@@ -69,18 +73,24 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parts", "parent", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parts", "parent", "chars", "tags", "link_chars", "link_tags", "density", "total", "suspect")
 
-    def __init__(self, tag: str, parent: "Node | None"):
+    def __init__(self, tag: str, parent: "Node | None", suspect: "tuple[bool, bool] | None" = None):
         self.tag, self.parent, self.parts = tag, parent, []   # parts: text and nodes, in order
+        self.suspect = suspect
+
 
+def unwanted(tag: str, attributes: str, inside_article: bool) -> bool | tuple[bool, bool]:
+    """Whether an element is taken out with all it holds.
 
-def unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
-    """Whether an element is taken out with all it holds."""
+    A suspect gives two marks instead: whether one of its names is a content name and no more,
+    and whether its names have a content word and none for comments.
+    """
     if tag in NOT_TEXT or (tag == "header" and not inside_article):
         return True
-    if not attributes or tag in ROOTS:
-        return False
+    if tag in ROOTS or not attributes:
+        return (False, False) if tag == "form" else False
+    words, content, hit = set(), False, tag == "form"
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -90,14 +100,27 @@ def unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
         if name in ("class", "id"):
-            names = set(NOT_NAME.split(CAMEL.sub(" ", value).lower()))
-            if names & ALWAYS or (names & UNLESS_CONTENT and not names & CONTENT and not inside_article):
+            names = [set(NOT_NAME.split(CAMEL.sub(" ", x).lower())) for x in value.split()]
+            own = set().union(*names)
+            if not own & ALWAYS and own & UNLESS_CONTENT and not own & CONTENT and not inside_article:
                 return True
-    return False
+            hit = hit or bool(own & ALWAYS)
+            content = content or any(x & CONTENT and not x & ALWAYS for x in names)
+            words |= own
+    return (content, bool(words & CONTENT) and not words & COMMENTS) if hit else False
 
 
 def parse(page: str) -> Node:
     """The tree of a page without unwanted elements."""
+    root, suspects = parse_tags(page)
+    if suspects:
+        settle(root)
+    return root
+
+
+def parse_tags(page: str) -> tuple[Node, bool]:
+    """The tree of a page with its suspects, and whether there are any."""
+    any_suspect = False
     root = Node("html", None)
     at, n = root, len(page)
     depth_out, out_stack = 0, []      # open elements inside an unwanted one
@@ -197,17 +220,80 @@ def parse(page: str) -> Node:
                 at = leave(at)
         if tag == "html":
             continue
-        if unwanted(tag, attributes, articles > 0):
+        verdict = unwanted(tag, attributes, articles > 0)
+        if verdict is True:
             if tag not in VOID and not attributes.endswith("/"):
                 out_stack, out_tag = [tag], tag
             at.parts.append(" " if tag not in BLOCK else Node("hr", at))
             continue
-        node = Node(tag, at)
+        node = Node(tag, at, verdict or None)
+        any_suspect = any_suspect or bool(verdict)
         at.parts.append(node)
         if tag not in VOID:
             articles += tag in ("article", "main")
             at = node
-    return root
+    return root, any_suspect
+
+
+def settle(root: Node) -> None:
+    """Take suspects out, inner ones first, but for those that hold the text around them.
+
+    A suspect is held against its surroundings: the article, suspect or page it stands in.
+    What counts is unlinked text without that of inner suspects that were taken out.
+    """
+    order = [root]
+    for node in order:
+        order.extend(p for p in node.parts if isinstance(p, Node))
+    linked = {}
+    for node in order:
+        linked[id(node)] = node.tag == "a" or (node.parent is not None and linked[id(node.parent)])
+    # by node: text, text in articles, the largest article, whether there is an h1, suspects not settled yet
+    found = {}
+    for node in reversed(order):
+        text = 0 if linked[id(node)] else sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
+        in_articles, largest, headline, inside = 0, 0, node.tag == "h1", []
+        for p in node.parts:
+            if isinstance(p, Node):
+                own = found[id(p)]
+                if p.suspect:
+                    inside.append((p, own))
+                else:
+                    text, in_articles, largest = text + own[0], in_articles + own[1], max(largest, own[2])
+                    headline = headline or own[3]
+                    inside += own[4]
+        if inside and (node.suspect or node.tag in ("article", "main") or node is root):
+            for _, own in keep_or_drop(node, text, in_articles, inside, node is root):
+                text, in_articles, largest = text + own[0], in_articles + own[1], max(largest, own[2])
+                headline = headline or own[3]
+            inside = []
+        if node.tag in ("article", "main"):
+            in_articles, largest = text, text
+        found[id(node)] = text, in_articles, largest, headline, inside
+
+
+def keep_or_drop(around: Node, text: int, in_articles: int, inside: list, whole_page: bool) -> list:
+    """Settle the suspects ``inside`` one article, suspect or page; returns those that stay."""
+    total = text + sum(own[0] for _, own in inside)
+    # beside an article, it takes a sign of content, too
+    able = [(s, own) for s, own in inside if own[0] and
+            (not in_articles or s.suspect[0] or own[3] or own[2] > in_articles)]
+    stay = [(s, own) for s, own in able if 2 * own[0] > total]
+    if not stay and not in_articles:
+        # a page in pieces, such as a page builder's widgets
+        pieces = [(s, own) for s, own in able if s.suspect[1]]
+        if 2 * sum(own[0] for _, own in pieces) > total:
+            stay = pieces
+    if not stay and whole_page and able:
+        order = measure(around)
+        body = next((x for x in order if x.tag == "body"), around)
+        best = max(order[order.index(body):], key=lambda x: x.total)
+        while best is not None and not best.suspect:
+            best = best.parent
+        stay = [(s, own) for s, own in able if s is best]
+    out = {id(s) for s, _ in inside} - {id(s) for s, _ in stay}
+    for parent in {id(s.parent): s.parent for s, _ in inside}.values():
+        parent.parts = [p if id(p) not in out else " " if p.tag not in BLOCK else Node("hr", parent) for p in parent.parts]
+    return stay
 
 
 def out_owner_closed(at: Node, tag: str, out_tag: str) -> bool:

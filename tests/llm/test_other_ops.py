@@ -36,6 +36,31 @@ def test_main_text(page, want):
     assert main_text(page) == want
 
 
+AD = "<div class='ad'><p>Buy now.</p></div>"
+COMMENTS = "<div id='comments'><ol class='comment-list'>" + "".join(
+    f"<li class='comment'><div class='comment-body'><p>{'I like this story. ' * 9}{i}</p></div></li>" for i in range(9)) + "</ol></div>"
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<body><div class='content has-sidebar'><h1>H</h1>{P}{P}<div class='sidebar'><p>Side</p></div>{AD}</div></body>", f"H\n\n{T}\n\n{T}"),
+    (f"<body><div class='post share-enabled'>{P}{P}<div class='share'>Share</div></div>{COMMENTS}</body>", f"{T}\n\n{T}"),
+    (f"<body><div class='elementor-widget elementor-widget-text-editor'><div class='elementor-widget-container'>{P}</div></div>{AD}</body>", T),
+    ("<body>" + f"<div class='elementor-widget elementor-widget-text-editor'>{P}</div>" * 3 + f"{AD}</body>", "\n\n".join([T] * 3)),
+    (f"<body><form id='form1'><nav>menu</nav><div><h1>H</h1>{P}{P}</div><form class='signup'><p>Your mail</p></form></form></body>", f"H\n\n{T}\n\n{T}"),
+    (f"<body><article><h1>H</h1><div class='entry no-comments'>{P}{P}</div>{AD}</article></body>", f"H\n\n{T}\n\n{T}"),
+    (f"<body><div id='page' class='no-sidebar'><article>{P}{P}</article>{COMMENTS}</div></body>", f"{T}\n\n{T}"),
+    (f"<body><div>{P}</div>{COMMENTS}<form><p>Leave your mail.</p></form></body>", T),
+    (f"<body><article>{P}</article><div class='related'>" + "<article><p>Teaser of a story.</p></article>" * 20 + "</div></body>", T),
+])
+def test_suspects_that_hold_the_text_stay(page, want):
+    assert main_text(page) == want
+
+
+def test_many_nested_suspects():
+    assert main_text("<div class='widget'>" * 5_000 + "deep") == "deep"
+    assert main_text("<p>" + "text " * 50 + "</p>" + "<div class='ad'>x</div>" * 5_000) == ("text " * 50).strip()
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 20_000 + "deep") == "deep"
     long = "word " * 200_000
