@@ -163,6 +163,8 @@ def parse_tags(page: str) -> tuple[Node, bool]:
             i = j + 1
             continue
         i, closing, tag, attributes = m.end(), m[1], m[2].lower(), m[3]
+        if out_stack and not closing and tag not in RAW:   # what the tag ends without an end tag
+            del out_stack[still_open(tag, out_stack, at):]
         if out_stack:   # only look for the end of what is left out
             if closing:
                 if tag in out_stack:
@@ -179,8 +181,6 @@ def parse_tags(page: str) -> tuple[Node, bool]:
                 continue
             else:
                 if tag not in VOID and not attributes.endswith("/"):
-                    if tag == out_stack[-1] and tag in ("li", "p", "option", "dt", "dd", "td", "tr"):
-                        continue
                     out_stack.append(tag)
                 continue
         if closing:
@@ -296,6 +296,35 @@ def keep_or_drop(around: Node, text: int, in_articles: int, inside: list, whole_
     return stay
 
 
+def still_open(tag: str, out_stack: list[str], at: Node) -> int:
+    """How many elements of ``out_stack`` an opening tag leaves open; none, if it ends the one that is left out."""
+    n = len(out_stack)
+    if tag in CLOSES_P:
+        k = n - 1
+        while k >= 0 and out_stack[k] not in BLOCK and out_stack[k] not in NOT_TEXT and out_stack[k] not in ("td", "th"):
+            k -= 1
+        if k >= 0:
+            n = k if out_stack[k] == "p" else n
+        else:   # an inline element: the p around it may end
+            while at is not None and at.tag not in BLOCK and at.tag not in ("td", "th"):
+                at = at.parent
+            if at is not None and at.tag == "p":
+                return 0
+    if tag in ENDS:
+        ended, scope = ENDS[tag]
+        walls = scope if tag not in ("li", "dt", "dd") else scope | NOT_TEXT | (BLOCK - {"address", "div", "p", "li", "dt", "dd"})
+        for k in range(n - 1, -1, -1):
+            if out_stack[k] in ended:
+                n = k
+            elif out_stack[k] in walls:
+                return n
+        while at is not None and at.tag not in scope:
+            if at.tag in ended:
+                return 0
+            at = at.parent
+    return n
+
+
 def out_owner_closed(at: Node, tag: str, out_tag: str) -> bool:
     """Whether an end tag ends an element around the one that is left out (which was never closed)."""
     if tag in ("p", "li"):

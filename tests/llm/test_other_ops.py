@@ -56,6 +56,22 @@ def test_suspects_that_hold_the_text_stay(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<article><p class='notice'>Ad<p>Real text</p></article>", "Real text"),
+    ("<article><p hidden>Ad<p>Real text</p></article>", "Real text"),
+    ("<article><p hidden>Ad<div>Real text</div><p>more</article>", "Real text\n\nmore"),
+    ("<article><p>One <span hidden>no<p>Two</article>", "One\n\nTwo"),
+    ("<article><ul><li class='ad'>x<li>a<li>b</ul></article>", "a\n\nb"),
+    ("<article><ul><li hidden>x<ul><li>y<li>z</ul>x<li>a<li>b</ul></article>", "a\n\nb"),
+    ("<article><dl><dt hidden>x<dd>a<dt>b</dl></article>", "a\n\nb"),
+    ("<article><table><tr hidden><td>x<td>y<tr><td>a<td hidden>n<td>b</table></article>", "a b"),
+    ("<article><ul><li>a<nav><li>menu<li>menu</nav><li>b</ul></article>", "a\n\nb"),
+    ("<article><p>a <button><div>no</div></button> b</p></article>", "a b"),
+])
+def test_left_out_elements_without_end_tags(page, want):
+    assert main_text(page) == want
+
+
 def test_many_nested_suspects():
     assert main_text("<div class='widget'>" * 5_000 + "deep") == "deep"
     assert main_text("<p>" + "text " * 50 + "</p>" + "<div class='ad'>x</div>" * 5_000) == ("text " * 50).strip()
