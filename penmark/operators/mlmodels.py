@@ -2,9 +2,9 @@
 
 Training is distributed by MLlib (tree, forest, linear models, naive Bayes) or,
 for the perceptron and passive-aggressive rules MLlib lacks, by iterative
-parameter mixing: every pass runs the online rule on each of a fixed number of
-parts from the current averaged weights, and the parts' weights are averaged up
-a reduction tree.
+parameter mixing: every pass runs the online rule on each part of the rows from
+the current averaged weights of the part's terms, and what the parts change is
+averaged per (term, class).
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
@@ -29,13 +30,14 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from penmark.functions import lexicon
 from penmark.functions import text as T
 from penmark.operators.features import split_flag
 from penmark.operators.skew import top_k_per_group
-from penmark.session import cut_lineage
-from penmark.sources.files import path_exists
+from penmark.session import cut_lineage, shared_path
+from penmark.sources.files import path_exists, remove_path
 
 
 class TokenTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -170,9 +172,9 @@ def predict_new(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ linear rules by parameter mixing
 
-# The averaged weights are broadcast every pass: classes x features must stay bounded.
-MAX_MODEL_CELLS = 50_000_000
-MIXING_PARTS = 8
+MIXING_PARTS = 8           # the least number of parts
+PART_CELLS = 8_000_000     # classes x non-zero cells of a part's rows, on average
+BIAS = -1                  # the bias's term
 
 
 def _sparse(v) -> tuple[np.ndarray, np.ndarray]:
@@ -184,65 +186,153 @@ def _sparse(v) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(v)), v.toArray()
 
 
-def mixing_fit(df: DataFrame, num_classes: int, num_features: int, epochs: int = 50,
-               rule: str = "perceptron", features_col: str = "features", label_col: str = "label_idx",
-               c: float = 1.0, id_col: str = "doc_id", parts: int = MIXING_PARTS) -> np.ndarray:
-    """One-vs-rest linear weights (classes x features+1) by iterative parameter mixing.
+def _cell_arrays(features_col: str) -> tuple[Column, Column]:
+    """Indices and values of a vector column as arrays; null has none."""
+    v = F.unwrap_udt(F.col(features_col))
+    val = F.coalesce(v.getField("values"), F.array().cast("array<double>"))
+    every = F.when(F.size(val) > 0, F.sequence(F.lit(0), F.size(val) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.coalesce(v.getField("indices"), every), val
+
+
+def _dealt(df: DataFrame, num_classes: int, features_col: str, key: Column, least: int) -> tuple[DataFrame, DataFrame, int]:
+    """``df`` with idx, val and part for the vectors, the (home, term) pairs (home: a part), and the number of rows.
+
+    Both are kept until the caller unpersists them. Parts are as many as keep a part's cells bounded.
+    """
+    idx, val = _cell_arrays(features_col)
+    rows = df.withColumn("idx", idx).withColumn("val", val).drop(features_col)
+    n, cells = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("idx").cast("long")), F.lit(0))).first()
+    parts = max(least, -(-(cells + n) * num_classes // PART_CELLS))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")).repartition(2 * parts, "part").persist()
+    bias = F.array(F.lit(BIAS))
+    terms = rows.select(F.col("part").alias("home"), F.explode(F.concat(bias, "idx")).alias("term")).distinct().repartition("term").persist()
+    return rows, terms, n
+
+
+def _part_rows(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The part's terms; the rows' offsets, positions among the terms, and values."""
+    idx, val = (pa.concat_arrays(rows[c].chunks) if rows[c].num_chunks else pa.array([], rows[c].type) for c in ("idx", "val"))
+    lens = idx.value_lengths().to_numpy(zero_copy_only=False)
+    at = np.concatenate(([0], np.cumsum(lens, dtype=np.int64)))
+    terms, pos = np.unique(idx.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+    return terms, at, pos, val.flatten().to_numpy(zero_copy_only=False)
+
+
+def _part_weights(terms: np.ndarray, cells: pa.Table, num_classes: int) -> np.ndarray:
+    """Weights (classes x the part's terms and the bias) from (term, class, weight) rows."""
+    w = np.zeros((num_classes, len(terms) + 1))
+    t = cells["term"].to_numpy()
+    w[cells["class"].to_numpy(), np.where(t == BIAS, len(terms), np.searchsorted(terms, t))] = cells["weight"].to_numpy()
+    return w
+
+
+class MixedWeights:
+    """One-vs-rest linear weights as a written table (term, class, weight) of non-zero cells; term -1 is the bias."""
+
+    def __init__(self, cells: DataFrame, num_classes: int):
+        self.cells, self.num_classes = cells, num_classes
+
+    def array(self, num_features: int) -> np.ndarray:
+        """classes x (features + 1) on the driver, for small models."""
+        w = np.zeros((self.num_classes, num_features + 1))
+        for r in self.cells.toLocalIterator():
+            w[r["class"], r["term"]] = r["weight"]
+        return w
+
+
+def mixing_weights(df: DataFrame, num_classes: int, epochs: int = 50, rule: str = "perceptron",
+                   features_col: str = "features", label_col: str = "label_idx", c: float = 1.0,
+                   id_col: str = "doc_id", parts: int = MIXING_PARTS) -> MixedWeights:
+    """One-vs-rest linear weights by iterative parameter mixing.
 
     ``rule``: "perceptron" (update on mistakes) or "pa" (passive-aggressive I,
-    hinge loss, aggressiveness ``c``). The last column is the bias. Rows are dealt to
-    ``parts`` by id (by a hash of the row where there is none) and taken in its order, so the
-    result doesn't depend on the cluster.
-    Each part's weights go up a reduction tree as one array, all classes at a time.
+    hinge loss, aggressiveness ``c``). Rows are dealt to parts by id (by a hash of the row
+    where there is none) and taken in its order, so the result doesn't depend on the cluster;
+    ``parts`` is the least number of parts, which follows the rows' cells (``PART_CELLS``).
+    In a pass each part is joined to the weights of its own terms and gives back what it
+    changed; changes, weighted by the part's rows, are added up per (term, class) in the
+    parts' order. No weights pass through the driver.
     """
     spark = df.sparkSession
-    cells = num_classes * (num_features + 1)
-    if cells > MAX_MODEL_CELLS:
-        raise ValueError(f"weight matrix of {cells} cells exceeds the broadcast bound {MAX_MODEL_CELLS}; select features first")
-    key = F.col(id_col) if id_col in df.columns else F.xxhash64(vector_to_array(features_col), F.col(label_col))
-    part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
-    data = df.select(part.alias("part"), key.alias("key"), features_col, F.col(label_col).cast("int").alias("y")).rdd.map(
-        lambda r: (r[0], (r[1], *_sparse(r[2]), r[3]))).groupByKey(parts, lambda k: k).mapValues(
-        lambda rows: sorted(rows, key=lambda r: r[0])).persist()
-    w = np.zeros((num_classes, num_features + 1))
-    for _ in range(epochs):
-        bw = spark.sparkContext.broadcast(w)
-
-        def run(it, bw=bw):
-            for _, rows in it:
-                local = bw.value.copy()
-                for _, idx, val, y in rows:
-                    t = np.full(num_classes, -1.0)
-                    t[y] = 1.0
-                    m = t * (local[:, idx] @ val + local[:, -1])
-                    if rule == "perceptron":
-                        step = (m <= 0) * t
-                    else:
-                        step = np.minimum(c, np.maximum(0.0, 1.0 - m) / (val @ val + 1.0)) * t
-                    some = np.flatnonzero(step)
-                    if len(some):
-                        local[np.ix_(some, idx)] += np.outer(step[some], val)
-                        local[some, -1] += step[some]
-                yield local * len(rows), len(rows)
-
-        total, n = data.mapPartitions(run).treeAggregate(
-            (np.zeros_like(w), 0), lambda x, y: (x[0] + y[0], x[1] + y[1]), lambda x, y: (x[0] + y[0], x[1] + y[1]))
-        w = total / max(n, 1)
-        bw.unpersist()
-    data.unpersist()
-    return w
+    idx, val = _cell_arrays(features_col)
+    whole = F.xxhash64(idx, val, F.col(label_col))
+    key = F.col(id_col) if id_col in df.columns else whole
+    data = df.select(key.alias("key"), whole.alias("whole"), features_col, F.col(label_col).cast("int").alias("y"))
+    rows, terms, n = _dealt(data, num_classes, features_col, F.col("key"), parts)
+
+    def run(rows: pa.Table, cells: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("key", "ascending"), ("whole", "ascending")])
+        own, at, pos, x = _part_rows(rows)
+        before = _part_weights(own, cells, num_classes)
+        local = before.copy()
+        for r, y in enumerate(rows["y"].to_numpy()):
+            i, v = pos[at[r]:at[r + 1]], x[at[r]:at[r + 1]]
+            t = np.full(num_classes, -1.0)
+            t[y] = 1.0
+            m = t * (local[:, i] @ v + local[:, -1])
+            if rule == "perceptron":
+                step = (m <= 0) * t
+            else:
+                step = np.minimum(c, np.maximum(0.0, 1.0 - m) / (v @ v + 1.0)) * t
+            some = np.flatnonzero(step)
+            if len(some):
+                local[np.ix_(some, i)] += np.outer(step[some], v)
+                local[some, -1] += step[some]
+        local -= before
+        k, j = np.nonzero(local)
+        return pa.table({"term": pa.array(np.append(own, BIAS)[j], pa.int32()), "class": pa.array(k, pa.int32()),
+                         "part": pa.array(np.full(len(k), rows["part"][0].as_py()), pa.int32()),
+                         "weight": local[k, j] * (len(rows) / n)})
+
+    w = spark.createDataFrame([], "term int, class int, weight double")
+    path = None
+    for _ in range(epochs if n else 0):
+        cells = terms.join(w, "term")
+        change = rows.groupBy("part").cogroup(cells.groupBy("home")).applyInArrow(
+            run, "term int, class int, part int, weight double")
+        both = change.unionByName(w.withColumn("part", F.lit(-1)))
+        by_part = F.array_sort(F.collect_list(F.struct("part", "weight")))
+        new = both.groupBy("term", "class").agg(
+            F.aggregate(by_part, F.lit(0.0), lambda a, x: a + x["weight"]).alias("weight")).filter("weight != 0")
+        last, path = path, shared_path(spark, "mixing")
+        new.write.parquet(path)
+        w = spark.read.schema("term int, class int, weight double").parquet(path)
+        if last:
+            remove_path(spark, last)   # the pass before, which nothing reads any more
+    rows.unpersist()
+    terms.unpersist()
+    return MixedWeights(w, num_classes)
 
 
-def mixing_predict(df: DataFrame, w: np.ndarray, features_col: str = "features") -> DataFrame:
-    """Argmax of the one-vs-rest scores."""
-    bw = df.sparkSession.sparkContext.broadcast(w)
+def mixing_fit(df: DataFrame, num_classes: int, num_features: int, epochs: int = 50,
+               rule: str = "perceptron", features_col: str = "features", label_col: str = "label_idx",
+               c: float = 1.0, id_col: str = "doc_id", parts: int = MIXING_PARTS) -> np.ndarray:
+    """``mixing_weights`` as an array (classes x features+1) on the driver; the last column is the bias."""
+    return mixing_weights(df, num_classes, epochs, rule, features_col, label_col, c, id_col, parts).array(num_features)
 
-    @F.udf("double")
-    def best(v):
-        idx, val = _sparse(v)
-        return float(np.argmax(bw.value[:, idx] @ val + bw.value[:, -1]))
 
-    return df.withColumn("prediction", best(features_col)).drop(features_col)
+def mixing_predict(df: DataFrame, w: MixedWeights | np.ndarray, features_col: str = "features") -> DataFrame:
+    """Argmax of the one-vs-rest scores; rows are dealt out and joined to the weights of their terms."""
+    spark = df.sparkSession
+    if isinstance(w, np.ndarray):
+        k, j = np.nonzero(w)
+        cells = [(BIAS if t == w.shape[1] - 1 else int(t), int(i), float(w[i, t])) for i, t in zip(k, j)]
+        w = MixedWeights(spark.createDataFrame(cells, "term int, class int, weight double"), len(w))
+    names = [x for x in df.columns if x != features_col]
+    row = F.struct(*[F.col(f"`{x}`") for x in names]).alias("row") if names else F.struct(F.lit(0)).alias("row")
+    k = w.num_classes
+    idx, val = _cell_arrays(features_col)
+    rows, terms, _ = _dealt(df.select(row, features_col), k, features_col, F.xxhash64("idx", "val"), MIXING_PARTS)
+
+    def best(rows: pa.Table, cells: pa.Table) -> pa.Table:
+        own, at, pos, x = _part_rows(rows)
+        local = _part_weights(own, cells, k)
+        found = [float(np.argmax(local[:, pos[a:b]] @ x[a:b] + local[:, -1])) for a, b in zip(at, at[1:])]
+        return pa.table({"row": rows["row"], "prediction": pa.array(found, pa.float64())})
+
+    schema = StructType([StructField("row", rows.schema["row"].dataType), StructField("prediction", DoubleType())])
+    out = rows.groupBy("part").cogroup(terms.join(w.cells, "term").groupBy("home")).applyInArrow(best, schema)
+    return out.select(*[F.col("row").getField(x).alias(x) for x in names], "prediction")
 
 
 def ridge_fit_predict(train: DataFrame, test: DataFrame, num_classes: int, alpha: float = 1.0) -> DataFrame:

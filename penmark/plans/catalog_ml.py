@@ -96,7 +96,7 @@ def q_ridge_classifier(spark, d):
 
 def _mixing(spark, d, rule):
     v = sweep_vectors(spark, d)
-    w = ML.mixing_fit(v.train, len(v.labels), v.size, epochs=50, rule=rule)
+    w = ML.mixing_weights(v.train, len(v.labels), epochs=50, rule=rule)
     return v.named(ML.mixing_predict(v.test, w))
 
 
@@ -235,7 +235,7 @@ def q_classifier_leaderboard(spark, d):
 
     def mixing(rule):
         def go():
-            w = ML.mixing_fit(v.train, k, v.size, epochs=50, rule=rule)
+            w = ML.mixing_weights(v.train, k, epochs=50, rule=rule)
             return lambda: v.named(ML.mixing_predict(v.test, w))
         return go
 

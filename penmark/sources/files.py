@@ -29,6 +29,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.globStatus(p)) and len(fs.globStatus(p)) > 0
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that this session wrote and reads no more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 # ------------------------------------------------------------------ readers
 
 def read_author_list(spark: SparkSession, path: str) -> DataFrame:

@@ -97,3 +97,21 @@ def test_mixing_does_not_depend_on_partitioning(spark):
         assert abs(a - b).max() < 1e-12
         pred = v.named(ML.mixing_predict(v.train, a))
         assert pred.filter("label = prediction").count() == 24
+
+def test_mixing_has_no_cell_limit_and_splits_into_parts(spark, monkeypatch):
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+    from pyspark.sql import types as TY
+
+    monkeypatch.setattr(ML, "PART_CELLS", 8)
+    size = 2 ** 30   # two classes x 2^30 terms: no array of that size is made
+    rows = [(i, f"n{i}", float(i % 2), SparseVector(size, [i % 2, size - 1 - i % 2], [1.0, 0.5])) for i in range(40)]
+    rows.append((None, None, 0.0, SparseVector(size, [0], [1.0])))
+    schema = TY.StructType([TY.StructField("doc_id", TY.LongType()), TY.StructField("name", TY.StringType()),
+                            TY.StructField("label_idx", TY.DoubleType()), TY.StructField("features", VectorUDT())])
+    df = spark.createDataFrame(rows, schema)
+    for rule in ("perceptron", "pa"):
+        w = ML.mixing_weights(df, 2, epochs=3, rule=rule)
+        assert {r.term for r in w.cells.collect()} <= {-1, 0, 1, size - 1, size - 2}
+        out = ML.mixing_predict(df, w)
+        assert out.columns == ["doc_id", "name", "label_idx", "prediction"] and out.count() == 41
+        assert out.filter("prediction != label_idx").count() == 0
