@@ -166,12 +166,17 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, parts: int = PARTS, chu
 
 
 def _groups(rows: DataFrame, id_col: str, max_bits: int) -> DataFrame:
-    """(fp, root, component_id) of every fingerprint of ``rows`` (id, fp)."""
+    """(fp, root, component_id, first_fp) of every fingerprint of ``rows`` (id, fp).
+
+    first_fp is the least fingerprint of the group's rows with the id component_id.
+    """
     distinct = materialise(rows.groupBy("fp").agg(F.min(id_col).alias("least")), "simhash-distinct")
     roots = components(near_links(distinct, max_bits)).withColumnRenamed("node", "fp")
     member = materialise(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-member")
-    ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    return materialise(member.join(ids, "root").select("fp", "root", "component_id"), "simhash-ids")
+    first = F.min(F.when(F.col("least").isNotNull(), F.struct("least", "fp")))
+    ids = member.groupBy("root").agg(first.alias("first"))
+    return materialise(member.join(ids, "root").select(
+        "fp", "root", F.col("first.least").alias("component_id"), F.col("first.fp").alias("first_fp")), "simhash-ids")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -183,16 +188,21 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", size: int = SHINGLE,
 def one_per_group(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of ``docs`` for each component: that with the smallest doc_id, all columns unchanged.
 
-    Of rows that share this doc_id one stays. A component whose ids are all null keeps one row.
+    Where ids repeat, a row is told by its id and its fingerprint: rows that share both are in one component,
+    and one of them stays. A component whose ids are all null keeps one row.
     """
     rows = materialise(fingerprints(docs, "doc_id", size), "simhash-rows")
     groups = _groups(rows, "doc_id", max_bits)
-    first = materialise(groups.select(F.col("component_id").alias("doc_id")).distinct(), "simhash-first")
-    # one id a component, so it grows with the documents: dealt out at every size, not broadcast at small ones
-    kept = docs.join(first.hint("merge"), "doc_id", "left_semi")
-    if not rows.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])   # needed, and paid for, where ids repeat only
+    first = groups.select(F.col("component_id").alias("doc_id"), F.col("first_fp").alias("fp")).distinct()
+    first = materialise(first.filter("doc_id IS NOT NULL"), "simhash-first")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    # one id a component, so it grows with the documents: dealt out at every size, not broadcast at small ones
+    if rows.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        kept = docs.join(first.hint("merge"), "doc_id", "left_semi")
+    else:   # fingerprints of the whole rows: needed, and paid for, where ids repeat only
+        named = fingerprints(docs.filter("doc_id IS NOT NULL").select(row, "text"), "row", size)
+        named = named.withColumn("doc_id", F.col("row.doc_id")).join(first.hint("merge"), ["doc_id", "fp"], "left_semi")
+        kept = named.dropDuplicates(["doc_id", "fp"]).select("row.*")
     unnamed = fingerprints(docs.filter("doc_id IS NULL").select(row, "text"), "row", size)
     unnamed = unnamed.join(groups.filter("component_id IS NULL"), "fp").dropDuplicates(["root"])
     return kept.unionByName(unnamed.select("row.*"))

@@ -119,6 +119,14 @@ def test_one_per_group(spark):
     assert one_per_group(some.limit(0)).count() == 0
 
 
+def test_one_per_group_of_repeated_ids(spark):
+    a, b, c, d = (" ".join(prose(i, 50)) for i in (1, 2, 3, 4))
+    # id 1: two unrelated texts, one of them twice; d is a copy of a group whose smallest id has another text, too
+    rows = [(1, a), (1, b), (1, b), (2, b), (3, d), (1, c), (4, c), (5, d)]
+    out = one_per_group(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, out.collect())) == sorted([(1, a), (1, b), (1, c), (3, d)])
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     rnd = random.Random(seed)
