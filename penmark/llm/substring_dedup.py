@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from penmark.llm.common import materialise, n_words
+from penmark.llm.common import BLANKS, GAP, materialise, n_words
 
 WINDOW = 35
 ANCHOR = 8               # words of an anchor
@@ -285,10 +285,9 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
                      pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(kept, pa.binary()).cast(pa.string())],
                     names=["row", "n_words", "n_removed", "spans", "kept"])
 
-    blanks = r"[\x20\x09-\x0D]+"
     own = F.coalesce("row.text", F.lit(""))
     untouched = _maybe(rows, marked, "left_anti").select(
         "row", n_words(own).alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
         F.array().cast("array<array<bigint>>").alias("spans"),
-        F.regexp_replace(F.regexp_replace(own, f"^{blanks}|{blanks}$", ""), blanks, " ").alias("kept"))
+        F.regexp_replace(F.btrim(own, F.lit(BLANKS)), GAP, " ").alias("kept"))
     return touched.mapInArrow(cut, schema).unionByName(untouched)

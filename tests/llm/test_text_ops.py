@@ -78,6 +78,12 @@ def test_substring_dedup_edges(spark):
     assert (r.row.doc_id, r.row.n_words, r.row.kept, r.n_words, r.n_removed, r.kept) == (None, 1, 2, 2, 0, "x y")
 
 
+def test_substring_dedup_line_ends_that_are_words(spark):
+    texts = ["word \u2028", "word \u0085", " word\t\u2029 ", "a \n b \u2028\n"]
+    got = {r.row.doc_id: r.kept for r in SD.substring_dedup(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(4)] == ["word \u2028", "word \u0085", "word \u2029", "a b \u2028"]
+
+
 # ------------------------------------------------------------------ SimHash
 
 def test_simhash_matches_brute_force(spark):
