@@ -207,3 +207,37 @@ def op6_warc_revisits(spark, d):
     from pyspark.sql import functions as F
     out = resolve_revisits(records_of_pages(docs_table(spark, d, "pages")))
     return out.withColumn("headers", header_block(F.col("headers")))
+
+
+# CRC-32 (the reflected polynomial 3988292384) of a word's UTF-8 bytes; crct.t is its table of 256 entries.
+_CRC_TABLE = """crct AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([i], list_transform(range(8), lambda z: 0::BIGINT)),
+  lambda a, z: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS c FROM (SELECT unnest(range(256)) AS i)))"""
+
+
+def _crc(x: str) -> str:
+    bytes_ = f"list_transform(range(strlen({x})), lambda i: ('0x' || substr(hex(encode({x})), 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {bytes_}), lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1])), 4294967295)"
+
+
+_OP11_SQL = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+k AS (SELECT w, {_crc('w')} % 10000 AS bucket FROM (SELECT w FROM d UNION SELECT w FROM b), crct),
+s AS (SELECT bucket, count(*) AS s FROM d JOIN k USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM b JOIN k USING (w) GROUP BY bucket),
+n AS (SELECT (SELECT count(*) FROM d) AS big_s, (SELECT count(*) FROM b) AS big_t),
+g AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (big_s + 10000.0::DOUBLE) / ((s + 1.0::DOUBLE) * (big_t + 10000.0::DOUBLE))))::BIGINT AS gain
+      FROM s LEFT JOIN t USING (bucket), n),
+f AS (SELECT doc_id, count(*)::BIGINT AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight FROM d JOIN k USING (w) JOIN g USING (bucket) GROUP BY doc_id),
+r AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+      FROM documents LEFT JOIN f USING (doc_id)),
+o AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM r WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT 10 * count(*) // 100 FROM o) THEN rank END AS rank FROM r LEFT JOIN o USING (doc_id)"""
+
+
+@query("op11_importance_resampling", _OP11_SQL)
+def op11_importance_resampling(spark, d):
+    from penmark.llm.importance_resampling import resample
+    return resample(docs_table(spark, d), docs_table(spark, d, "benchmark")).drop("n_words")
