@@ -221,8 +221,8 @@ def _crc(x: str) -> str:
 
 _OP11_SQL = f"""
 WITH {_CRC_TABLE},
-d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents),
-b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM benchmark),
 k AS (SELECT w, {_crc('w')} % 10000 AS bucket FROM (SELECT w FROM d UNION SELECT w FROM b), crct),
 s AS (SELECT bucket, count(*) AS s FROM d JOIN k USING (w) GROUP BY bucket),
 t AS (SELECT bucket, count(*) AS t FROM b JOIN k USING (w) GROUP BY bucket),
@@ -241,3 +241,26 @@ SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT 10 * count(*
 def op11_importance_resampling(spark, d):
     from penmark.llm.importance_resampling import resample
     return resample(docs_table(spark, d), docs_table(spark, d, "benchmark")).drop("n_words")
+
+
+_OP12_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS w
+        FROM documents) WHERE length(w) >= 6 GROUP BY doc_id, w),
+h AS (SELECT w, n, {_crc("(doc_id || ':' || w)")} AS h FROM d, crct),
+v AS (SELECT w, sum(n)::BIGINT AS n FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS w, n FROM h)
+      WHERE length(w) >= 6 GROUP BY w HAVING sum(n) >= 5),
+c AS (SELECT w, i, substr(w, 1, i - 1) AS p, substr(w, i + 1) AS s FROM (SELECT w, unnest(generate_series(1, length(w))) AS i FROM v)),
+e AS (SELECT DISTINCT a.w AS a, b.w AS b FROM c a JOIN c b ON a.p = b.p AND a.s = b.s AND a.w <> b.w
+      UNION SELECT c.w, v.w FROM c JOIN v ON v.w = c.p || c.s UNION SELECT v.w, c.w FROM c JOIN v ON v.w = c.p || c.s),
+f AS (SELECT a AS word, count(*)::BIGINT AS n_near, min(struct_pack(m := -y.n, w := b)) AS best FROM e JOIN v y ON y.w = b GROUP BY a),
+r AS (SELECT v.w AS word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.m >= 5 * v.n THEN best.w END AS form,
+        CASE WHEN -best.m >= 5 * v.n THEN -best.m END AS form_n FROM v LEFT JOIN f ON f.word = v.w),
+z AS (SELECT word, word AS root FROM r WHERE form IS NULL UNION ALL SELECT r.word, z.root FROM z JOIN r ON r.form = z.word)
+SELECT r.word, form, root, n, n_near, form_n FROM r JOIN z ON z.word = r.word"""
+
+
+@query("op12_spelling_variants", _OP12_SQL)
+def op12_spelling_variants(spark, d):
+    from penmark.llm.spelling_variants import spelling_variants
+    return spelling_variants(docs_table(spark, d))
