@@ -264,3 +264,56 @@ SELECT r.word, form, root, n, n_near, form_n FROM r JOIN z ON z.word = r.word"""
 def op12_spelling_variants(spark, d):
     from penmark.llm.spelling_variants import spelling_variants
     return spelling_variants(docs_table(spark, d))
+
+
+def _op13_sql() -> str:
+    from penmark.llm import credential_links as C
+
+    def lit(p):
+        return "'" + p.replace("'", "''") + "'"
+
+    def spans(kind, pattern, keep, group=0):
+        """The passing matches of a pattern with their places: what stands between the matches gives the starts."""
+        gaps = f"string_split_regex(text, {lit(pattern)})"
+        return (f"SELECT doc_id, {C.KINDS.index(kind)} AS kind, (list_sum(list_transform(list_slice(g, 1, i), lambda x: length(x)))"
+                f" + coalesce(list_sum(list_transform(list_slice(m, 1, i - 1), lambda x: length(x))), 0))::BIGINT AS a, length(m[i]) AS n, v[i] AS v"
+                f" FROM (SELECT doc_id, g, m, v, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, {gaps} AS g,"
+                f" regexp_extract_all(text, {lit(pattern)}) AS m, regexp_extract_all(text, {lit(pattern)}, {group}) AS v FROM d)) WHERE {keep}")
+
+    def among(col, kinds):
+        return f"{col} IN ({', '.join(str(C.KINDS.index(k)) for k in sorted(kinds))})"
+
+    found = [spans("assign", C.ASSIGN, f"length(v[i]) >= {C.LEAST_ASSIGN}", 2), spans("access", C.ACCESS, f"length(v[i]) >= {C.LEAST_ACCESS}"),
+             spans("hex", C.HEX, f"length(v[i]) >= {C.LEAST_HEX}"), spans("user", C.USER, "true"),
+             spans("short", C.ASSIGN, f"length(v[i]) BETWEEN {C.LEAST_SHORT} AND {C.LEAST_ASSIGN - 1}", 2),
+             spans("bare", C.BARE, f"length(v[i]) >= {C.LEAST_BARE}"), spans("url", C.URL, "true"), spans("host", C.HOST, "true")]
+    text = f"coalesce(string_agg([{', '.join(lit(k) for k in C.KINDS)}][kind + 1] || ':' || a || ':' || e, ',' ORDER BY a, kind), '')"
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+p AS (SELECT doc_id, kind, a, a + n AS e, {among('kind', C.STRONG)} AS strong FROM ({' UNION ALL '.join(found)})),
+c AS (SELECT p.*, len(regexp_extract_all(substr(text, 1, a::INT), '\\n[ \\t]*\\n')) AS block FROM p JOIN d USING (doc_id)
+      WHERE strong OR NOT EXISTS (SELECT 1 FROM p q WHERE q.doc_id = p.doc_id AND q.strong AND q.a < p.e AND q.e > p.a)),
+j AS (SELECT s.doc_id, s.a AS sa, s.e AS se, s.kind AS sk, o.a, o.e, o.kind FROM c s JOIN c o ON s.doc_id = o.doc_id AND s.block = o.block
+      AND o.a < s.e + {C.REACH} AND o.e > s.a - {C.REACH} WHERE {among('s.kind', C.SECRETS)} AND {among('o.kind', C.IDENTIFIERS | C.ENDPOINTS)}),
+f AS (SELECT doc_id, sa, se, sk FROM j GROUP BY ALL HAVING bool_or({among('kind', C.IDENTIFIERS)})
+      AND bool_or({among('kind', C.ENDPOINTS)} OR {among('kind', {'access'})} OR {among('sk', {'assign'})})),
+w AS (SELECT doc_id, a, e, kind FROM j SEMI JOIN f USING (doc_id, sa, se, sk) UNION SELECT doc_id, sa, se, sk FROM f),
+x AS (SELECT doc_id, a, e, kind, strong FROM p WHERE strong UNION ALL SELECT *, false FROM w WHERE NOT {among('kind', C.STRONG)}),
+b AS (SELECT doc_id, {text} AS base FROM x WHERE strong GROUP BY doc_id), y AS (SELECT doc_id, {text} AS spans FROM x GROUP BY doc_id),
+k AS (SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+        count(*) FILTER (WHERE kind = 2) AS n_hex FROM p GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM documents LEFT JOIN k USING (doc_id) LEFT JOIN b USING (doc_id) LEFT JOIN y USING (doc_id)"""
+
+
+@query("op13_credential_links", _op13_sql())
+def op13_credential_links(spark, d):
+    from pyspark.sql import functions as F
+
+    from penmark.llm.credential_links import KINDS, secret_spans, spans_text
+    out = secret_spans(docs_table(spark, d))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+
+    return out.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
+                      spans_text(F.concat("base", "added")).alias("spans"))
