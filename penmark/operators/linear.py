@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from penmark.operators.skew import top_k_per_group
+from penmark.session import written
 
 MAX_CLASSES = 100_000
 
@@ -126,6 +127,54 @@ def bernoulli_nb_predict(model, docs: DataFrame, weights: DataFrame, id_col: str
     return _argmax(scores, id_col)
 
 
+def gaussian_nb_fit(weights: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "lang",
+                    floor: float = 1e-9) -> tuple[DataFrame, DataFrame]:
+    """Gaussian naive Bayes over sparse non-negative weights; no dense vector anywhere.
+
+    Every variance is raised by ``floor`` times the largest variance of a term over all training rows. A (class, term)
+    pair without a weight has mean 0 and that least variance e. Up to what all classes share, a document's
+    log-likelihood is its class's ``base`` (all terms at zero, in closed form) plus, for each of its terms x seen in the
+    class, x^2/2 (1/e - 1/var) + x mu/var. Returned: classes (class, base) and cells (term, class, half, lin), the
+    factors of x^2 and x. ``weights`` may hold more documents than ``labels``; all their terms are the vocabulary.
+    """
+    labels = labels.select(id_col, F.col(label_col).cast("string").alias("class"))
+    counts = labels.groupBy("class").agg(F.count(F.lit(1)).alias("n_c"))
+    t = labels.select(F.count(F.lit(1))).scalar()
+    w = F.col("weight")
+    sums = weights.join(labels, id_col).groupBy("term", "class").agg(F.sum(w).alias("s"), F.sum(w * w).alias("q"))
+    sums = written(sums, "gaussian-sums")
+    spread = sums.groupBy("term").agg(F.sum("s").alias("s"), F.sum("q").alias("q"))
+    e = written(spread.agg((floor * F.max(F.col("q") / t - (F.col("s") / t) * (F.col("s") / t))).alias("e")), "gaussian-floor").scalar()
+    v = written(weights.agg(F.count_distinct("term").alias("v")), "gaussian-terms").scalar()
+    mean = F.col("s") / F.col("n_c")
+    var = F.greatest(F.col("q") / F.col("n_c") - mean * mean, F.lit(0.0)) + e
+    cells = sums.join(counts, "class").select("term", "class", mean.alias("mu"), var.alias("var"))
+    tau = 2 * math.pi
+    seen = cells.groupBy("class").agg(F.sum(F.log(F.lit(tau) * F.col("var")) + F.col("mu") * F.col("mu") / F.col("var")).alias("seen"),
+                                      F.count(F.lit(1)).alias("nnz"))
+    empty = (F.coalesce(v, F.lit(0)) - F.coalesce("nnz", F.lit(0))) * F.log(F.lit(tau) * e)
+    base = F.log(F.col("n_c") / t) - 0.5 * (F.coalesce("seen", F.lit(0.0)) + F.coalesce(empty, F.lit(0.0)))
+    classes = counts.join(seen, "class", "left").select("class", base.alias("base"))
+    return classes, cells.select("term", "class", (0.5 * (1 / e - 1 / F.col("var"))).alias("half"), (F.col("mu") / F.col("var")).alias("lin"))
+
+
+def gaussian_nb_predict(model: tuple[DataFrame, DataFrame], docs: DataFrame, weights: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, prediction); ties go to the first class.
+
+    Seen terms only add to a class's base. So the best class is among those a document shares a term
+    with, or it is the one with the greatest base: documents never meet all classes.
+    """
+    classes, cells = model
+    classes = written(classes, "gaussian-classes")
+    gain = weights.join(cells, "term").groupBy(id_col, "class").agg(
+        F.sum(F.col("half") * F.col("weight") * F.col("weight") + F.col("lin") * F.col("weight")).alias("gain"))
+    touched = gain.join(classes, "class").select(id_col, (-(F.col("base") + F.col("gain"))).alias("m"), "class")
+    top = classes.agg(F.min(F.struct((-F.col("base")).alias("m"), "class")).alias("b")).select("b").scalar()
+    rest = docs.select(id_col, top.alias("b")).select(id_col, "b.m", "b.class")
+    return touched.unionByName(rest).groupBy(id_col).agg(F.min(F.struct("m", "class")).alias("b")).select(
+        id_col, F.col("b.class").alias("prediction"))
+
+
 def nearest_centroid_fit(weights: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                          label_col: str = "lang"):
     """Class mean vectors (zeros included): classes (class, class_idx, norm2), cells (term, class, mu)."""

@@ -17,16 +17,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
-                                       NaiveBayes, OneVsRest, RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import (LinearSVC, LogisticRegression, NaiveBayes, OneVsRest,
+                                       RandomForestClassifier)
 from pyspark.ml.feature import (IDF, Binarizer, CountVectorizer, IndexToString, Normalizer,
                                 StringIndexer, VectorSlicer)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -396,7 +394,6 @@ CLASSIFIERS: dict[str, Callable[[], Estimator]] = {
     "bernoulli_nb": lambda: Pipeline(stages=[
         Binarizer(threshold=0.0, inputCol="features", outputCol="binary"),
         NaiveBayes(modelType="bernoulli", smoothing=0.01, featuresCol="binary", labelCol="label_idx")]),
-    "gaussian_nb": lambda: NaiveBayes(modelType="gaussian"),
 }
 
 
@@ -515,41 +512,5 @@ def knn_sparse(train: DataFrame, test: DataFrame, k: int = 10, id_col: str = "do
     return test.join(best.select(F.col("q").alias(id_col), (-F.col("b.y")).alias("prediction")), id_col)
 
 
-def grid_search(df: DataFrame, feature_cols: list[str], label_col: str, max_depths, min_instances,
-                n_splits: int = 10, test_size: float = 0.25, seed: int = 23, parallelism: int = 4) -> DataFrame:
-    """Mean holdout accuracy over ``n_splits`` seeded random splits for every setting.
-
-    One ``TrainValidationSplit`` per split seed; its fits run ``parallelism`` at a
-    time. ``min_samples_split`` has no MLlib twin: ``minInstancesPerNode`` is the
-    grid's second axis. Returns (max_depth, min_instances, split, score) rows.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    spark = df.sparkSession
-    data = VectorAssembler(inputCols=feature_cols, outputCol="features").transform(
-        StringIndexer(inputCol=label_col, outputCol="label_idx", stringOrderType="alphabetAsc").fit(df).transform(df))
-    data = data.select("features", "label_idx").persist()
-    dt = DecisionTreeClassifier(featuresCol="features", labelCol="label_idx", seed=seed)
-    grid = ParamGridBuilder().addGrid(dt.maxDepth, list(max_depths)).addGrid(
-        dt.minInstancesPerNode, list(min_instances)).build()
-    ev = MulticlassClassificationEvaluator(labelCol="label_idx", metricName="accuracy")
-    rows = []
-    for s in range(n_splits):
-        tvs = TrainValidationSplit(estimator=dt, estimatorParamMaps=grid, evaluator=ev,
-                                   trainRatio=1 - test_size, seed=seed + s, parallelism=parallelism)
-        m = tvs.fit(data)
-        for pm, score in zip(grid, m.validationMetrics):
-            rows.append((pm[dt.maxDepth], pm[dt.minInstancesPerNode], s, float(score)))
-    data.unpersist()
-    return spark.createDataFrame(rows, "max_depth int, min_instances int, split int, score double")
-
-
-def cv_results(scores: DataFrame) -> DataFrame:
-    return scores.groupBy("max_depth", "min_instances").agg(F.avg("score").alias("mean_test_score"))
-
-
-def best_setting(results: DataFrame) -> DataFrame:
-    return results.orderBy(F.col("mean_test_score").desc(), "max_depth", "min_instances").limit(1)
-
-
 def as_arrays(df: DataFrame, col: str = "features") -> DataFrame:
     return df.withColumn(col, vector_to_array(col))

@@ -7,9 +7,8 @@ stage is pure column expressions (the token stage) the SQL oracle still applies.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import functions as F
 
@@ -19,10 +18,11 @@ from penmark.operators import features as FE
 from penmark.operators import linear as LIN
 from penmark.operators import metrics as M
 from penmark.operators import mlmodels as ML
+from penmark.operators import trees as TR
 from penmark.plans import sqlfrag as S
-from penmark.plans.catalog import documents, metric_scalars, metrics, query, sweep_tfidf
+from penmark.plans.catalog import _TF_CLEAN, clean_term_counts, documents, metric_scalars, metrics, query, sweep_tfidf
 from penmark.plans.catalog_pages import _FILT
-from penmark.session import cut_lineage, shared_path
+from penmark.session import shared_path, written
 from penmark.tables import table
 
 
@@ -45,32 +45,68 @@ def metrics_split(spark, d):
     texts = documents(spark, d).select("doc_id", FE.split_flag("text", "23", 0.25).alias("is_test"))
     m = metric_scalars(metrics(spark, d))
     bal = M.balanced_sample(m, "doc_id", seed="0").drop("shuffle_key").join(texts, "doc_id")
-    bal = cut_lineage(bal)
+    bal = written(bal, "balanced")
     return bal.filter("NOT is_test").drop("is_test"), bal.filter("is_test").drop("is_test")
 
 
-def _dt_data(df):
-    idx = StringIndexer(inputCol="author", outputCol="label_idx", stringOrderType="alphabetAsc",
-                        handleInvalid="keep")
-    return VectorAssembler(inputCols=list(M.FEATURES), outputCol="features"), idx
+def metrics_trees(spark, d, n_splits: int | None = None) -> TR.Trees:
+    """Trees on the six statistics: one of the training side scored on the test side, or one for each split of the training side."""
+    train, test = metrics_split(spark, d)
+    if n_splits is None:
+        flagged = train.withColumn("held", F.lit(False)).unionByName(test.withColumn("held", F.lit(True)))
+        rows = flagged.select(F.lit(0).alias("tree"), F.col("doc_id").alias("id"), F.col("author").alias("label"), "held")
+        return TR.grow(TR.dense_cells(flagged, M.FEATURES, "doc_id"), rows)
+    rows = TR.splits(train.select(F.col("doc_id").alias("id"), F.col("author").alias("label")), n_splits, 23, 0.25)
+    return TR.grow(TR.dense_cells(train, M.FEATURES, "doc_id"), rows)
 
 
-@query("decision_tree")
-def q_decision_tree(spark, d):
-    train, test = metrics_split(spark, d)
-    asm, idx = _dt_data(train)
-    im = idx.fit(train)
-    tr = asm.transform(im.transform(train))
-    te = asm.transform(im.transform(test))
-    model = DecisionTreeClassifier(featuresCol="features", labelCol="label_idx", maxDepth=30, seed=1).fit(tr)
-    pred = model.transform(te)
-    lab = F.element_at(F.array(*[F.lit(x) for x in im.labels]), F.col("prediction").cast("int") + 1)
-    return pred.select("doc_id", F.col("author").alias("label"), lab.alias("prediction"))
+def author_texts(spark, d):
+    """The text path: (doc_id, author, is_test) by text (seed 23, 25 %), and the unsmoothed tf-idf of all documents."""
+    docs = documents(spark, d)
+    labels = docs.select("doc_id", F.col("source").alias("author"), FE.split_flag("text", "23", 0.25).alias("is_test"))
+    tf = written(clean_term_counts(spark, d), "author-counts")
+    n = table(spark, d, "documents").select(F.count(F.lit(1))).scalar()
+    weights = FE.tfidf(tf, FE.document_frequency(tf, n, smooth=False))
+    return written(labels, "author-labels"), written(weights, "author-weights")
 
 
-@query("gaussian_nb")
+@query("decision_tree")
+def q_decision_tree(spark, d):
+    """Exact trees on both paths: the six statistics, and the tf-idf weights."""
+    labels, weights = author_texts(spark, d)
+    cells = weights.select(F.col("doc_id").alias("id"), F.col("term").alias("feature"), F.col("weight").alias("value"))
+    rows = labels.select(F.lit(0).alias("tree"), F.col("doc_id").alias("id"), F.col("author").alias("label"), F.col("is_test").alias("held"))
+    both = [metrics_trees(spark, d).leaves.withColumn("path", F.lit("statistics")),
+            TR.grow(cells, rows).leaves.withColumn("path", F.lit("tfidf"))]
+    return both[0].unionByName(both[1]).select("path", F.col("id").alias("doc_id"), "label", "prediction")
+
+
+_AUTHOR = f"""{_TF_CLEAN},
+n AS (SELECT count(*) AS n FROM documents),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w0 AS (SELECT doc_id, term, tf * (ln(n.n / df.df) + 1) AS w FROM tf JOIN df USING (term), n),
+w AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w0),
+lab AS (SELECT doc_id, source AS class, {S.split_flag('text', '23', 0.25)} AS is_test FROM documents)"""
+
+
+@query("gaussian_nb", f"""WITH {_AUTHOR},
+cls AS (SELECT class, count(*) AS n_c FROM lab WHERE NOT is_test GROUP BY class),
+tot AS (SELECT sum(n_c) AS t, (SELECT count(DISTINCT term) FROM w) AS v FROM cls),
+sums AS (SELECT term, class, sum(weight) AS s, sum(weight * weight) AS q FROM w JOIN lab USING (doc_id) WHERE NOT is_test GROUP BY term, class),
+eps AS (SELECT 1e-9 * max(q / t - (s / t) * (s / t)) AS e FROM (SELECT sum(s) AS s, sum(q) AS q FROM sums GROUP BY term), tot),
+cell AS (SELECT term, class, s / n_c AS mu, greatest(q / n_c - (s / n_c) * (s / n_c), 0) + e AS var FROM sums JOIN cls USING (class), eps),
+base AS (SELECT class, ln(n_c / t) - 0.5 * (coalesce(seen, 0) + (v - coalesce(nnz, 0)) * ln(2 * pi() * e)) AS base
+         FROM cls LEFT JOIN (SELECT class, sum(ln(2 * pi() * var) + mu * mu / var) AS seen, count(*) AS nnz FROM cell GROUP BY class) USING (class), tot, eps),
+gain AS (SELECT doc_id, class, sum(0.5 * weight * weight * (1 / e - 1 / var) + weight * mu / var) AS gain FROM w JOIN cell USING (term), eps GROUP BY 1, 2),
+sc AS (SELECT lab.doc_id, base.class, base + coalesce(gain, 0) AS score FROM lab CROSS JOIN base LEFT JOIN gain ON gain.doc_id = lab.doc_id AND gain.class = base.class),
+rk AS (SELECT doc_id, class, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, class) AS rn FROM sc)
+SELECT doc_id, CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, lab.class AS label, rk.class AS prediction FROM lab JOIN rk USING (doc_id) WHERE rn = 1""")
 def q_gaussian_nb(spark, d):
-    return _fit_predict(spark, d, "gaussian_nb")
+    labels, weights = author_texts(spark, d)
+    model = LIN.gaussian_nb_fit(weights, labels.filter("NOT is_test"), label_col="author")
+    pred = LIN.gaussian_nb_predict(model, labels, weights)
+    split = F.when(F.col("is_test"), "test").otherwise("train").alias("split")
+    return labels.join(pred, "doc_id").select("doc_id", split, F.col("author").alias("label"), "prediction")
 
 
 @query("random_forest")
@@ -117,40 +153,32 @@ def q_l1_select_then_svc(spark, d):
     return v.named(pred)
 
 
-GRID_DEPTHS, GRID_MIN_INSTANCES, GRID_SPLITS = (2, 4, 8), (1, 2, 4), 3
+GRID_DEPTHS, GRID_MIN_SPLITS, GRID_SPLITS = range(1, 30), range(2, 50), 10
 
 
 def _grid(spark, d):
-    train, _ = metrics_split(spark, d)
-    return ML.grid_search(train, list(M.FEATURES), "author", GRID_DEPTHS, GRID_MIN_INSTANCES,
-                          n_splits=GRID_SPLITS)
+    """The score of each of 29 x 48 settings on each of 10 splits, from one tree a split."""
+    return TR.grid_scores(metrics_trees(spark, d, GRID_SPLITS).nodes, GRID_DEPTHS, GRID_MIN_SPLITS)
 
 
 @query("grid_search")
 def q_grid_search(spark, d):
-    return _grid(spark, d)
+    return _grid(spark, d).withColumnRenamed("tree", "split")
 
 
 @query("cv_results")
 def q_cv_results(spark, d):
-    return ML.cv_results(_grid(spark, d))
+    return TR.mean_scores(_grid(spark, d))
 
 
 @query("best_model")
 def q_best_model(spark, d):
-    best = ML.best_setting(ML.cv_results(_grid(spark, d))).first()
-    train, test = metrics_split(spark, d)
-    asm, idx = _dt_data(train)
-    im = idx.fit(train)
-    model = DecisionTreeClassifier(featuresCol="features", labelCol="label_idx",
-                                   maxDepth=best["max_depth"], minInstancesPerNode=best["min_instances"],
-                                   seed=1).fit(asm.transform(im.transform(train)))
-    pred = model.transform(asm.transform(im.transform(test)))
-    acc = EV.accuracy(pred, label_col="label_idx")
-    return acc.select(F.lit(best["max_depth"]).alias("max_depth"),
-                      F.lit(best["min_instances"]).alias("min_instances"),
-                      F.lit(best["mean_test_score"]).alias("mean_test_score"),
-                      F.col("accuracy").alias("test_accuracy"))
+    best = TR.best_setting(TR.mean_scores(_grid(spark, d))).first()
+    if best is None:
+        return spark.createDataFrame([], "max_depth int, min_samples_split int, mean_test_score double, test_accuracy double")
+    scored = TR.cut_accuracy(metrics_trees(spark, d).nodes, best["max_depth"], best["min_samples_split"])
+    return scored.select(F.lit(best["max_depth"]).alias("max_depth"), F.lit(best["min_samples_split"]).alias("min_samples_split"),
+                         F.lit(best["mean_test_score"]).alias("mean_test_score"), F.col("score").alias("test_accuracy"))
 
 
 @query("build_and_evaluate")

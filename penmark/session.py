@@ -78,3 +78,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` written as Parquet under the shared folder and read back.
+
+    For tables that several branches or iterations read: the lineage is cut, a lost
+    executor costs no recomputation, and later readers get column pruning.
+    """
+    path = shared_path(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -103,3 +103,35 @@ def test_knn_every_query_answered_for_any_blocking(spark, blocks):
     tb, qb = blocks
     out = L.knn_predict(train, test, k=5, train_blocks=tb, test_blocks=qb)
     assert out.count() == 40
+
+
+def plain_gaussian(train, rows, terms, floor=1e-9):
+    """{id: class} of dense Gaussian naive Bayes; train and rows: {id: (class, {term: weight})}."""
+    import numpy as np
+    dense = lambda x: np.array([x.get(t, 0.0) for t in terms])
+    x = np.array([dense(w) for _, w in train.values()])
+    y = np.array([c for c, _ in train.values()])
+    e = floor * x.var(axis=0).max()
+    out = {}
+    for k, (_, w) in rows.items():
+        score = {}
+        for c in sorted(set(y)):
+            mu, var = x[y == c].mean(axis=0), x[y == c].var(axis=0) + e
+            score[c] = np.log((y == c).mean()) - 0.5 * (np.log(2 * np.pi * var) + (dense(w) - mu) ** 2 / var).sum()
+        out[k] = max(sorted(score), key=score.get)
+    return out
+
+
+def test_gaussian_nb_against_dense(spark):
+    import random
+    rnd = random.Random(2)
+    terms = [f"t{i}" for i in range(12)]
+    rows = {i: (rnd.choice("abc"), {t: round(rnd.random(), 3) for t in rnd.sample(terms, rnd.choice([0, 2, 4]))}) for i in range(80)}
+    rows[80] = ("d", {})      # a class and a document without any weight
+    rows[81] = ("a", {"t0": 0.5, "new": 0.7})
+    train = {k: v for k, v in rows.items() if k < 60 or k == 80}
+    w = spark.createDataFrame([(k, t, x) for k, (_, c) in rows.items() for t, x in c.items()], "doc_id long, term string, weight double")
+    lab = spark.createDataFrame([(k, c) for k, (c, _) in rows.items()], "doc_id long, lang string")
+    model = L.gaussian_nb_fit(w, lab.filter(F.col("doc_id").isin(list(train))))
+    got = {r["doc_id"]: r["prediction"] for r in L.gaussian_nb_predict(model, lab, w).collect()}
+    assert got == plain_gaussian(train, rows, [*terms, "new"])
