@@ -4,7 +4,8 @@ Training is distributed by MLlib (tree, forest, linear models, naive Bayes) or,
 for the perceptron and passive-aggressive rules MLlib lacks, by iterative
 parameter mixing: every pass runs the online rule on each part of the rows from
 the current averaged weights of the part's terms, and what the parts change is
-averaged per (term, class).
+averaged per (term, class). Rows that fit into one part need no mixing: their
+passes follow one another in one task, as the plain online rule has it.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -170,7 +171,9 @@ def predict_new(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ linear rules by parameter mixing
 
-MIXING_PARTS = 8           # the least number of parts
+MIXING_PARTS = 1           # the least number of parts
+PREDICT_PARTS = 8          # the least number of parts that rows are scored in
+FIXED_POINT = float(2 ** 40)   # averaged weights are multiples of its inverse, so that sums don't depend on their order
 PART_CELLS = 8_000_000     # classes x non-zero cells of a part's rows, on average
 BIAS = -1                  # the bias's term
 
@@ -192,19 +195,19 @@ def _cell_arrays(features_col: str) -> tuple[Column, Column]:
     return F.coalesce(v.getField("indices"), every), val
 
 
-def _dealt(df: DataFrame, num_classes: int, features_col: str, key: Column, least: int) -> tuple[DataFrame, DataFrame, int]:
-    """``df`` with idx, val and part for the vectors, the (home, term) pairs (home: a part), and the number of rows.
+def _dealt(df: DataFrame, num_classes: int, features_col: str, key: Column, least: int) -> tuple[DataFrame, DataFrame, int, int]:
+    """``df`` with idx, val and part for the vectors, the (home, term) pairs (home: a part), and the numbers of rows and parts.
 
-    Both are kept until the caller unpersists them. Parts are as many as keep a part's cells bounded.
+    Parts are as many as keep a part's cells bounded.
     """
     idx, val = _cell_arrays(features_col)
     rows = df.withColumn("idx", idx).withColumn("val", val).drop(features_col)
     n, cells = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("idx").cast("long")), F.lit(0))).first()
     parts = max(least, -(-(cells + n) * num_classes // PART_CELLS))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")).repartition(2 * parts, "part").persist()
+    rows = rows.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
     bias = F.array(F.lit(BIAS))
-    terms = rows.select(F.col("part").alias("home"), F.explode(F.concat(bias, "idx")).alias("term")).distinct().repartition("term").persist()
-    return rows, terms, n
+    terms = rows.select(F.col("part").alias("home"), F.explode(F.concat(bias, "idx")).alias("term")).distinct()
+    return rows, terms, n, parts
 
 
 def _part_rows(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -248,55 +251,79 @@ def mixing_weights(df: DataFrame, num_classes: int, epochs: int = 50, rule: str
     where there is none) and taken in its order, so the result doesn't depend on the cluster;
     ``parts`` is the least number of parts, which follows the rows' cells (``PART_CELLS``).
     In a pass each part is joined to the weights of its own terms and gives back what it
-    changed; changes, weighted by the part's rows, are added up per (term, class) in the
-    parts' order. No weights pass through the driver.
+    changed; changes, weighted by the part's rows, are added up per (term, class) in fixed
+    point, so that partial sums may come in any order. No weights pass through the driver.
+    A pass in which no part changes anything is the last, as those after it would be like it.
+    A single part's passes run in one task: its changes are its weights.
     """
     spark = df.sparkSession
     idx, val = _cell_arrays(features_col)
     whole = F.xxhash64(idx, val, F.col(label_col))
     key = F.col(id_col) if id_col in df.columns else whole
     data = df.select(key.alias("key"), whole.alias("whole"), features_col, F.col(label_col).cast("int").alias("y"))
-    rows, terms, n = _dealt(data, num_classes, features_col, F.col("key"), parts)
-
-    def run(rows: pa.Table, cells: pa.Table) -> pa.Table:
+    rows, terms, n, parts = _dealt(data, num_classes, features_col, F.col("key"), parts)
+    schema = "term int, class int, weight double"
+    none = spark.createDataFrame([], schema)
+    if not n or not epochs:
+        return MixedWeights(none, num_classes)
+
+    def passes(rows: pa.Table, cells: pa.Table, times: int) -> pa.Table:
+        """What ``times`` passes over a part change, as (term, class, weight) rows."""
         rows = rows.sort_by([("key", "ascending"), ("whole", "ascending")])
         own, at, pos, x = _part_rows(rows)
         before = _part_weights(own, cells, num_classes)
-        local = before.copy()
-        for r, y in enumerate(rows["y"].to_numpy()):
-            i, v = pos[at[r]:at[r + 1]], x[at[r]:at[r + 1]]
-            t = np.full(num_classes, -1.0)
-            t[y] = 1.0
-            m = t * (local[:, i] @ v + local[:, -1])
-            if rule == "perceptron":
-                step = (m <= 0) * t
-            else:
-                step = np.minimum(c, np.maximum(0.0, 1.0 - m) / (v @ v + 1.0)) * t
-            some = np.flatnonzero(step)
-            if len(some):
-                local[np.ix_(some, i)] += np.outer(step[some], v)
-                local[some, -1] += step[some]
-        local -= before
-        k, j = np.nonzero(local)
+        local, ys = np.ascontiguousarray(before.T), rows["y"].to_numpy()
+        norms = np.add.reduceat(np.append(x * x, 0.0), at[:-1]) * (np.diff(at) > 0) + 1.0
+        target = np.where(np.arange(num_classes) == ys[:, None], 1.0, -1.0)
+        for _ in range(times):
+            changed = False
+            for r in range(len(ys)):
+                i, v, t = pos[at[r]:at[r + 1]], x[at[r]:at[r + 1]], target[r]
+                m = t * (v @ local[i] + local[-1])
+                if rule == "perceptron":
+                    step = np.where(m <= 0, t, 0.0)
+                else:
+                    step = np.minimum(c, np.maximum(0.0, 1.0 - m) / norms[r]) * t
+                if step.any():
+                    changed = True
+                    local[i] += np.outer(v, step)   # a row's terms are distinct
+                    local[-1] += step
+            if not changed:
+                break
+        diff = local.T - before
+        k, j = np.nonzero(diff)
         return pa.table({"term": pa.array(np.append(own, BIAS)[j], pa.int32()), "class": pa.array(k, pa.int32()),
-                         "part": pa.array(np.full(len(k), rows["part"][0].as_py()), pa.int32()),
-                         "weight": local[k, j] * (len(rows) / n)})
-
-    w = spark.createDataFrame([], "term int, class int, weight double")
-    path = None
-    for _ in range(epochs if n else 0):
+                         "weight": diff[k, j]})
+
+    if parts == 1:
+        empty = pa.table({"term": pa.array([], pa.int32()), "class": pa.array([], pa.int32()), "weight": pa.array([], pa.float64())})
+        path = shared_path(spark, "mixing")
+        rows.groupBy("part").applyInArrow(lambda t: passes(t, empty, epochs), schema).write.parquet(path)
+        return MixedWeights(spark.read.schema(schema).parquet(path), num_classes)
+
+    def one_pass(rows: pa.Table, cells: pa.Table) -> pa.Table:
+        out = passes(rows, cells, 1)
+        share = pa.array(out["weight"].to_numpy() * (len(rows) / n))
+        return out.set_column(2, "weight", share)
+
+    rows = rows.repartition(2 * parts, "part").persist()
+    terms = terms.repartition("term").persist()
+    w, path = none, None
+    for _ in range(epochs):
+        seen = Observation()
         cells = terms.join(w, "term")
-        change = rows.groupBy("part").cogroup(cells.groupBy("home")).applyInArrow(
-            run, "term int, class int, part int, weight double")
-        both = change.unionByName(w.withColumn("part", F.lit(-1)))
-        by_part = F.array_sort(F.collect_list(F.struct("part", "weight")))
-        new = both.groupBy("term", "class").agg(
-            F.aggregate(by_part, F.lit(0.0), lambda a, x: a + x["weight"]).alias("weight")).filter("weight != 0")
+        change = rows.groupBy("part").cogroup(cells.groupBy("home")).applyInArrow(one_pass, schema)
+        change = change.observe(seen, F.count(F.lit(1)).alias("n"))
+        fixed = F.round(F.col("weight") * FIXED_POINT).cast("decimal(38,0)")
+        new = change.unionByName(w).groupBy("term", "class").agg(
+            (F.sum(fixed).cast("double") / FIXED_POINT).alias("weight")).filter("weight != 0")
         last, path = path, shared_path(spark, "mixing")
         new.write.parquet(path)
-        w = spark.read.schema("term int, class int, weight double").parquet(path)
+        w = spark.read.schema(schema).parquet(path)
         if last:
             remove_path(spark, last)   # the pass before, which nothing reads any more
+        if not seen.get["n"]:
+            break
     rows.unpersist()
     terms.unpersist()
     return MixedWeights(w, num_classes)
@@ -320,7 +347,7 @@ def mixing_predict(df: DataFrame, w: MixedWeights | np.ndarray, features_col: st
     row = F.struct(*[F.col(f"`{x}`") for x in names]).alias("row") if names else F.struct(F.lit(0)).alias("row")
     k = w.num_classes
     idx, val = _cell_arrays(features_col)
-    rows, terms, _ = _dealt(df.select(row, features_col), k, features_col, F.xxhash64("idx", "val"), MIXING_PARTS)
+    rows, terms, _, _ = _dealt(df.select(row, features_col), k, features_col, F.xxhash64("idx", "val"), PREDICT_PARTS)
 
     def best(rows: pa.Table, cells: pa.Table) -> pa.Table:
         own, at, pos, x = _part_rows(rows)

@@ -135,3 +135,30 @@ def test_gaussian_nb_against_dense(spark):
     model = L.gaussian_nb_fit(w, lab.filter(F.col("doc_id").isin(list(train))))
     got = {r["doc_id"]: r["prediction"] for r in L.gaussian_nb_predict(model, lab, w).collect()}
     assert got == plain_gaussian(train, rows, [*terms, "new"])
+
+
+@pytest.mark.parametrize("rule", ["perceptron", "pa"])
+def test_one_part_is_the_online_rule(spark, rule):
+    import random
+
+    import numpy as np
+    rnd = random.Random(6)
+    rows = [(i, sorted(rnd.sample(range(9), rnd.choice([0, 2, 4]))), rnd.randrange(3)) for i in range(40)]
+    data = spark.createDataFrame([(i, Vectors.sparse(9, j, [0.5 + k for k in range(len(j))]), float(y)) for i, j, y in rows],
+                                 ["doc_id", "features", "label_idx"])
+    w = np.zeros((3, 10))
+    for _ in range(7):
+        for _, j, y in rows:
+            x = np.zeros(10)
+            x[j], x[9] = [0.5 + k for k in range(len(j))], 1.0
+            t = np.where(np.arange(3) == y, 1.0, -1.0)
+            m = t * (w @ x)
+            step = (m <= 0) * t if rule == "perceptron" else np.minimum(1.0, np.maximum(0, 1 - m) / (x @ x)) * t
+            w += np.outer(step, x)
+    assert np.allclose(ML.mixing_fit(data, 3, 9, epochs=7, rule=rule), w)
+
+
+def test_mixing_ends_when_nothing_changes(spark):
+    data = spark.createDataFrame([(i, Vectors.sparse(4, [i % 2], [1.0]), float(i % 2)) for i in range(12)], ["doc_id", "features", "label_idx"])
+    few, many = (ML.mixing_fit(data, 2, 4, epochs=e, parts=3) for e in (4, 50))
+    assert (few == many).all() and (few != 0).any()
