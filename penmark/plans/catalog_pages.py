@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from penmark.functions import text as T
 from penmark.operators import ingest as I
 from penmark.operators import pages as P
+from penmark.operators import sentences as SE
 from penmark.operators import tokens as TK
 from penmark.plans import sqlfrag as S
 from penmark.plans.catalog import _KEPT, _M, documents, metrics, pipeline_tokens, query
@@ -149,10 +150,65 @@ def q_split_paragraphs(spark, d):
 _SENTS = f"SELECT doc_id, {S.sentences('text')} AS s FROM documents"
 
 
-@query("split_sentences", f"""WITH x AS ({_SENTS})
-SELECT doc_id, (generate_subscripts(s, 1) - 1)::INTEGER AS sent_pos, unnest(s) AS sentence FROM x""")
+def _log_sql(x: str) -> str:
+    return f"ln(greatest({x}, 1e-12))"
+
+
+def _fit_sql(k: str, of: str, q: str) -> str:
+    return f"({k}) * {_log_sql(q)} + ({of} - ({k})) * {_log_sql(f'1 - {q}')}"
+
+
+def _association_sql(a: str, b: str, ab: str, n: str) -> str:
+    p, p1, p2 = f"({b} / {n})", f"({ab} / {a})", f"(({b} - {ab}) / ({n} - {a}))"
+    return (f"-2 * ({_fit_sql(ab, a, p)} + {_fit_sql(f'{b} - {ab}', f'({n} - {a})', p)}"
+            f" - ({_fit_sql(ab, a, p1)}) - ({_fit_sql(f'{b} - {ab}', f'({n} - {a})', p2)}))")
+
+
+def _match(col: str, pattern: str) -> str:
+    return f"regexp_matches({col}, {S.lit(pattern)})"
+
+
+# The trained splitter in SQL: the same counts, ratios and decisions.
+_TRAINED = f"""raw AS (SELECT doc_id, x, pos, regexp_replace(regexp_replace(x, {S.lit(SE.OPENING)}, ''), {S.lit(SE.CLOSING)}, '') AS core
+        FROM (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS pos FROM (SELECT doc_id, {S.extract_all("coalesce(text, '')", SE.TOKEN)} AS l FROM documents))),
+tok AS (SELECT doc_id, pos, x, CASE WHEN {_match('typ', SE.NUMBER)} THEN '{SE.NUMBER_TYPE}' ELSE typ END AS typ,
+          suffix(core, '.') AND NOT {_match('core', SE.ELLIPSIS)} AS stop, {_match('core', SE.ELLIPSIS)} AS dots, suffix(core, '!') OR suffix(core, '?') AS strong,
+          CASE WHEN {_match('core', SE.UPPER)} THEN 'U' WHEN {_match('core', SE.LOWER)} THEN 'L' ELSE '-' END AS cased
+        FROM (SELECT *, lower(regexp_replace(core, {S.lit(SE.TAIL)}, '')) AS typ FROM raw)),
+seq AS (SELECT *, lag(x) OVER w AS px, lag(typ) OVER w AS ptyp, lag(stop) OVER w AS pstop, lag(dots) OVER w AS pdots, lag(strong) OVER w AS pstrong
+        FROM tok WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+g AS (SELECT typ, stop, cased, CASE WHEN px IS NULL OR px = chr(10) THEN 's' WHEN pstrong THEN 'x' WHEN pstop THEN 'p' WHEN pdots THEN 'e' ELSE 'o' END AS before,
+        CASE WHEN pstop THEN ptyp ELSE '' END AS prev, count(*) AS n FROM seq WHERE x <> chr(10) GROUP BY ALL),
+tot AS (SELECT sum(n) AS nn, sum(n) FILTER (WHERE stop) AS bb FROM g),
+kind0 AS (SELECT typ, sum(n) AS n, sum(n) FILTER (WHERE stop) AS k, length(replace(typ, '.', '')) AS l FROM g GROUP BY typ HAVING k > 0),
+kind AS (SELECT typ AS prev, n AS prev_n, {_match('typ', SE.LETTER)} AND
+           -2 * ({_fit_sql('k', 'n', '(bb / nn)')} - k * ln(0.99) - (n - k) * ln(0.01)) * exp(-l) * (length(typ) - l + 1) * pow(l::DOUBLE, -(n - k)::DOUBLE)
+             >= {SE.ABBREVIATION} AS abbr, {_match('typ', SE.INITIAL)} AS initial, typ = '{SE.NUMBER_TYPE}' AS number FROM kind0, tot),
+aft AS (SELECT g.*, before = 'p' AND NOT coalesce(abbr, false) AS ends, before IN ('s', 'x') OR (before = 'p' AND NOT coalesce(abbr, false)) AS begins
+        FROM g LEFT JOIN kind USING (prev)),
+word0 AS (SELECT typ, sum(n) AS n, coalesce(sum(n) FILTER (WHERE ends), 0) AS at_end, bool_or(cased = 'L') AS lo, bool_or(cased = 'U') AS up,
+            bool_or(cased = 'U' AND before = 'o') AS up_in, bool_or(cased = 'L' AND begins) AS lo_begin FROM aft GROUP BY typ),
+allend AS (SELECT sum(at_end) AS e FROM word0),
+word AS (SELECT word0.*, coalesce({_match('typ', SE.LETTER)} AND at_end > 0 AND at_end * nn > e * n
+           AND CASE WHEN at_end > 0 THEN {_association_sql('e', 'n', 'at_end', 'nn')} END >= {SE.STARTER}, false) AS starter FROM word0, tot, allend),
+pair AS (SELECT prev, typ, cased, sum(sum(n)) OVER (PARTITION BY prev, typ) AS ab FROM g WHERE before = 'p' GROUP BY prev, typ, cased),
+dec AS (SELECT prev, typ, cased, abbr, initial, (initial OR number) AND NOT starter AND ab > 1 AND ab * nn > prev_n * n AND {_association_sql('prev_n', 'n', 'ab', 'nn')} >= {SE.COLLOCATION} AS bound,
+          cased = 'U' AND lo AND NOT up_in AS starts, cased = 'L' AND (up OR NOT lo_begin) AS none, lo, starter
+        FROM pair JOIN kind USING (prev) JOIN word USING (typ), tot WHERE abbr OR initial OR number),
+hold AS (SELECT prev, typ, cased FROM dec WHERE CASE WHEN bound THEN true WHEN abbr AND NOT initial THEN NOT (starts OR (cased = 'U' AND starter))
+           ELSE none OR (initial AND NOT starts AND cased = 'U' AND NOT lo) END),
+nxt AS (SELECT *, lead(x) OVER w AS nx, lead(typ) OVER w AS ntyp, lead(cased) OVER w AS ncased FROM tok WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+brk AS (SELECT nxt.*, CASE WHEN x = chr(10) OR strong OR (stop AND hold.prev IS NULL) OR (dots AND ncased = 'U') THEN 1 ELSE 0 END AS b
+        FROM nxt LEFT JOIN hold ON nx <> chr(10) AND hold.prev = nxt.typ AND hold.typ = ntyp AND hold.cased = ncased),
+grp AS (SELECT *, coalesce(sum(b) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM brk),
+sent AS (SELECT doc_id, s, string_agg(x, ' ' ORDER BY pos) AS sentence FROM grp WHERE x <> chr(10) GROUP BY doc_id, s)"""
+
+
+@query("split_sentences", f"""WITH {_TRAINED}
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1)::INTEGER AS sent_pos, sentence FROM sent""")
 def q_split_sentences(spark, d):
-    return documents(spark, d).select("doc_id", F.posexplode(T.split_sentences("text")).alias("sent_pos", "sentence"))
+    docs = documents(spark, d).select("doc_id", "text")
+    return SE.split(docs, SE.train(docs)).select("doc_id", F.posexplode("sentences").alias("sent_pos", "sentence"))
 
 
 @query("tokenize_words", f"""WITH x AS ({_SENTS}),
