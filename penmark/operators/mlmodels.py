@@ -1,11 +1,6 @@
-"""Spark ML pipelines: token stage, text vectors, classifiers, tuning, persistence.
-
-Training is distributed by MLlib (tree, forest, linear models, naive Bayes) or,
-for the perceptron and passive-aggressive rules MLlib lacks, by iterative
-parameter mixing: every pass runs the online rule on each part of the rows from
-the current averaged weights of the part's terms, and what the parts change is
-averaged per (term, class). Rows that fit into one part need no mixing: their
-passes follow one another in one task, as the plain online rule has it.
+"""Spark ML pipelines: token stage, text vectors, classifiers, persistence.
+
+Linear classifiers on text vectors are in ``penmark.operators.sparse_linear``.
 """
 
 from __future__ import annotations
@@ -15,28 +10,24 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import (LinearSVC, LogisticRegression, NaiveBayes, OneVsRest,
-                                       RandomForestClassifier)
-from pyspark.ml.feature import (IDF, Binarizer, CountVectorizer, IndexToString, Normalizer,
-                                StringIndexer, VectorSlicer)
+from pyspark.ml.classification import LinearSVC, NaiveBayes, OneVsRest, RandomForestClassifier
+from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, Normalizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
-from pyspark.ml.regression import LinearRegression
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from penmark.functions import lexicon
 from penmark.functions import text as T
 from penmark.operators.features import split_flag
 from penmark.operators.skew import top_k_per_group
-from penmark.session import cut_lineage, shared_path
-from penmark.sources.files import path_exists, remove_path
+from penmark.operators.sparse_linear import cell_arrays
+from penmark.session import cut_lineage
+from penmark.sources.files import path_exists
 
 
 class TokenTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -169,258 +160,10 @@ def predict_new(model: PipelineModel, df: DataFrame) -> DataFrame:
     return with_label_names(model, model.transform(df))
 
 
-# ------------------------------------------------------------------ linear rules by parameter mixing
-
-MIXING_PARTS = 1           # the least number of parts
-PREDICT_PARTS = 8          # the least number of parts that rows are scored in
-FIXED_POINT = float(2 ** 40)   # averaged weights are multiples of its inverse, so that sums don't depend on their order
-PART_CELLS = 8_000_000     # classes x non-zero cells of a part's rows, on average
-BIAS = -1                  # the bias's term
-
-
-def _sparse(v) -> tuple[np.ndarray, np.ndarray]:
-    """Indices and values of an ML vector."""
-    if v is None:
-        return np.empty(0, np.int64), np.empty(0)
-    if hasattr(v, "indices"):
-        return v.indices.astype(np.int64), v.values
-    return np.arange(len(v)), v.toArray()
-
-
-def _cell_arrays(features_col: str) -> tuple[Column, Column]:
-    """Indices and values of a vector column as arrays; null has none."""
-    v = F.unwrap_udt(F.col(features_col))
-    val = F.coalesce(v.getField("values"), F.array().cast("array<double>"))
-    every = F.when(F.size(val) > 0, F.sequence(F.lit(0), F.size(val) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.coalesce(v.getField("indices"), every), val
-
-
-def _dealt(df: DataFrame, num_classes: int, features_col: str, key: Column, least: int) -> tuple[DataFrame, DataFrame, int, int]:
-    """``df`` with idx, val and part for the vectors, the (home, term) pairs (home: a part), and the numbers of rows and parts.
-
-    Parts are as many as keep a part's cells bounded.
-    """
-    idx, val = _cell_arrays(features_col)
-    rows = df.withColumn("idx", idx).withColumn("val", val).drop(features_col)
-    n, cells = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("idx").cast("long")), F.lit(0))).first()
-    parts = max(least, -(-(cells + n) * num_classes // PART_CELLS))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
-    bias = F.array(F.lit(BIAS))
-    terms = rows.select(F.col("part").alias("home"), F.explode(F.concat(bias, "idx")).alias("term")).distinct()
-    return rows, terms, n, parts
-
-
-def _part_rows(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The part's terms; the rows' offsets, positions among the terms, and values."""
-    idx, val = (pa.concat_arrays(rows[c].chunks) if rows[c].num_chunks else pa.array([], rows[c].type) for c in ("idx", "val"))
-    lens = idx.value_lengths().to_numpy(zero_copy_only=False)
-    at = np.concatenate(([0], np.cumsum(lens, dtype=np.int64)))
-    terms, pos = np.unique(idx.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
-    return terms, at, pos, val.flatten().to_numpy(zero_copy_only=False)
-
-
-def _part_weights(terms: np.ndarray, cells: pa.Table, num_classes: int) -> np.ndarray:
-    """Weights (classes x the part's terms and the bias) from (term, class, weight) rows."""
-    w = np.zeros((num_classes, len(terms) + 1))
-    t = cells["term"].to_numpy()
-    w[cells["class"].to_numpy(), np.where(t == BIAS, len(terms), np.searchsorted(terms, t))] = cells["weight"].to_numpy()
-    return w
-
-
-class MixedWeights:
-    """One-vs-rest linear weights as a written table (term, class, weight) of non-zero cells; term -1 is the bias."""
-
-    def __init__(self, cells: DataFrame, num_classes: int):
-        self.cells, self.num_classes = cells, num_classes
-
-    def array(self, num_features: int) -> np.ndarray:
-        """classes x (features + 1) on the driver, for small models."""
-        w = np.zeros((self.num_classes, num_features + 1))
-        for r in self.cells.toLocalIterator():
-            w[r["class"], r["term"]] = r["weight"]
-        return w
-
-
-def mixing_weights(df: DataFrame, num_classes: int, epochs: int = 50, rule: str = "perceptron",
-                   features_col: str = "features", label_col: str = "label_idx", c: float = 1.0,
-                   id_col: str = "doc_id", parts: int = MIXING_PARTS) -> MixedWeights:
-    """One-vs-rest linear weights by iterative parameter mixing.
-
-    ``rule``: "perceptron" (update on mistakes) or "pa" (passive-aggressive I,
-    hinge loss, aggressiveness ``c``). Rows are dealt to parts by id (by a hash of the row
-    where there is none) and taken in its order, so the result doesn't depend on the cluster;
-    ``parts`` is the least number of parts, which follows the rows' cells (``PART_CELLS``).
-    In a pass each part is joined to the weights of its own terms and gives back what it
-    changed; changes, weighted by the part's rows, are added up per (term, class) in fixed
-    point, so that partial sums may come in any order. No weights pass through the driver.
-    A pass in which no part changes anything is the last, as those after it would be like it.
-    A single part's passes run in one task: its changes are its weights.
-    """
-    spark = df.sparkSession
-    idx, val = _cell_arrays(features_col)
-    whole = F.xxhash64(idx, val, F.col(label_col))
-    key = F.col(id_col) if id_col in df.columns else whole
-    data = df.select(key.alias("key"), whole.alias("whole"), features_col, F.col(label_col).cast("int").alias("y"))
-    rows, terms, n, parts = _dealt(data, num_classes, features_col, F.col("key"), parts)
-    schema = "term int, class int, weight double"
-    none = spark.createDataFrame([], schema)
-    if not n or not epochs:
-        return MixedWeights(none, num_classes)
-
-    def passes(rows: pa.Table, cells: pa.Table, times: int) -> pa.Table:
-        """What ``times`` passes over a part change, as (term, class, weight) rows."""
-        rows = rows.sort_by([("key", "ascending"), ("whole", "ascending")])
-        own, at, pos, x = _part_rows(rows)
-        before = _part_weights(own, cells, num_classes)
-        local, ys = np.ascontiguousarray(before.T), rows["y"].to_numpy()
-        norms = np.add.reduceat(np.append(x * x, 0.0), at[:-1]) * (np.diff(at) > 0) + 1.0
-        target = np.where(np.arange(num_classes) == ys[:, None], 1.0, -1.0)
-        for _ in range(times):
-            changed = False
-            for r in range(len(ys)):
-                i, v, t = pos[at[r]:at[r + 1]], x[at[r]:at[r + 1]], target[r]
-                m = t * (v @ local[i] + local[-1])
-                if rule == "perceptron":
-                    step = np.where(m <= 0, t, 0.0)
-                else:
-                    step = np.minimum(c, np.maximum(0.0, 1.0 - m) / norms[r]) * t
-                if step.any():
-                    changed = True
-                    local[i] += np.outer(v, step)   # a row's terms are distinct
-                    local[-1] += step
-            if not changed:
-                break
-        diff = local.T - before
-        k, j = np.nonzero(diff)
-        return pa.table({"term": pa.array(np.append(own, BIAS)[j], pa.int32()), "class": pa.array(k, pa.int32()),
-                         "weight": diff[k, j]})
-
-    if parts == 1:
-        empty = pa.table({"term": pa.array([], pa.int32()), "class": pa.array([], pa.int32()), "weight": pa.array([], pa.float64())})
-        path = shared_path(spark, "mixing")
-        rows.groupBy("part").applyInArrow(lambda t: passes(t, empty, epochs), schema).write.parquet(path)
-        return MixedWeights(spark.read.schema(schema).parquet(path), num_classes)
-
-    def one_pass(rows: pa.Table, cells: pa.Table) -> pa.Table:
-        out = passes(rows, cells, 1)
-        share = pa.array(out["weight"].to_numpy() * (len(rows) / n))
-        return out.set_column(2, "weight", share)
-
-    rows = rows.repartition(2 * parts, "part").persist()
-    terms = terms.repartition("term").persist()
-    w, path = none, None
-    for _ in range(epochs):
-        seen = Observation()
-        cells = terms.join(w, "term")
-        change = rows.groupBy("part").cogroup(cells.groupBy("home")).applyInArrow(one_pass, schema)
-        change = change.observe(seen, F.count(F.lit(1)).alias("n"))
-        fixed = F.round(F.col("weight") * FIXED_POINT).cast("decimal(38,0)")
-        new = change.unionByName(w).groupBy("term", "class").agg(
-            (F.sum(fixed).cast("double") / FIXED_POINT).alias("weight")).filter("weight != 0")
-        last, path = path, shared_path(spark, "mixing")
-        new.write.parquet(path)
-        w = spark.read.schema(schema).parquet(path)
-        if last:
-            remove_path(spark, last)   # the pass before, which nothing reads any more
-        if not seen.get["n"]:
-            break
-    rows.unpersist()
-    terms.unpersist()
-    return MixedWeights(w, num_classes)
-
-
-def mixing_fit(df: DataFrame, num_classes: int, num_features: int, epochs: int = 50,
-               rule: str = "perceptron", features_col: str = "features", label_col: str = "label_idx",
-               c: float = 1.0, id_col: str = "doc_id", parts: int = MIXING_PARTS) -> np.ndarray:
-    """``mixing_weights`` as an array (classes x features+1) on the driver; the last column is the bias."""
-    return mixing_weights(df, num_classes, epochs, rule, features_col, label_col, c, id_col, parts).array(num_features)
-
-
-def mixing_predict(df: DataFrame, w: MixedWeights | np.ndarray, features_col: str = "features") -> DataFrame:
-    """Argmax of the one-vs-rest scores; rows are dealt out and joined to the weights of their terms."""
-    spark = df.sparkSession
-    if isinstance(w, np.ndarray):
-        k, j = np.nonzero(w)
-        cells = [(BIAS if t == w.shape[1] - 1 else int(t), int(i), float(w[i, t])) for i, t in zip(k, j)]
-        w = MixedWeights(spark.createDataFrame(cells, "term int, class int, weight double"), len(w))
-    names = [x for x in df.columns if x != features_col]
-    row = F.struct(*[F.col(f"`{x}`") for x in names]).alias("row") if names else F.struct(F.lit(0)).alias("row")
-    k = w.num_classes
-    idx, val = _cell_arrays(features_col)
-    rows, terms, _, _ = _dealt(df.select(row, features_col), k, features_col, F.xxhash64("idx", "val"), PREDICT_PARTS)
-
-    def best(rows: pa.Table, cells: pa.Table) -> pa.Table:
-        own, at, pos, x = _part_rows(rows)
-        local = _part_weights(own, cells, k)
-        found = [float(np.argmax(local[:, pos[a:b]] @ x[a:b] + local[:, -1])) for a, b in zip(at, at[1:])]
-        return pa.table({"row": rows["row"], "prediction": pa.array(found, pa.float64())})
-
-    schema = StructType([StructField("row", rows.schema["row"].dataType), StructField("prediction", DoubleType())])
-    out = rows.groupBy("part").cogroup(terms.join(w.cells, "term").groupBy("home")).applyInArrow(best, schema)
-    return out.select(*[F.col("row").getField(x).alias(x) for x in names], "prediction")
-
-
-def ridge_fit_predict(train: DataFrame, test: DataFrame, num_classes: int, alpha: float = 1.0) -> DataFrame:
-    """Least squares on +-1 targets per class (L2, no standardisation), argmax."""
-    n = train.count()
-    scored = test
-    cols = []
-    for k in range(num_classes):
-        target = F.when(F.col("label_idx") == k, 1.0).otherwise(-1.0)
-        lr = LinearRegression(featuresCol="features", labelCol="_t", predictionCol=f"_s{k}",
-                              regParam=alpha / max(n, 1), elasticNetParam=0.0, standardization=False,
-                              solver="l-bfgs", maxIter=100, tol=1e-2)
-        model = lr.fit(train.withColumn("_t", target))
-        scored = model.transform(scored)
-        cols.append(f"_s{k}")
-    scores = F.array(*[F.col(c) for c in cols])
-    return scored.withColumn("prediction", (F.array_position(scores, F.array_max(scores)) - 1).cast("double")).drop(*cols)
-
-
-def l1_select_then_svc(train: DataFrame, test: DataFrame, threshold: float = 1e-5):
-    """An L1 model picks the features; a linear SVM classifies on those only."""
-    l1 = LogisticRegression(featuresCol="features", labelCol="label_idx", elasticNetParam=1.0,
-                            regParam=1e-3, maxIter=100, tol=1e-3).fit(train)
-    coef = l1.coefficientMatrix.toArray()
-    keep = [int(j) for j in np.nonzero(np.abs(coef).max(axis=0) > threshold)[0]] or [0]
-    slicer = VectorSlicer(inputCol="features", outputCol="selected", indices=keep)
-    svc = OneVsRest(classifier=LinearSVC(regParam=1e-4, maxIter=100), featuresCol="selected", labelCol="label_idx",
-                    parallelism=4)
-    model = svc.fit(slicer.transform(train))
-    return model.transform(slicer.transform(test)), keep
-
-
-def coefficients(model, vocabulary: list[str] | None = None) -> DataFrame:
-    """Non-zero linear coefficients as a long table (class, feature, weight).
-
-    The coefficient matrix already lives on the driver in the fitted model; only
-    its non-zero cells become rows.
-    """
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    mat = model.coefficientMatrix.toArray()
-    ks, js = np.nonzero(mat)
-    rows = [(str(int(k)), int(j), float(mat[k, j])) for k, j in zip(ks, js)]
-    df = spark.createDataFrame(rows, "class string, feature long, weight double")
-    if vocabulary is not None:
-        voc = spark.createDataFrame(list(enumerate(vocabulary)), "feature long, term string")
-        df = df.join(voc, "feature")
-    return df
-
-
 CLASSIFIERS: dict[str, Callable[[], Estimator]] = {
-    # liblinear's squared hinge has no MLlib twin: plain hinge for L2, logistic loss for L1
-    "linear_svc_l2": lambda: OneVsRest(classifier=LinearSVC(regParam=1e-4, maxIter=100, tol=1e-3), parallelism=4),
-    "linear_svc_l1": lambda: LogisticRegression(elasticNetParam=1.0, regParam=1e-4, maxIter=100, tol=1e-3),
-    "sgd_l2": lambda: OneVsRest(classifier=LinearSVC(regParam=1e-4, maxIter=50, tol=1e-3), parallelism=4),
-    "sgd_l1": lambda: LogisticRegression(elasticNetParam=1.0, regParam=1e-4, maxIter=50, tol=1e-3),
-    "sgd_elasticnet": lambda: LogisticRegression(elasticNetParam=0.15, regParam=1e-4, maxIter=50, tol=1e-3),
     # 30 is MLlib's greatest depth
     "random_forest": lambda: RandomForestClassifier(numTrees=100, maxDepth=30, seed=42),
     "multinomial_nb": lambda: NaiveBayes(modelType="multinomial", smoothing=0.01),
-    "bernoulli_nb": lambda: Pipeline(stages=[
-        Binarizer(threshold=0.0, inputCol="features", outputCol="binary"),
-        NaiveBayes(modelType="bernoulli", smoothing=0.01, featuresCol="binary", labelCol="label_idx")]),
 }
 
 
@@ -500,14 +243,10 @@ def knn_sparse(train: DataFrame, test: DataFrame, k: int = 10, id_col: str = "do
     par = train.sparkSession.sparkContext.defaultParallelism
     qb = max(qb, -(-par // tb))
 
-    @F.udf("i array<int>, x array<double>")
-    def cells(v):
-        i, x = _sparse(v)
-        return i.tolist(), x.tolist()
-
     def side(df, own, n_own, other, n_other):
-        df = df.select(F.col(id_col).alias("id"), F.col("label_idx").alias("y"), cells("features").alias("f"))
-        return df.select("id", "y", "f.i", "f.x", F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int").alias(own),
+        df = df.select(F.col(id_col).alias("id"), F.col("label_idx").alias("y"), *[
+            c.alias(x) for c, x in zip(cell_arrays(df, "features"), "ix")])
+        return df.select("id", "y", "i", "x", F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int").alias(own),
                          F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other))
 
     def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

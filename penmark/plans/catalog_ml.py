@@ -6,7 +6,6 @@ stage is pure column expressions (the token stage) the SQL oracle still applies.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
@@ -18,6 +17,7 @@ from penmark.operators import features as FE
 from penmark.operators import linear as LIN
 from penmark.operators import metrics as M
 from penmark.operators import mlmodels as ML
+from penmark.operators import sparse_linear as SL
 from penmark.operators import trees as TR
 from penmark.plans import sqlfrag as S
 from penmark.plans.catalog import _TF_CLEAN, clean_term_counts, documents, metric_scalars, metrics, query, sweep_tfidf
@@ -31,14 +31,6 @@ def sweep_vectors(spark, d) -> ML.TextVectors:
     return ML.vectorise(*sweep_tfidf(spark, d))
 
 
-def _fit_predict(spark, d, name):
-    v = sweep_vectors(spark, d)
-    est = ML.CLASSIFIERS[name]()
-    if not isinstance(est, Pipeline):
-        est.setParams(featuresCol="features", labelCol="label_idx")
-    return v.named(est.fit(v.train).transform(v.test))
-
-
 def metrics_split(spark, d):
     """Balanced per-author metrics, 25 % hash holdout (seed 23), as in the structural path."""
     # split by text, so that exact copies are on one side
@@ -111,46 +103,59 @@ def q_gaussian_nb(spark, d):
 
 @query("random_forest")
 def q_random_forest(spark, d):
-    return _fit_predict(spark, d, "random_forest")
+    v = sweep_vectors(spark, d)
+    est = ML.CLASSIFIERS["random_forest"]().setParams(featuresCol="features", labelCol="label_idx")
+    return v.named(est.fit(v.train).transform(v.test))
+
+
+def _linear(v, rule, **params):
+    return v.named(SL.predict(v.test, SL.fit(v.train, len(v.labels), rule, **params)))
+
+
+def _l1_svc(v):
+    return v.named(SL.predict(v.test, SL.fit_l1(v.train, len(v.labels))))
+
+
+def _each(kind, parts):
+    """The predictions of several settings, one under the other."""
+    out = None
+    for name, pred in parts.items():
+        pred = pred.select(F.lit(name).alias(kind), "*")
+        out = pred if out is None else out.unionByName(pred)
+    return out
 
 
 @query("linear_svc")
 def q_linear_svc(spark, d):
-    return _fit_predict(spark, d, "linear_svc_l2")
+    v = sweep_vectors(spark, d)
+    return _each("penalty", {"l2": _linear(v, "svc", epochs=1000), "l1": _l1_svc(v)})
 
 
 @query("sgd_linear")
 def q_sgd_linear(spark, d):
-    return _fit_predict(spark, d, "sgd_elasticnet")
+    v = sweep_vectors(spark, d)
+    return _each("penalty", {p: _linear(v, f"sgd_{p}") for p in ("l2", "l1", "elasticnet")})
 
 
 @query("ridge_classifier")
 def q_ridge_classifier(spark, d):
-    v = sweep_vectors(spark, d)
-    return v.named(ML.ridge_fit_predict(v.train, v.test, len(v.labels)))
-
-
-def _mixing(spark, d, rule):
-    v = sweep_vectors(spark, d)
-    w = ML.mixing_weights(v.train, len(v.labels), epochs=50, rule=rule)
-    return v.named(ML.mixing_predict(v.test, w))
+    return _linear(sweep_vectors(spark, d), "ridge", epochs=1000)
 
 
 @query("perceptron")
 def q_perceptron(spark, d):
-    return _mixing(spark, d, "perceptron")
+    return _linear(sweep_vectors(spark, d), "perceptron")
 
 
 @query("passive_aggressive")
 def q_passive_aggressive(spark, d):
-    return _mixing(spark, d, "pa")
+    return _linear(sweep_vectors(spark, d), "pa")
 
 
 @query("l1_select_then_svc")
 def q_l1_select_then_svc(spark, d):
     v = sweep_vectors(spark, d)
-    pred, _ = ML.l1_select_then_svc(v.train, v.test)
-    return v.named(pred)
+    return v.named(SL.l1_select_then_svc(v.train, v.test, len(v.labels))[0])
 
 
 GRID_DEPTHS, GRID_MIN_SPLITS, GRID_SPLITS = range(1, 30), range(2, 50), 10
@@ -237,10 +242,9 @@ def q_assemble_features(spark, d):
 @query("coef_density")
 def q_coef_density(spark, d):
     v = sweep_vectors(spark, d)
-    lr = LogisticRegression(featuresCol="features", labelCol="label_idx", elasticNetParam=1.0,
-                            regParam=1e-3, maxIter=100).fit(v.train)
-    names = spark.createDataFrame([(str(i), x) for i, x in enumerate(v.labels)], "class string, label string")
-    density = EV.coef_density(ML.coefficients(lr), lr.numFeatures, names)
+    names = spark.createDataFrame(list(enumerate(v.labels)), "class int, label string")
+    cells = SL.fit_l1(v.train, len(v.labels)).cells.filter(F.col("term") != SL.BIAS)
+    density = EV.coef_density(cells, v.size, names)
     return density.join(names, "class").select(F.col("label").alias("class"), "dimensionality", "density")
 
 
@@ -252,19 +256,15 @@ def q_classifier_leaderboard(spark, d):
     labels = train.select("doc_id", "lang")
     k = len(v.labels)
 
-    def estimator(name):
-        def go():
-            est = ML.CLASSIFIERS[name]()
-            if not isinstance(est, Pipeline):
-                est.setParams(featuresCol="features", labelCol="label_idx")
-            model = est.fit(v.train)
-            return lambda: v.named(model.transform(v.test))
-        return go
+    def forest():
+        est = ML.CLASSIFIERS["random_forest"]().setParams(featuresCol="features", labelCol="label_idx")
+        model = est.fit(v.train)
+        return lambda: v.named(model.transform(v.test))
 
-    def mixing(rule):
+    def linear(rule, **params):
         def go():
-            w = ML.mixing_weights(v.train, k, epochs=50, rule=rule)
-            return lambda: v.named(ML.mixing_predict(v.test, w))
+            w = SL.fit_l1(v.train, k) if rule == "svc_l1" else SL.fit(v.train, k, rule, **params)
+            return lambda: v.named(SL.predict(v.test, w))
         return go
 
     def long_form(fit, predict):
@@ -273,17 +273,16 @@ def q_classifier_leaderboard(spark, d):
             return lambda: test.select("doc_id", F.col("lang").alias("label")).join(predict(model, test, w_test), "doc_id")
         return go
 
-    def ridge():
-        return lambda: v.named(ML.ridge_fit_predict(v.train, v.test, k))
-
     def selected():
-        return lambda: v.named(ML.l1_select_then_svc(v.train, v.test)[0])
+        pred, _ = SL.l1_select_then_svc(v.train, v.test, k)
+        return lambda: v.named(pred)
 
     def knn():
         return lambda: v.named(ML.knn_sparse(v.train, v.test, 10))
 
-    fits = [("ridge", ridge), ("perceptron", mixing("perceptron")), ("passive_aggressive", mixing("pa")), ("knn", knn),
-            *[(n, estimator(n)) for n in ("random_forest", "linear_svc_l2", "sgd_l2", "linear_svc_l1", "sgd_l1", "sgd_elasticnet")],
+    fits = [("ridge", linear("ridge", epochs=1000)), ("perceptron", linear("perceptron")), ("passive_aggressive", linear("pa")),
+            ("knn", knn), ("random_forest", forest), ("linear_svc_l2", linear("svc", epochs=1000)), ("sgd_l2", linear("sgd_l2")),
+            ("linear_svc_l1", linear("svc_l1")), ("sgd_l1", linear("sgd_l1")), ("sgd_elasticnet", linear("sgd_elasticnet")),
             ("nearest_centroid", long_form(LIN.nearest_centroid_fit, LIN.nearest_centroid_predict)),
             ("multinomial_nb", long_form(LIN.multinomial_nb_fit, LIN.multinomial_nb_predict)),
             ("bernoulli_nb", long_form(LIN.bernoulli_nb_fit, LIN.bernoulli_nb_predict)),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from penmark.operators import evaluate as EV
 from penmark.operators import linear as L
 from penmark.operators import mlmodels as ML
+from penmark.operators import sparse_linear as SL
 
 # Two authors, one shared word and one own word each.
 TRAIN = [(1, "shared alpha", "A"), (2, "alpha alpha", "A"), (3, "shared alpha alpha", "A"),
@@ -74,8 +75,7 @@ def test_informative_features_pairs(spark):
 def test_parameter_mixing_separates(spark, rule):
     rows = [(Vectors.sparse(3, [0], [1.0]), 0.0), (Vectors.sparse(3, [1], [1.0]), 1.0)] * 10
     df = spark.createDataFrame(rows, ["features", "label_idx"]).repartition(3)
-    w = ML.mixing_fit(df, 2, 3, epochs=5, rule=rule)
-    pred = ML.mixing_predict(df, w).collect()
+    pred = SL.predict(df, SL.fit(df, 2, rule, epochs=5)).collect()
     assert all(r["prediction"] == r["label_idx"] for r in pred)
 
 
@@ -155,10 +155,10 @@ def test_one_part_is_the_online_rule(spark, rule):
             m = t * (w @ x)
             step = (m <= 0) * t if rule == "perceptron" else np.minimum(1.0, np.maximum(0, 1 - m) / (x @ x)) * t
             w += np.outer(step, x)
-    assert np.allclose(ML.mixing_fit(data, 3, 9, epochs=7, rule=rule), w)
+    assert np.allclose(SL.fit(data, 3, rule, epochs=7).array(9), w)
 
 
 def test_mixing_ends_when_nothing_changes(spark):
     data = spark.createDataFrame([(i, Vectors.sparse(4, [i % 2], [1.0]), float(i % 2)) for i in range(12)], ["doc_id", "features", "label_idx"])
-    few, many = (ML.mixing_fit(data, 2, 4, epochs=e, parts=3) for e in (4, 50))
+    few, many = (SL.fit(data, 2, "perceptron", epochs=e, parts=3).array(4) for e in (4, 50))
     assert (few == many).all() and (few != 0).any()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from penmark.functions import text as T
 from penmark.operators import features as FE
 from penmark.operators import mlmodels as ML
+from penmark.operators import sparse_linear as SL
 from penmark.session import shared_path
 from penmark.sources import files as IO
 
@@ -92,17 +93,17 @@ def test_mixing_does_not_depend_on_partitioning(spark):
     w, idf = FE.fit_tfidf(docs)
     v = ML.vectorise(docs, docs, w, w, idf)
     for rule in ("perceptron", "pa"):
-        a = ML.mixing_fit(v.train.repartition(2), 3, v.size, epochs=3, rule=rule)
-        b = ML.mixing_fit(v.train.repartition(7), 3, v.size, epochs=3, rule=rule)
-        assert abs(a - b).max() < 1e-12
-        pred = v.named(ML.mixing_predict(v.train, a))
+        a = SL.fit(v.train.repartition(2), 3, rule, epochs=3, parts=4)
+        b = SL.fit(v.train.repartition(7), 3, rule, epochs=3, parts=4)
+        assert abs(a.array(v.size) - b.array(v.size)).max() == 0
+        pred = v.named(SL.predict(v.train, a))
         assert pred.filter("label = prediction").count() == 24
 
 def test_mixing_has_no_cell_limit_and_splits_into_parts(spark, monkeypatch):
     from pyspark.ml.linalg import SparseVector, VectorUDT
     from pyspark.sql import types as TY
 
-    monkeypatch.setattr(ML, "PART_CELLS", 8)
+    monkeypatch.setattr(SL, "PART_CELLS", 40)
     size = 2 ** 30   # two classes x 2^30 terms: no array of that size is made
     rows = [(i, f"n{i}", float(i % 2), SparseVector(size, [i % 2, size - 1 - i % 2], [1.0, 0.5])) for i in range(40)]
     rows.append((None, None, 0.0, SparseVector(size, [0], [1.0])))
@@ -110,8 +111,8 @@ def test_mixing_has_no_cell_limit_and_splits_into_parts(spark, monkeypatch):
                             TY.StructField("label_idx", TY.DoubleType()), TY.StructField("features", VectorUDT())])
     df = spark.createDataFrame(rows, schema)
     for rule in ("perceptron", "pa"):
-        w = ML.mixing_weights(df, 2, epochs=3, rule=rule)
+        w = SL.fit(df, 2, rule, epochs=3)
         assert {r.term for r in w.cells.collect()} <= {-1, 0, 1, size - 1, size - 2}
-        out = ML.mixing_predict(df, w)
+        out = SL.predict(df, w)
         assert out.columns == ["doc_id", "name", "label_idx", "prediction"] and out.count() == 41
         assert out.filter("prediction != label_idx").count() == 0
