@@ -2,12 +2,13 @@
 
 Each source's documents, in a fixed order, form one stream of words that is packed into
 blocks of ``block`` words (the last may be shorter). The mix is a row of slots; a slot
-holds one block. Slots are dealt to output shards by a pseudorandom permutation of the
-slot numbers, so that the source counts of a shard are multinomial draws given the
-totals, and the totals meet the targets to half a block. A source's j-th slot takes the
-block pi(j mod blocks) of the source, pi a pseudorandom permutation of the source's block
-numbers for each pass (swap-or-not, Hoang, Morris and Rogaway 2012: a bijection of any
-range, computed for each index alone). Slots and blocks then join by (source, block).
+holds one block. Every source has as many slots as meet its target to half a block, and
+each slot falls into one of the output shards at random: so the sources' counts of a shard
+are multinomial draws, conditioned on the sources' totals. A source's slots are then
+numbered through its shards, and its j-th slot takes the block pi(j mod blocks) of the source, pi a
+pseudorandom permutation of the source's block numbers for each pass (swap-or-not, Hoang,
+Morris and Rogaway 2012: a bijection of any range, computed for each index alone). Slots and
+blocks join by (source, block); within a shard, slots come in a pseudorandom order.
 
 DataFrame functions only. No step keeps a source together: offsets come from bucketed
 prefix sums (``BUCKETS`` per source, then within a bucket), slots are generated in chunks,
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from penmark.llm.common import fixed, materialise, n_words
+from penmark.llm.common import fixed, materialise, n_words, words
 
 WEIGHTS = (5, 2, 1)   # by code point order of the sources, repeating
 SHARE = 1.5           # size of the mix against all sizes
@@ -80,26 +81,43 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, max_
                       F.sum("slots").over(whole).alias("all_slots"))
 
 
-def mix_slots(sources: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """(shard, slot, sid, block): the block that every slot of the mix holds."""
-    chunks = sources.select("sid", "slots", "blocks", "first_slot", "all_slots", F.explode(
+def shard_counts(sources: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """(sid, blocks, shard, n): how many slots of each shard the draw gives to a source; shards have about ``shard_slots``."""
+    chunks = sources.select("sid", "slots", "blocks", "all_slots", F.explode(
         F.when(F.col("slots") > 0, F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(CHUNK).cast("long")))).alias("lo"))
     # a stated number of tasks by key: one source may have most of the chunks
     tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = chunks.repartition(tasks, "sid", "lo")
-    j = F.explode(F.sequence(F.col("lo"), F.least(F.col("lo") + CHUNK, F.col("slots")) - 1))
-    df = chunks.select("sid", "blocks", "first_slot", "all_slots", j.alias("j"))
+    j = F.explode(F.sequence(F.col("lo"), F.least(F.col("lo") + CHUNK, F.col("slots")) - 1)).alias("j")
+    shards = F.greatest(F.lit(1), F.ceil(F.col("all_slots") / shard_slots)).cast("long")
+    drawn = chunks.select("sid", "blocks", shards.alias("shards"), j).select(
+        "sid", "blocks", F.pmod(F.xxhash64(F.lit(seed), F.lit(-1), "sid", "j"), "shards").alias("shard"))
+    return drawn.groupBy("sid", "blocks", "shard").agg(F.count(F.lit(1)).alias("n"))
+
+
+def mix_slots(sources: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """(shard, turn, sid, block): the block that every slot of the mix holds; a shard's slots come in the order of ``turn``."""
+    draws = materialise(shard_counts(sources, seed, shard_slots), "mix-draws")
+    # a source's slots are numbered through its shards: the sums of groups of shards, then within a group
+    draws = draws.withColumn("group", F.floor(F.col("shard") / BUCKETS))
+    groups = draws.groupBy("sid", "group").agg(F.sum("n").alias("in_group"))
+    groups = groups.select("sid", "group", F.coalesce(F.sum("in_group").over(
+        Window.partitionBy("sid").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    own = F.coalesce(F.sum("n").over(Window.partitionBy("sid", "group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = draws.withColumn("own", own).join(groups, ["sid", "group"]).withColumn("first", F.col("before") + F.col("own"))
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # few rows that become many: dealt out by source and shard
+    numbered = numbered.select("sid", "blocks", "shard", "first", "n").repartition(tasks, "sid", "shard")
+    slots = numbered.select("sid", "blocks", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("j"))
     nth = F.floor(F.col("j") / F.col("blocks"))
     block = permute(F.pmod("j", "blocks"), F.col("blocks"), F.lit(seed), F.col("sid"), nth)
-    at = permute(F.col("first_slot") + F.col("j"), F.col("all_slots"), F.lit(seed), F.lit(-1))
-    return df.select(F.floor(at / shard_slots).alias("shard"), F.pmod(at, F.lit(shard_slots)).alias("slot"),
-                     "sid", block.alias("block"))
+    return slots.select("shard", F.xxhash64(F.lit(seed), F.lit(-2), "sid", "j").alias("turn"), "sid", block.alias("block"))
 
 
 def _picks(sources: DataFrame, seed: int) -> DataFrame:
-    """(sid, block, k): how often each block is taken. Made from few rows but as many as the mix has
-    slots, which Spark's estimate doesn't know: the hint keeps it from being broadcast."""
-    return mix_slots(sources, seed).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("k")).hint("merge")
+    """``mix_slots``, made from few rows but as many as the mix has slots, which Spark's estimate doesn't know:
+    the hint keeps it from being broadcast."""
+    return mix_slots(sources, seed).hint("merge")
 
 
 def _sid(df: DataFrame, sources: DataFrame) -> DataFrame:
@@ -136,19 +154,43 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_passes: int = MAX_PASSES,
                 block: int = BLOCK, seed: int = 0) -> DataFrame:
-    """doc_id, size, source_size, target and taken (words of the mix that are the document's)."""
+    """doc_id, size, source_size, target, taken (words of the mix that are the document's) and first_shard.
+
+    first_shard is the first output shard with some of the document's words, null if nothing is taken.
+    """
     sized = materialise(_sized(docs.withColumn("row_id", F.monotonically_increasing_id())), "mix-sizes")
     sources = materialise(source_targets(sized, weights, share, max_passes, block), "mix-sources")
     picks = _picks(sources, seed)
     pieces = doc_pieces(sized, sources, block)
     taken = (pieces.join(picks, ["sid", "block"], "left")
              .groupBy("row_id", "doc_id", "size", "source_size", "target")
-             .agg(F.coalesce(F.sum((F.col("hi") - F.col("lo")) * F.col("k")), F.lit(0)).cast("long").alias("taken")))
-    none = _sid(sized.filter(F.col("size") == 0), sources).withColumn("taken", F.lit(0).cast("long"))
-    cols = ["doc_id", "size", "source_size", "target", "taken"]
+             .agg(F.sum(F.when(F.col("shard").isNotNull(), F.col("hi") - F.col("lo")).otherwise(0)).cast("long").alias("taken"),
+                  F.min("shard").alias("first_shard")))
+    none = _sid(sized.filter(F.col("size") == 0), sources).withColumn("taken", F.lit(0).cast("long")).withColumn(
+        "first_shard", F.lit(None).cast("long"))
+    cols = ["doc_id", "size", "source_size", "target", "taken", "first_shard"]
     return taken.select(*cols).unionByName(none.select(*cols))
 
 
+def mixed_blocks(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_passes: int = MAX_PASSES,
+                 block: int = BLOCK, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """The mix itself: (shard, slot, source, text), a row for each slot, its block's words joined by one space.
+
+    Slots of a shard are numbered from 0 in the order of their turns (a shard holds about ``shard_slots`` rows).
+    """
+    docs = materialise(docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "source", "text"), "mix-texts")
+    sized = materialise(_sized(docs), "mix-sizes")
+    sources = materialise(source_targets(sized, weights, share, max_passes, block), "mix-sources")
+    pieces = doc_pieces(sized, sources, block).select("row_id", "sid", "block", "lo", "hi", "start")
+    held = docs.select("row_id", words(F.col("text")).alias("w")).join(pieces, "row_id")
+    held = held.select("sid", "block", F.struct(
+        "start", F.slice("w", (F.col("lo") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int")).alias("w")).alias("piece"))
+    packed = held.groupBy("sid", "block").agg(F.flatten(F.transform(F.array_sort(F.collect_list("piece")), lambda p: p.w)).alias("w"))
+    slots = mix_slots(sources, seed, shard_slots).hint("merge").join(packed, ["sid", "block"]).join(sources.select("sid", "source"), "sid")
+    place = F.row_number().over(Window.partitionBy("shard").orderBy("turn", "sid", "block")) - 1
+    return slots.select("shard", place.alias("slot"), "source", F.array_join("w", " ").alias("text"))
+
+
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_passes: int = MAX_PASSES,
                     block: int = BLOCK, seed: int = 0) -> DataFrame:
     """The mix as rows of ``docs`` (same columns): a row for each pass that takes words of a document.
@@ -163,8 +205,9 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_
     sized = materialise(_sized(flat), "mix-sizes")
     sources = materialise(source_targets(sized, weights, share, max_passes, block), "mix-sources")
     picks = _picks(sources, seed)
-    spans = (doc_pieces(sized, sources, block).join(picks, ["sid", "block"]).groupBy("row_id", "size")
-             .agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "k"))).alias("spans")))
+    times = doc_pieces(sized, sources, block).join(picks, ["sid", "block"]).groupBy("row_id", "size", "lo", "hi").agg(
+        F.count(F.lit(1)).alias("k"))
+    spans = times.groupBy("row_id", "size").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "k"))).alias("spans"))
     out = rows.join(spans.hint("merge"), "row_id").withColumn("pass", F.explode(F.sequence(
         F.lit(1).cast("long"), F.array_max(F.transform("spans", lambda s: s.k)))))
     out = out.withColumn("own", F.filter("spans", lambda s: s.k >= F.col("pass")))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from penmark.llm.line_dedup import drop_frequent_lines, line_dedup
 from penmark.llm.quality_cascade import default_rules, keep_quality, order_rules, quality_cascade, quality_stats
-from penmark.llm.source_mixing import mix_slots, mix_sources, mixed_documents, permute, source_targets
+from penmark.llm.source_mixing import mix_slots, mix_sources, mixed_blocks, mixed_documents, permute, shard_counts, source_targets
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 PROSE = " ".join(f"word{i} stands here" for i in range(20))
@@ -126,13 +126,52 @@ def test_slots_take_blocks_pass_by_pass(spark):
     sized = spark.createDataFrame([("a", 640), ("b", 64)], "source string, size long")
     sources = source_targets(sized, block=8)
     slots = mix_slots(sources, shard_slots=16).collect()
-    total = sources.first().all_slots
-    assert sorted((r.shard, r.slot) for r in slots) == sorted((i // 16, i % 16) for i in range(total))
+    draws = {(r.sid, r.shard): r.n for r in shard_counts(sources, shard_slots=16).collect()}
+    assert len(slots) == sources.first().all_slots and len({(r.shard, r.turn) for r in slots}) == len(slots)
+    assert draws == {k: sum((r.sid, r.shard) == k for r in slots) for k in draws} and sum(draws.values()) == len(slots)
     for r in sources.collect():
         counts = [sum(x.sid == r.sid and x.block == b for x in slots) for b in range(r.blocks)]
         assert sum(counts) == r.slots and max(counts) - min(counts) <= 1
 
 
+def test_shards_draw_their_sources_at_random(spark):
+    sized = spark.createDataFrame([("a", 2_000_000), ("b", 1_000_000), ("c", 3_000_000)], "source string, size long")
+    sources = source_targets(sized, block=10)
+    shares = {r.sid: r.slots / r.all_slots for r in sources.collect()}
+    draws = {}
+    for r in shard_counts(sources, shard_slots=4096).collect():
+        draws.setdefault(r.shard, {})[r.sid] = r.n
+    chi = sum((d.get(s, 0) - sum(d.values()) * p) ** 2 / (sum(d.values()) * p) for d in draws.values() for s, p in shares.items())
+    free = (len(draws) - 1) * (len(shares) - 1)   # the totals are given
+    assert len(draws) > 100 and abs(chi - free) < 4 * (2 * free) ** 0.5
+    sizes = [sum(d.values()) for d in draws.values()]
+    assert all(abs(n - sum(sizes) / len(sizes)) < 6 * 4096 ** 0.5 for n in sizes)
+
+
+def test_taken_against_a_plain_mixer(spark):
+    block, docs = 8, mix_docs(spark)
+    rows = docs.select("doc_id", "source", "text", F.xxhash64("doc_id", "text").alias("key")).collect()
+    rows.sort(key=lambda r: (r.key % 1024, r.key))
+    streams, names = {}, sorted({r.source for r in rows}, key=lambda s: (s is None, s or ""))
+    for r in rows:
+        streams.setdefault(r.source, []).extend((r.doc_id, w) for w in r.text.split())
+    sized = docs.select("source", F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", " "))).cast("long").alias("size"))
+    slots = mix_slots(source_targets(sized, block=block), shard_slots=16).collect()
+    taken, shards = {}, {}
+    for s in sorted(slots, key=lambda s: (s.shard, s.turn)):
+        held = streams[names[s.sid]][s.block * block:(s.block + 1) * block]
+        shards.setdefault(s.shard, []).append(" ".join(w for _, w in held))
+        for d, _ in held:
+            taken[d] = taken.get(d, 0) + 1
+    assert {r.doc_id: r.taken for r in mix_sources(docs, block=block).collect()} == {r.doc_id: taken.get(r.doc_id, 0) for r in rows}
+    got = {}
+    for r in mixed_blocks(docs, block=block, shard_slots=16).orderBy("shard", "slot").collect():
+        assert r.slot == len(got.setdefault(r.shard, []))
+        got[r.shard].append(r.text)
+    assert got == shards
+    assert mixed_blocks(docs.limit(0)).count() == 0
+
+
 def test_mixed_documents(spark):
     some = mix_docs(spark).withColumn("spans", F.lit("mine"))
     out = mixed_documents(some, block=8)
