@@ -1,6 +1,6 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-The corpus is taken in batches. A batch's distinct line keys (two 64-bit hashes each)
+The corpus is taken in batches, each a folder of the hashed lines, read once. A batch's distinct line keys (two 64-bit hashes each)
 are counted, merge-anti-joined with the runs of keys that are already settled (seen in
 ``min_docs`` documents), and added as a new sorted run. Runs are tables bucketed and sorted
 by hash, so joins and merges of runs, merge joins in this order, need no exchange of them. When a level holds
@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from penmark.llm.common import BLANKS, ascii_lower, fixed, materialise, text_key
+from penmark.session import shared_path
+from penmark.sources.files import remove_path
 
 MIN_DOCS = 10
 MIN_KEY = 1     # code points
@@ -51,10 +53,12 @@ class LineRuns:
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = [[]]
         self.settled: list[str] = []
+        self.paths: dict[str, str] = {}   # of the tables' files, in the shared folder
 
     def _write(self, df: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
-        (df.select("h1", "h2", "n").repartition(self.buckets, "h1", "h2").write.format("parquet")
+        self.paths[name] = shared_path(self.spark, "line-run")
+        (df.select("h1", "h2", "n").repartition(self.buckets, "h1", "h2").write.format("parquet").option("path", self.paths[name])
          .bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").saveAsTable(name))
         return name
 
@@ -94,9 +98,14 @@ class LineRuns:
     def _drop(self, names: list[str]) -> None:
         for n in names:
             self.spark.sql(f"DROP TABLE IF EXISTS {n}")
+            remove_path(self.spark, self.paths.pop(n))
+
+    def close(self) -> None:
+        """Drops what runs there still are."""
+        self._drop(list(self.paths))
 
     def finish(self) -> DataFrame:
-        """(h1, h2) of every key found in ``min_docs`` documents, as a written table; drops the runs.
+        """(h1, h2) of every key found in ``min_docs`` documents, as a written table.
 
         A key may come twice: settled, and again among counts from before that.
         """
@@ -104,9 +113,7 @@ class LineRuns:
         out = self._merge(names).filter(F.col("n") >= self.min_docs).select("h1", "h2")
         for run in self.settled:
             out = out.unionByName(self.spark.table(run).select("h1", "h2"))
-        out = materialise(out, "line-keys")
-        self._drop(names + self.settled)
-        return out
+        return materialise(out, "line-keys")
 
 
 def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_key: int = MIN_KEY,
@@ -114,11 +121,16 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_key: int = MIN
     """(h1, h2) of the keys that at least ``min_docs`` rows of ``docs`` hold."""
     keys = F.array_distinct(F.filter(line_keys(F.col("text")), lambda k: F.length(k) >= min_key))
     rows = docs.select(F.pmod(F.xxhash64("text"), F.lit(batches)).alias("batch"), F.explode(keys).alias("key"))
-    rows = materialise(rows.select("batch", *_hashes(F.col("key"))), "line-hashes")
-    runs = LineRuns(docs.sparkSession, min_docs, fanout)
-    for b in range(batches):
-        runs.add(rows.filter(F.col("batch") == b).select("h1", "h2"))
-    return runs.finish()
+    spark, path = docs.sparkSession, shared_path(docs.sparkSession, "line-hashes")
+    rows.select("batch", *_hashes(F.col("key"))).write.partitionBy("batch").parquet(path)
+    rows = spark.read.schema("h1 long, h2 long, batch int").parquet(path)   # a batch's folder is all that its filter reads
+    runs = LineRuns(spark, min_docs, fanout)
+    try:
+        for b in range(batches):
+            runs.add(rows.filter(F.col("batch") == b).select("h1", "h2"))
+        return runs.finish()
+    finally:
+        runs.close()
 
 
 def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_key: int = MIN_KEY,

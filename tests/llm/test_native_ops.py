@@ -190,3 +190,15 @@ def test_mixing_null_and_repeated_rows(spark):
     out = mix_sources(spark.createDataFrame(rows, DOCS), block=1).collect()
     assert sorted(r["size"] for r in out) == [0, 0, 3, 3]
     assert sum(r.taken for r in out) == 9 and {r.taken for r in out if r["size"] == 0} == {0}
+
+
+def test_failed_line_runs_leave_no_tables(spark, monkeypatch):
+    from penmark.llm import line_dedup as LD
+
+    def broken(self):
+        raise RuntimeError("lost")
+    monkeypatch.setattr(LD.LineRuns, "finish", broken)
+    docs = spark.createDataFrame([(i, "a\nb", "en", "s", 3) for i in range(12)], DOCS)
+    with pytest.raises(RuntimeError):
+        LD.frequent_lines(docs)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
