@@ -29,7 +29,7 @@ WINDOW = 8            # words in a window of the repetition count
 MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
 SAMPLE_ROWS = 2000    # bound of the sample that costs and selectivities are taken from
-REPEAT, RUNS = 4, 2   # evaluations of a rule for each row of the sample in a job; jobs a rule
+RUNS = 2              # jobs that time a rule
 
 # Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -103,19 +103,18 @@ def base_failed(min_words: int = MIN_WORDS, max_repeat_pct: int = MAX_REPEAT_PCT
 
 
 def order_rules(stats: DataFrame, rules: list[Rule]) -> list[tuple[Rule, float, float]]:
-    """(rule, seconds a row, share rejected) by rejection per cost, the best first; ties by cost, then name.
+    """(rule, seconds, share rejected) by rejection per cost, the best first; ties by cost, then name.
 
     ``stats`` is the sample (bounded by the caller). A rule's cost is the least time of ``RUNS`` jobs that evaluate it
-    ``REPEAT`` times for each row, less that of the same job without a rule, which reads the same columns. The share is
+    for each row, less that of the same job without a rule, which reads the same columns. The share is
     smoothed by half a row, so that rules that reject none of the sample are ordered by their cost.
     """
     n = stats.count()
-    rows = stats.withColumn("__again", F.explode(F.sequence(F.lit(1), F.lit(REPEAT))))
     reads = F.length("text") + F.size("__w") + F.col("n_words") + F.col("word_chars") + F.col("n_symbols") + F.col("n_dup_lines")
 
     def run(reject: Column) -> tuple[float, int]:
         t0 = time.perf_counter()
-        hit = rows.agg(F.count_if((reads >= 0) & F.coalesce(reject, F.lit(True))).alias("k")).first().k
+        hit = stats.agg(F.count_if((reads >= 0) & F.coalesce(reject, F.lit(True))).alias("k")).first().k
         return time.perf_counter() - t0, hit
 
     run(rules[0].reject)   # warm up, so that the first job isn't charged for it
@@ -123,7 +122,7 @@ def order_rules(stats: DataFrame, rules: list[Rule]) -> list[tuple[Rule, float,
     measured = []
     for r in rules:
         times, hits = zip(*[run(r.reject) for _ in range(RUNS)])
-        measured.append((r, max(min(times) - empty, 1e-4) / (REPEAT * max(1, n)), (hits[0] / REPEAT + 0.5) / (n + 1)))
+        measured.append((r, max(min(times) - empty, 1e-4), (hits[0] + 0.5) / (n + 1)))
     return sorted(measured, key=lambda m: (-m[2] / m[1], m[1], m[0].name))
 
 
