@@ -71,8 +71,9 @@ def q_read_url_index(spark, d):
 def q_append_articles(spark, d):
     path = shared_path(spark, "roundtrip", "articles_jsonl")
     arts = _articles(spark, d)
-    IO.append_articles(arts.filter(F.col("lang") == "en"), path)
-    IO.append_articles(arts.filter(F.col("lang") != "en"), path)
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))   # an unknown language is on the other side, not on neither
+    IO.append_articles(arts.filter(english), path)
+    IO.append_articles(arts.filter(~english), path)
     return IO.read_articles_jsonl(spark, path)
 
 

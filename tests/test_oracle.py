@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 FAST = ["article_metrics", "longest_sentence_text", "sentence_length_histogram", "balanced_sample", "grid_pivot",
         "top_bigrams", "tfidf_unsmoothed", "tfidf_sublinear", "chi2_select", "hashed_vectors",
         "extract_article_fields", "upsert_url_index", "lemma_join", "strip_message_noise", "ascii_fold",
-        "multinomial_nb", "knn", "classification_report", "informative_features", "read_url_index"]
+        "multinomial_nb", "gaussian_nb", "split_sentences", "append_articles", "knn", "classification_report", "informative_features", "read_url_index"]
 
 
 def _norm(v):
@@ -44,6 +44,18 @@ def test_matches_oracle(spark, con, name):
     assert got == want
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data absent")
+def test_leaderboard_ends_with_all_fits(spark):
+    rows = E.queries()["classifier_leaderboard"](spark, SF).collect()
+    assert len(rows) == 14 and all(0 <= r["accuracy"] <= 1 for r in rows)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data absent")
+def test_grid_has_every_setting_and_split(spark):
+    rows = E.queries()["grid_search"](spark, SF).collect()
+    assert len(rows) == len({(r["max_depth"], r["min_samples_split"], r["split"]) for r in rows}) == 29 * 48 * 10
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "longest_sentence" in df.columns
