@@ -5,10 +5,13 @@ Naive Bayes and nearest centroid score a document against every class as
     score(d, c) = base(d, c) + sum over the document's terms of delta(t, c) * x(d, t)
 
 where ``base`` covers all vocabulary terms in closed form and ``delta`` exists
-only for (class, term) cells seen in training. So scoring is one equi-join on
-term plus a (doc, class) aggregation; the class list, bounded by the number of
-labels, is attached to documents by exploding a scalar-subquery array, never by
-a cross join with a growing table.
+only for (class, term) cells seen in training. Documents never meet all classes: a
+document is scored against the classes it shares a term with by one equi-join on term,
+and against the best of the others, which is a lookup. For naive Bayes the base is a line
+in a sum over the document's terms, so that lookup is the upper envelope of the classes'
+lines; seen cells only add to a score, so the envelope's class may be one of the touched
+ones without harm. For centroids it is the first class, in the order of the base, that the
+document doesn't touch.
 """
 
 from __future__ import annotations
@@ -23,56 +26,129 @@ from pyspark.sql import functions as F
 from penmark.operators.skew import top_k_per_group
 from penmark.session import written
 
-MAX_CLASSES = 100_000
+ENVELOPE_LINES = 100_000     # lines whose envelope one task forms
+LOOKUP_ROWS = 500_000        # documents one task looks up in an envelope
 
 
-def _class_array(classes: DataFrame, cols: list[str]) -> Column:
-    """All class rows as one bounded array (scalar subquery, size checked)."""
-    arr = classes.agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("a"))
-    return arr.select(F.when(F.size("a") <= MAX_CLASSES, F.col("a"))
-                      .otherwise(F.raise_error(F.lit("too many classes")))).scalar()
-
-
-def _argmax(scores: DataFrame, id_col: str, higher_is_better: bool = True) -> DataFrame:
-    """Best class per document; ties go to the first class in sorted order."""
-    s = F.col("score") if higher_is_better else -F.col("score")
-    best = F.max(F.struct(s.alias("s"), (-F.col("class_idx")).alias("ni"), F.col("class").alias("c")))
-    return scores.groupBy(id_col).agg(best.alias("b")).select(id_col, F.col("b.c").alias("prediction"))
+def _best(scores: DataFrame, id_col: str) -> DataFrame:
+    """(id, prediction) of rows (id, score, class): the greatest score, ties to the first class."""
+    return scores.groupBy(id_col).agg(F.min(F.struct((-F.col("score")).alias("m"), "class")).alias("b")).select(
+        id_col, F.col("b.class").alias("prediction"))
 
 
-def _score(docs: DataFrame, weights: DataFrame, classes: DataFrame, cells: DataFrame,
-           base_doc: Column, base_class_cols: list[str], base: Column, id_col: str,
-           weight_expr: Column) -> DataFrame:
-    """Assemble base + delta scores for every (doc, class)."""
-    arr = _class_array(classes, ["class", "class_idx", *base_class_cols])
-    per_doc = docs.select(id_col, base_doc.alias("_doc"))
-    base_rows = per_doc.select(id_col, "_doc", F.explode(arr).alias("k")).select(
-        id_col, F.col("k.class").alias("class"), F.col("k.class_idx").alias("class_idx"),
-        base.alias("score"))
-    delta = (weights.join(cells, "term")
-             .groupBy(id_col, "class", "class_idx").agg(F.sum(weight_expr).alias("score")))
-    return base_rows.unionByName(delta).groupBy(id_col, "class", "class_idx").agg(F.sum("score").alias("score"))
+def _envelope(lines: pd.DataFrame) -> pd.DataFrame:
+    """The lines that are greatest somewhere on x >= 0, each with the x from which on it is; before them, once more,
+    the line that is greatest at 0 itself, which is the first class of those with the greatest intercept."""
+    at_zero = lines.sort_values(["icept", "class"], ascending=[False, True]).iloc[:1]
+    lines = lines.sort_values(["slope", "icept", "class"], ascending=[True, False, True]).drop_duplicates("slope")
+    a, b = lines["slope"].to_numpy(), lines["icept"].to_numpy()
+    kept: list[int] = []
+    since: list[float] = []
+    for i in range(len(a)):
+        x = 0.0
+        while kept:
+            x = (b[kept[-1]] - b[i]) / (a[i] - a[kept[-1]])   # from here on line i is above the last one
+            if x > since[-1]:
+                break
+            kept.pop()
+            since.pop()
+            x = 0.0
+        kept.append(i)
+        since.append(x)
+    return pd.concat([at_zero.assign(since=0.0), lines.iloc[kept].assign(since=since)])
+
+
+def upper_envelope(lines: DataFrame, lines_per_part: int = ENVELOPE_LINES) -> tuple[DataFrame, int]:
+    """The upper envelope on x >= 0 of lines (class, icept, slope) as rows (part, since, class, icept, slope), and the parts.
+
+    Lines are dealt to parts of about ``lines_per_part`` and every part keeps its own envelope; what is left is dealt out
+    again until it fits into one part or a round drops less than half. With several parts the greatest of the
+    parts' values is the envelope's.
+    """
+    schema = "part int, since double, class string, icept double, slope double"
+
+    def part(x: pd.DataFrame) -> pd.DataFrame:
+        return _envelope(x)[["part", "since", "class", "icept", "slope"]]
+
+    left, n = lines.select("class", F.col("icept").cast("double"), F.col("slope").cast("double")), lines.count()
+    while True:
+        parts = max(1, -(-n // lines_per_part))
+        dealt = left.withColumn("part", F.pmod(F.xxhash64("class"), F.lit(parts)).cast("int"))
+        out = written(dealt.groupBy("part").applyInPandas(part, schema), "envelope")
+        m = out.count()
+        if parts == 1 or 2 * m > n:
+            return out, parts
+        left, n = out.select("class", "icept", "slope").distinct(), m
+
+
+def envelope_classes(docs: DataFrame, envelope: tuple[DataFrame, int], id_col: str, rows_per_part: int = LOOKUP_ROWS) -> DataFrame:
+    """(id, score, class): the greatest of the lines at every document's ``_x`` >= 0, a row for each part of the envelope."""
+    lines, parts = envelope
+    blocks = max(1, -(-docs.select(id_col).count() // rows_per_part))
+    dealt = docs.select(F.col(id_col).alias("id"), F.col("_x").alias("x"), F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("block"),
+                        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    sides = lines.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    schema = docs.select(F.col(id_col).alias("id"), F.lit(0.0).alias("score"), F.lit("").alias("class")).schema
+
+    def look(rows: pd.DataFrame, env: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or env.empty:
+            return pd.DataFrame({"id": rows["id"].iloc[:0], "score": np.zeros(0), "class": np.zeros(0, object)})
+        env = env.sort_values(["since", "slope"], kind="stable").reset_index(drop=True)
+        x, a, b = rows["x"].to_numpy(np.float64), env["slope"].to_numpy(), env["icept"].to_numpy()
+        order = env["class"].rank(method="dense").to_numpy()
+        at = np.searchsorted(env["since"].to_numpy(), x, side="right") - 1
+        # the neighbours too: at a corner of the envelope rounding may put x on the wrong side
+        near = np.clip(at[:, None] + np.array([-2, -1, 0, 1]), 0, len(env) - 1)
+        value = b[near] + x[:, None] * a[near]
+        best = np.lexsort((order[near], -value), axis=1)[:, 0]
+        pick = near[np.arange(len(x)), best]
+        return pd.DataFrame({"id": rows["id"].to_numpy(), "score": value[np.arange(len(x)), best], "class": env["class"].to_numpy()[pick]})
+
+    found = dealt.groupBy("block", "part").cogroup(sides.groupBy("block", "part")).applyInPandas(look, schema)
+    return found.withColumnRenamed("id", id_col)
+
+
+def first_untouched(docs: DataFrame, touched: DataFrame, ranked: DataFrame, id_col: str) -> DataFrame:
+    """Every document with the row of ``ranked`` (rank from 1, ...) of the least rank that isn't among its ``touched`` (id, rank);
+    none if it touches all. A document's ranks are at most the cells of its own terms."""
+    ranks = F.array_sort(F.collect_set("rank"))
+    gap = F.array_position(F.transform(ranks, lambda r, i: r != i + 1), True)
+    least = touched.groupBy(id_col).agg(F.when(gap > 0, gap).otherwise(F.size(F.collect_set("rank")) + 1).cast("long").alias("rank"))
+    every = docs.select(id_col).join(least, id_col, "left").withColumn("rank", F.coalesce("rank", F.lit(1).cast("long")))
+    return every.join(ranked.withColumn("rank", F.col("rank").cast("long")), "rank")
+
+
+def ranked_classes(classes: DataFrame, best_first: Column) -> DataFrame:
+    """``classes`` with rank from 1 in the order of ``best_first``, ties by class; a window over one row per label."""
+    return classes.withColumn("rank", F.row_number().over(Window.orderBy(best_first, "class")))
+
+
+def _line_predict(classes: DataFrame, icept: Column, slope: Column, gain: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
+    """Best class of docs (id, _x) by icept + slope * _x, plus the gains >= 0 (id, class, gain) where there are any."""
+    lines = written(classes.select("class", icept.alias("icept"), slope.alias("slope")), "lines")
+    touched = gain.join(lines, "class").join(docs, id_col).select(
+        id_col, (F.col("icept") + F.col("_x") * F.col("slope") + F.col("gain")).alias("score"), "class")
+    return _best(touched.unionByName(envelope_classes(docs, upper_envelope(lines), id_col)), id_col)
 
 
 def _classes(labels: DataFrame, label_col: str) -> DataFrame:
-    counts = labels.groupBy(F.col(label_col).cast("string").alias("class")).agg(F.count(F.lit(1)).alias("n_c"))
-    # The window runs over the per-class counts: one row per label.
-    return counts.withColumn("class_idx", F.dense_rank().over(Window.orderBy("class")) - 1)
+    return labels.groupBy(F.col(label_col).cast("string").alias("class")).agg(F.count(F.lit(1)).alias("n_c"))
 
 
 def multinomial_nb_fit(weights: DataFrame, labels: DataFrame, alpha: float = 0.01,
                        id_col: str = "doc_id", label_col: str = "lang"):
-    """Fitted tables: classes (class, class_idx, log_prior, log_denom) and
-    cells (term, class, class_idx, log_theta, delta)."""
+    """Fitted tables: classes (class, n_c, log_prior, log_denom) and
+    cells (term, class, log_theta, delta). Weights are not negative."""
     n = labels.select(F.count(F.lit(1))).scalar()
     classes = _classes(labels, label_col).withColumn("log_prior", F.log(F.col("n_c") / n))
     v = weights.select("term").distinct().select(F.count(F.lit(1))).scalar()
     fc = (weights.join(labels.select(id_col, F.col(label_col).cast("string").alias("class")), id_col)
           .groupBy("term", "class").agg(F.sum("weight").alias("fc")))
+    fc = written(fc, "class-sums")
     tot = fc.groupBy("class").agg(F.sum("fc").alias("tot"))
     classes = (classes.join(tot, "class", "left").fillna(0.0, ["tot"])
                .withColumn("log_denom", F.log(F.col("tot") + F.lit(alpha) * v)))
-    cells = (fc.join(classes.select("class", "class_idx", "log_denom"), "class")
+    cells = (fc.join(classes.select("class", "log_denom"), "class")
              .withColumn("log_theta", F.log(F.col("fc") + alpha) - F.col("log_denom"))
              .withColumn("delta", F.log(F.col("fc") + alpha) - F.lit(math.log(alpha))))
     return classes, cells
@@ -83,11 +159,9 @@ def multinomial_nb_predict(model, docs: DataFrame, weights: DataFrame, alpha: fl
     classes, cells = model
     xsum = weights.groupBy(id_col).agg(F.sum("weight").alias("_x"))
     d = docs.select(id_col).join(xsum, id_col, "left").fillna(0.0, ["_x"])
-    base = F.col("k.log_prior") + F.col("_doc") * (F.lit(math.log(alpha)) - F.col("k.log_denom"))
-    scores = _score(d, weights, classes, cells.select("term", "class", "class_idx", "delta"),
-                    F.col("_x"), ["log_prior", "log_denom"], base, id_col,
-                    F.col("weight") * F.col("delta"))
-    return _argmax(scores, id_col)
+    gain = weights.join(cells.select("term", "class", "delta"), "term").groupBy(id_col, "class").agg(
+        F.sum(F.col("weight") * F.col("delta")).alias("gain"))
+    return _line_predict(classes, F.col("log_prior"), F.lit(math.log(alpha)) - F.col("log_denom"), gain, d, id_col)
 
 
 def bernoulli_nb_fit(weights: DataFrame, labels: DataFrame, alpha: float = 0.01,
@@ -101,7 +175,8 @@ def bernoulli_nb_fit(weights: DataFrame, labels: DataFrame, alpha: float = 0.01,
     dfc = (weights.filter(F.col("weight") > 0)
            .join(labels.select(id_col, F.col(label_col).cast("string").alias("class")), id_col)
            .groupBy("term", "class").agg(F.count(F.lit(1)).alias("df_c")))
-    cells = dfc.join(classes.select("class", "class_idx", "n_c"), "class")
+    dfc = written(dfc, "class-counts")
+    cells = dfc.join(classes.select("class", "n_c"), "class")
     lp = F.log(F.col("df_c") + alpha) - F.log(F.col("n_c") + 2 * alpha)
     neg = F.log(F.col("n_c") + alpha - F.col("df_c")) - F.log(F.col("n_c") + 2 * alpha)
     cells = cells.withColumn("lp", lp).withColumn("neg", neg)
@@ -121,10 +196,8 @@ def bernoulli_nb_predict(model, docs: DataFrame, weights: DataFrame, id_col: str
     present = weights.filter(F.col("weight") > 0).join(vocab, "term", "left_semi")
     cnt = present.groupBy(id_col).agg(F.count(F.lit(1)).cast("double").alias("_x"))
     d = docs.select(id_col).join(cnt, id_col, "left").fillna(0.0, ["_x"])
-    base = F.col("k.log_prior") + F.col("k.s_neg") + F.col("_doc") * F.col("k.k0")
-    scores = _score(d, present, classes, cells.select("term", "class", "class_idx", "delta"),
-                    F.col("_x"), ["log_prior", "s_neg", "k0"], base, id_col, F.col("delta"))
-    return _argmax(scores, id_col)
+    gain = present.join(cells.select("term", "class", "delta"), "term").groupBy(id_col, "class").agg(F.sum("delta").alias("gain"))
+    return _line_predict(classes, F.col("log_prior") + F.col("s_neg"), F.col("k0"), gain, d, id_col)
 
 
 def gaussian_nb_fit(weights: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "lang",
@@ -177,11 +250,12 @@ def gaussian_nb_predict(model: tuple[DataFrame, DataFrame], docs: DataFrame, wei
 
 def nearest_centroid_fit(weights: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                          label_col: str = "lang"):
-    """Class mean vectors (zeros included): classes (class, class_idx, norm2), cells (term, class, mu)."""
+    """Class mean vectors (zeros included): classes (class, n_c, norm2), cells (term, class, mu)."""
     classes = _classes(labels, label_col)
     sums = (weights.join(labels.select(id_col, F.col(label_col).cast("string").alias("class")), id_col)
             .groupBy("term", "class").agg(F.sum("weight").alias("s")))
-    cells = (sums.join(classes.select("class", "class_idx", "n_c"), "class")
+    sums = written(sums, "class-sums")
+    cells = (sums.join(classes.select("class", "n_c"), "class")
              .withColumn("mu", F.col("s") / F.col("n_c")))
     norms = cells.groupBy("class").agg(F.sum(F.col("mu") * F.col("mu")).alias("norm2"))
     classes = classes.join(norms, "class", "left").fillna(0.0, ["norm2"])
@@ -189,13 +263,14 @@ def nearest_centroid_fit(weights: DataFrame, labels: DataFrame, id_col: str = "d
 
 
 def nearest_centroid_predict(model, docs: DataFrame, weights: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, prediction): least |x - mean|^2, ties to the first class. |x|^2 is the same for all classes and left out."""
     classes, cells = model
-    x2 = weights.groupBy(id_col).agg(F.sum(F.col("weight") * F.col("weight")).alias("_x"))
-    d = docs.select(id_col).join(x2, id_col, "left").fillna(0.0, ["_x"])
-    base = F.col("_doc") + F.col("k.norm2")
-    scores = _score(d, weights, classes, cells.select("term", "class", "class_idx", "mu"),
-                    F.col("_x"), ["norm2"], base, id_col, F.lit(-2.0) * F.col("weight") * F.col("mu"))
-    return _argmax(scores, id_col, higher_is_better=False)
+    ranked = written(ranked_classes(classes, F.col("norm2")).select("class", "norm2", "rank"), "centroids")
+    dots = weights.join(cells.select("term", "class", "mu"), "term").groupBy(id_col, "class").agg(
+        F.sum(F.col("weight") * F.col("mu")).alias("dot"))
+    touched = dots.join(ranked, "class")
+    untouched = first_untouched(docs, touched, ranked, id_col).select(id_col, (-F.col("norm2")).alias("score"), "class")
+    return _best(touched.select(id_col, (2.0 * F.col("dot") - F.col("norm2")).alias("score"), "class").unionByName(untouched), id_col)
 
 
 def binary_log_odds(cells: DataFrame, weights: DataFrame, positive: str, negative: str,

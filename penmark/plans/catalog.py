@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from penmark.operators import metrics as M
 from penmark.plans import sqlfrag as S
-from penmark.session import cut_lineage, spread
+from penmark.session import spread, written
 from penmark.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,7 +122,7 @@ SELECT doc_id, author, shuffle_key FROM r
 WHERE rn <= (SELECT min(c) FROM (SELECT count(*) AS c FROM k GROUP BY author))""")
 def q_balanced_sample(spark, d):
     # read by several branches of the plan: tokenised and written once
-    rows = cut_lineage(metrics(spark, d).select("doc_id", "author"))
+    rows = written(metrics(spark, d).select("doc_id", "author"), "kept-rows")
     return M.balanced_sample(rows, "doc_id", seed="7").select(
         "doc_id", "author", "shuffle_key")
 
@@ -284,7 +284,7 @@ w AS (SELECT doc_id, term, tf * (ln(n.n / df.df) + 1) AS w FROM tf JOIN df USING
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
 def q_tfidf_unsmoothed(spark, d):
     # Read twice, for the weights and for the document frequencies: tokenised and written once.
-    tf = cut_lineage(clean_term_counts(spark, d))
+    tf = written(clean_term_counts(spark, d), "term-counts")
     n = table(spark, d, "documents").select(F.count(F.lit(1))).scalar()
     idf = FE.document_frequency(tf, n, smooth=False)
     return FE.tfidf(tf, idf).select("doc_id", "term", r6("weight").alias("weight"))
@@ -310,21 +310,23 @@ def sweep_split(spark, d):
     return docs.filter(~flag), docs.filter(flag)
 
 
-def sweep_tfidf(spark, d):
-    """(train weights, test weights, idf) of the sublinear, max_df=0.5 vectoriser."""
+def sweep_fit(spark, d):
+    """Both sides, and (train weights, idf) of the sublinear, max_df=0.5 vectoriser as plans, for one reader."""
     train, test = sweep_split(spark, d)
-    w_train, idf = FE.fit_tfidf(train, smooth=True, sublinear=True, max_df=0.5)
-    # The fitted tables are read by several branches (fit, scoring, selection): written once to
-    # the shared folder instead of recomputing tokenisation, aggregation and norms each time.
-    idf = cut_lineage(idf)
-    w_train = cut_lineage(w_train)
-    w_test = FE.transform_tfidf(test, idf, sublinear=True)
-    return train, test, w_train, w_test, idf
+    return train, test, *FE.fit_tfidf(train, smooth=True, sublinear=True, max_df=0.5)
+
+
+def sweep_tfidf(spark, d):
+    """(train, test, train weights, test weights, idf), the fitted tables written once for several readers."""
+    train, test, w_train, idf = sweep_fit(spark, d)
+    idf = written(idf, "sweep-idf")
+    w_train = written(w_train, "sweep-weights")
+    return train, test, w_train, FE.transform_tfidf(test, idf, sublinear=True), idf
 
 
 @query("tfidf_sublinear", f"WITH {_SWEEP} SELECT doc_id, term, round(weight, 6) AS weight FROM w")
 def q_tfidf_sublinear(spark, d):
-    _, _, w, _, _ = sweep_tfidf(spark, d)
+    _, _, w, _ = sweep_fit(spark, d)
     return w.select("doc_id", "term", r6("weight").alias("weight"))
 
 
@@ -333,8 +335,8 @@ ttf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({S.terms
 tw0 AS (SELECT doc_id, term, (1 + ln(tf)) * idf AS w FROM ttf JOIN idf USING (term))
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM tw0""")
 def q_transform_test(spark, d):
-    _, _, _, wt, _ = sweep_tfidf(spark, d)
-    return wt.select("doc_id", "term", r6("weight").alias("weight"))
+    _, test, _, idf = sweep_fit(spark, d)
+    return FE.transform_tfidf(test, idf, sublinear=True).select("doc_id", "term", r6("weight").alias("weight"))
 
 
 _CHI2 = f"""{_SWEEP},
@@ -347,7 +349,7 @@ top AS (SELECT term, score FROM c ORDER BY score DESC, term LIMIT 50)"""
 
 
 def sweep_chi2(spark, d, k=50):
-    train, _, w, _, _ = sweep_tfidf(spark, d)
+    train, _, w, _ = sweep_fit(spark, d)
     return FE.chi2_select(w, train.select("doc_id", "lang"), k)
 
 
