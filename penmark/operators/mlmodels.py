@@ -1,6 +1,7 @@
-"""Spark ML pipelines: token stage, text vectors, classifiers, persistence.
+"""Token stage, sparse text vectors, the forest and kNN on them.
 
-Linear classifiers on text vectors are in ``penmark.operators.sparse_linear``.
+Linear classifiers on text vectors are in ``penmark.operators.sparse_linear``, whole text models in
+``penmark.operators.textmodel``.
 """
 
 from __future__ import annotations
@@ -11,9 +12,9 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import LinearSVC, NaiveBayes, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, Normalizer, StringIndexer
+from pyspark.ml import Estimator, Transformer
+from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
@@ -23,11 +24,9 @@ from pyspark.sql import functions as F
 
 from penmark.functions import lexicon
 from penmark.functions import text as T
-from penmark.operators.features import split_flag
 from penmark.operators.skew import top_k_per_group
 from penmark.operators.sparse_linear import cell_arrays
 from penmark.session import cut_lineage
-from penmark.sources.files import path_exists
 
 
 class TokenTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -65,101 +64,11 @@ class TokenTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
         return dataset.withColumn(self.getOutputCol(), T.filter_tokens(toks, self.getOrDefault(self.stopwords)))
 
 
-# CountVectorizer asks for a bound of the vocabulary; the default never cuts.
-ALL_TERMS = 2 ** 31 - 1
-
-
-def text_vector_stages(text_col: str = "text", vocab_size: int = ALL_TERMS, min_df: float = 1.0,
-                       tokenizer: Callable[[Column], Column] | None = None) -> list:
-    """Token stage, counts, idf (Spark's ln((n+1)/(df+1))) and L2 rows over all terms."""
-    tok = TokenTransformer(inputCol=text_col, outputCol="tokens")
-    tok.tokenizer = tokenizer
-    return [tok,
-            CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=vocab_size, minDF=min_df),
-            IDF(inputCol="tf", outputCol="tfidf"),
-            Normalizer(inputCol="tfidf", outputCol="features", p=2.0)]
-
-
 def label_stages(label_col: str) -> StringIndexer:
     return StringIndexer(inputCol=label_col, outputCol="label_idx", stringOrderType="alphabetAsc",
                          handleInvalid="error")
 
 
-def skip_unknown_labels(model: PipelineModel) -> PipelineModel:
-    """Rows whose label training never saw are left out when labelled rows are scored."""
-    for s in model.stages:
-        if hasattr(s, "labels") and s.getOutputCol() == "label_idx":
-            s.setHandleInvalid("skip")
-    return model
-
-
-def text_pipeline(classifier: Estimator, text_col: str = "text", label_col: str = "lang",
-                  vocab_size: int = ALL_TERMS, tokenizer=None) -> Pipeline:
-    """[tokens, counts, idf, norm, label index, classifier] -> prediction label."""
-    clf = classifier() if isinstance(classifier, type) else classifier.copy()
-    clf.setParams(featuresCol="features", labelCol="label_idx")
-    return Pipeline(stages=[*text_vector_stages(text_col, vocab_size, tokenizer=tokenizer),
-                            label_stages(label_col), clf])
-
-
-def with_label_names(model: PipelineModel, pred: DataFrame, out_col: str = "predicted") -> DataFrame:
-    indexer = next(s for s in model.stages if hasattr(s, "labels") and s.getOutputCol() == "label_idx")
-    return IndexToString(inputCol="prediction", outputCol=out_col, labels=indexer.labels).transform(pred)
-
-
-def hash_split(df: DataFrame, key: str = "text", seed: str = "0", test_size: float = 0.2):
-    flag = split_flag(key, seed, test_size)
-    return df.filter(~flag), df.filter(flag)
-
-
-def build_and_evaluate(df: DataFrame, classifier: Estimator | type = None, text_col: str = "text",
-                       label_col: str = "lang", outpath: str | None = None, test_size: float = 0.2,
-                       seed: str = "0", vocab_size: int = ALL_TERMS):
-    """Holdout fit and report, then a refit on all rows (optionally saved).
-
-    Returns (model, report DataFrame, {"eval_fit": s, "full_fit": s}).
-    """
-    from penmark.operators.evaluate import classification_report
-    # Default: a hinge-loss linear model, one class against the rest.
-    classifier = classifier or OneVsRest(classifier=LinearSVC(regParam=1e-4, maxIter=50), parallelism=4)
-    df = df.persist()
-    train, test = hash_split(df, text_col, seed, test_size)
-    t0 = time.time()
-    model = text_pipeline(classifier, text_col, label_col, vocab_size).fit(train)
-    t1 = time.time()
-    skip_unknown_labels(model)
-    pred = with_label_names(model, model.transform(test))
-    report = cut_lineage(classification_report(pred, label_col=label_col, pred_col="predicted"))
-    t2 = time.time()
-    full = text_pipeline(classifier, text_col, label_col, vocab_size).fit(df)
-    t3 = time.time()
-    if outpath:
-        full.write().overwrite().save(outpath)
-    df.unpersist()
-    return full, report, {"eval_fit": t1 - t0, "report": t2 - t1, "full_fit": t3 - t2}
-
-
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_or_train(path: str, train: Callable[[], PipelineModel]) -> PipelineModel:
-    """Load the pipeline saved at ``path``; train and save it where there is none.
-
-    A model that is there but can't be read raises; it is never overwritten.
-    """
-    from pyspark.sql import SparkSession
-    if path_exists(SparkSession.getActiveSession(), path):
-        return PipelineModel.load(path)
-    model = train()
-    save_model(model, path)
-    return model
-
-
-def predict_new(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return with_label_names(model, model.transform(df))
-
-
 CLASSIFIERS: dict[str, Callable[[], Estimator]] = {
     # 30 is MLlib's greatest depth
     "random_forest": lambda: RandomForestClassifier(numTrees=100, maxDepth=30, seed=42),

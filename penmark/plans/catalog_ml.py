@@ -18,6 +18,7 @@ from penmark.operators import linear as LIN
 from penmark.operators import metrics as M
 from penmark.operators import mlmodels as ML
 from penmark.operators import sparse_linear as SL
+from penmark.operators import textmodel as TX
 from penmark.operators import trees as TR
 from penmark.plans import sqlfrag as S
 from penmark.plans.catalog import _TF_CLEAN, clean_term_counts, documents, metric_scalars, metrics, query, sweep_tfidf
@@ -188,48 +189,94 @@ def q_best_model(spark, d):
 
 @query("build_and_evaluate")
 def q_build_and_evaluate(spark, d):
-    _, report, _ = ML.build_and_evaluate(documents(spark, d))
+    _, report, _ = TX.build_and_evaluate(documents(spark, d))
     return report
 
 
-@query("pluggable_classifier")
+def _text_nb(train: str, new: str, prior: str = "ln(n_c / n.n)") -> str:
+    """The text model with multinomial naive Bayes in SQL; ``train`` gives (k, class, text), ``new`` (k, text); ``pred`` (k, prediction)."""
+    counts = "SELECT k, term, count(*) AS tf FROM (SELECT k, unnest({0}) AS term FROM {1}) GROUP BY k, term"
+    unit = "SELECT k, term, w / sqrt(sum(w * w) OVER (PARTITION BY k)) AS weight FROM (SELECT k, term, tf * idf AS w FROM {0} JOIN idf USING (term))"
+    return f"""tr AS ({train}), nw AS ({new}), n AS (SELECT count(*) AS n FROM tr),
+tf AS ({counts.format(_FILT, 'tr')}), nf AS ({counts.format(_FILT, 'nw')}),
+idf AS (SELECT term, ln((1 + n.n) / (1 + df)) + 1 AS idf FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), n),
+w AS ({unit.format('tf')}), x AS ({unit.format('nf')}),
+fc AS (SELECT term, class, sum(weight) AS fc FROM w JOIN tr USING (k) GROUP BY term, class),
+tot AS (SELECT class, sum(fc) AS tot, count(*) AS cells FROM fc GROUP BY class),
+k AS (SELECT count(DISTINCT class) AS k, (SELECT count(*) FROM idf) AS v FROM tr),
+cp AS (SELECT class, n_c, {prior} AS log_prior, ln(coalesce(tot, 0) + 0.01 * k.v) AS log_denom, coalesce(cells, 0) AS cells
+       FROM (SELECT class, count(*) AS n_c FROM tr GROUP BY class) LEFT JOIN tot USING (class), n, k),
+gain AS (SELECT x.k, class, sum(weight * (ln(fc + 0.01) - ln(0.01))) AS g FROM x JOIN fc USING (term) GROUP BY x.k, class),
+xs AS (SELECT k, sum(weight) AS x FROM x GROUP BY k),
+sc AS (SELECT nw.k, cp.class, log_prior + coalesce(xs.x, 0) * (ln(0.01) - log_denom) + coalesce(g, 0) AS score
+       FROM nw CROSS JOIN cp LEFT JOIN xs ON xs.k = nw.k LEFT JOIN gain ON gain.k = nw.k AND gain.class = cp.class),
+pred AS (SELECT k, class AS prediction FROM (SELECT k, class, row_number() OVER (PARTITION BY k ORDER BY score DESC, class) AS rn FROM sc) WHERE rn = 1)"""
+
+
+_HELD = S.split_flag("text", "0", 0.2)
+_ALL = "SELECT doc_id AS k, lang AS class, text FROM documents"
+
+
+def _holdout_report(kind: str, prior: str) -> str:
+    """classification_report of the holdout, as one parenthesised SELECT."""
+    return f"""(WITH {_text_nb(f"{_ALL} WHERE NOT {_HELD}", f"SELECT doc_id AS k, text FROM documents WHERE {_HELD}", prior)},
+p AS (SELECT lang AS label, prediction FROM pred JOIN documents ON doc_id = pred.k),
+t AS (SELECT class, (SELECT count(*) FROM p WHERE label = class) AS support, (SELECT count(*) FROM p WHERE prediction = class) AS np,
+             (SELECT count(*) FROM p WHERE label = class AND prediction = class) AS tp
+      FROM (SELECT label AS class FROM p UNION SELECT prediction FROM p)),
+m AS (SELECT class, CASE WHEN np > 0 THEN tp / np ELSE 0.0 END AS p, CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS r, support FROM t),
+f AS (SELECT class, p, r, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f, support FROM m)
+SELECT '{kind}' AS classifier, class, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1, support::BIGINT AS support FROM f
+UNION ALL SELECT '{kind}', 'avg / total', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6),
+       round(sum(f * support) / sum(support), 6), sum(support)::BIGINT FROM f)"""
+
+
+@query("pluggable_classifier", f"""SELECT * FROM {_holdout_report('rule', 'ln(n_c / n.n)')}
+UNION ALL SELECT * FROM {_holdout_report('estimator', 'ln(n_c + 0.01) - ln(n.n + 0.01 * k.k)')}""")
 def q_pluggable_classifier(spark, d):
-    clf = NaiveBayes(modelType="multinomial", smoothing=0.01)
-    _, report, _ = ML.build_and_evaluate(documents(spark, d), clf)
-    return report
+    """The class of a rule, and an instance of a ``pyspark.ml`` estimator (which smooths its priors, too)."""
+    given = {"rule": TX.MultinomialNB, "estimator": NaiveBayes(modelType="multinomial", smoothing=0.01)}
+    out = _each("classifier", {k: TX.build_and_evaluate(documents(spark, d), c)[1] for k, c in given.items()})
+    return out.select("classifier", "class", *[F.round(x, 6).alias(x) for x in ("precision", "recall", "f1")], "support")
+
+
+def _text_model(spark, d) -> TX.TextModel:
+    return TX.fit_text_model(documents(spark, d), TX.MultinomialNB(alpha=0.01))
 
 
-def _trained_pipeline(spark, d):
-    return ML.text_pipeline(NaiveBayes(modelType="multinomial", smoothing=0.01)).fit(documents(spark, d))
+_NEW = f"WITH {_text_nb(_ALL, 'SELECT item_id AS k, text FROM benchmark')} SELECT k AS item_id,"
 
 
-@query("predict_new")
+@query("predict_new", f"{_NEW} prediction FROM pred")
 def q_predict_new(spark, d):
-    model = _trained_pipeline(spark, d)
-    pred = ML.predict_new(model, table(spark, d, "benchmark"))
-    return pred.select("item_id", F.col("predicted").alias("prediction"))
+    return _text_model(spark, d).predict(table(spark, d, "benchmark"), out_col="prediction").select("item_id", "prediction")
 
 
-@query("save_model")
+@query("save_model", f"""WITH {_text_nb(_ALL, 'SELECT item_id AS k, text FROM benchmark')}
+SELECT 'multinomial_nb' AS rule, class, n_c::BIGINT AS n_documents, cells::BIGINT AS n_cells, round(log_prior, 6) AS log_prior,
+       round(log_denom, 6) AS log_denom FROM cp""")
 def q_save_model(spark, d):
-    path = shared_path(spark, "models", "pipeline")
-    model = _trained_pipeline(spark, d)
-    ML.save_model(model, path)
-    return spark.read.json(path + "/metadata").select("class", "uid")
+    """What the saved folder holds for each class."""
+    path = shared_path(spark, "models", "text")
+    TX.save_model(_text_model(spark, d), path)
+    stored = TX.load_model(spark, path)
+    cells = stored.tables["cells"].groupBy("class").agg(F.count(F.lit(1)).alias("n_cells"))
+    return stored.tables["classes"].join(cells, "class", "left").select(
+        F.lit(stored.rule.name).alias("rule"), "class", F.col("n_c").alias("n_documents"), F.coalesce("n_cells", F.lit(0)).cast("long").alias("n_cells"),
+        F.round("log_prior", 6).alias("log_prior"), F.round("log_denom", 6).alias("log_denom"))
 
 
-@query("load_model")
+@query("load_model", f"{_NEW} prediction AS first, prediction AS reloaded, true AS same FROM pred")
 def q_load_model(spark, d):
-    path = shared_path(spark, "models", "pipeline")
-    model = ML.load_or_train(path, lambda: _trained_pipeline(spark, d))
+    path = shared_path(spark, "models", "text")
+    model = TX.load_or_train(spark, path, lambda: _text_model(spark, d))
 
     def absent():
         raise AssertionError("the saved model must be found")
-    again = ML.load_or_train(path, absent)
-    bench = table(spark, d, "benchmark")
-    a = ML.predict_new(model, bench).select("item_id", F.col("predicted").alias("first"))
-    b = ML.predict_new(again, bench).select("item_id", F.col("predicted").alias("reloaded"))
-    return a.join(b, "item_id").withColumn("same", F.col("first") == F.col("reloaded"))
+    again = TX.load_or_train(spark, path, absent)
+    bench = table(spark, d, "benchmark").select("item_id", "text")
+    both = again.predict(model.predict(bench, out_col="first"), out_col="reloaded")
+    return both.select("item_id", "first", "reloaded", (F.col("first") == F.col("reloaded")).alias("same"))
 
 
 @query("assemble_features")

@@ -79,19 +79,6 @@ def test_parameter_mixing_separates(spark, rule):
     assert all(r["prediction"] == r["label_idx"] for r in pred)
 
 
-def test_pipeline_save_load_same_predictions(spark, tmp_path):
-    from pyspark.ml.classification import NaiveBayes
-    from pyspark.ml import PipelineModel
-    docs = spark.createDataFrame([(i, t, l) for i, t, l in TRAIN], "doc_id long, text string, lang string")
-    model = ML.text_pipeline(NaiveBayes(smoothing=0.01), vocab_size=100).fit(docs)
-    path = str(tmp_path / "m")
-    ML.save_model(model, path)
-    again = PipelineModel.load(path)
-    a = [r["predicted"] for r in ML.predict_new(model, docs).orderBy("doc_id").collect()]
-    b = [r["predicted"] for r in ML.predict_new(again, docs).orderBy("doc_id").collect()]
-    assert a == b == ["A", "A", "A", "B", "B", "B"]
-
-
 @pytest.mark.parametrize("blocks", [(1, 5), (3, 2), (None, None)])
 def test_knn_every_query_answered_for_any_blocking(spark, blocks):
     """Uneven block counts once lost whole query blocks (key types differed

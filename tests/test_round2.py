@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from penmark.functions import text as T
 from penmark.operators import features as FE
 from penmark.operators import mlmodels as ML
+from penmark.operators import textmodel as TX
 from penmark.operators import sparse_linear as SL
 from penmark.session import shared_path
 from penmark.sources import files as IO
@@ -55,7 +56,7 @@ def test_unreadable_model_is_not_replaced(spark):
     path = shared_path(spark, "test", "model")
     spark.range(1).write.parquet(path)
     with pytest.raises(Exception):
-        ML.load_or_train(path, lambda: pytest.fail("must not train"))
+        TX.load_or_train(spark, path, lambda: pytest.fail("must not train"))
     assert spark.read.parquet(path).count() == 1
 
 
