@@ -21,6 +21,10 @@ SENTENCE = r"[^.!?\n]+[.!?]*"
 WORD_OR_PUNCT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
 PUNCT_ONLY = r"^[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]*$"
 LINK = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*')"""
+# A comment, a script or style with its content, a tag (a ">" inside quotes doesn't end it), a run of text, or a stray "<".
+HTML_TOKEN = (r"""(?is)<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>"""
+              r"""|</?[a-z][^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>|[^<]+|<""")
+VOID_TAGS = "area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr"
 _REGEX_SPECIAL = set("\\.^$|?*+()[]{}")
 
 
@@ -199,6 +203,34 @@ def article_body(html: Column | str) -> Column:
     return F.trim(strip_tags(inner))
 
 
+def html_tokens(html: Column | str) -> Column:
+    """The page cut into ``HTML_TOKEN``; a null page has none."""
+    return F.regexp_extract_all(F.coalesce(_col(html), F.lit("")), F.lit(HTML_TOKEN), F.lit(0))
+
+
+def tag_name(token: Column) -> Column:
+    """Lower-case name of an opening or closing tag; empty for every other token, scripts and styles among them."""
+    name = F.lower(F.regexp_extract(token, r"^</?([A-Za-z][A-Za-z0-9-]*)", 1))
+    return F.when(name.isin("script", "style"), F.lit("")).otherwise(name)
+
+
+def attribute(token: Column, name: str) -> Column:
+    """Value of a tag's attribute, quotes off and entities decoded; empty where there is none."""
+    v = F.regexp_extract(token, rf"""(?i)^<[a-z][^\s>]*(?:\s[^>]*?)?\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return decode_entities(F.regexp_replace(v, "^[\"']|[\"']$", ""))
+
+
+def opens(token: Column, tag: str | None = None, attr: str | None = None, word: str | None = None) -> Column:
+    """Whether a token opens an element of this tag (None: any) whose attribute holds this word."""
+    name = tag_name(token)
+    out = (name != "") & ~token.startswith("</")
+    if tag is not None:
+        out = out & (name == tag)
+    if attr is not None:
+        out = out & F.array_contains(F.split(attribute(token, attr), r"\s+"), word)
+    return out
+
+
 def links(html: Column | str) -> Column:
     """The href of every anchor, in order: either quote style, entities decoded."""
     quoted = F.regexp_extract_all(_col(html), F.lit(LINK), 1)

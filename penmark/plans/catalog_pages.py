@@ -41,12 +41,33 @@ def all_pairs(spark, d):
 
 # ------------------------------------------------------------------ 2.2 pages
 
+_HREF = r"""(?i)\shref\s*=\s*["']([^"']+)["']"""
+
+
 @query("extract_links", f"""WITH l AS (SELECT page_id, url, {S.links('html')} AS h FROM pages)
 SELECT page_id, url, (generate_subscripts(h, 1) - 1)::INTEGER AS link_pos, unnest(h) AS href FROM l""")
 def q_extract_links(spark, d):
     return P.extract_links(pages(spark, d))
 
 
+# Running sums over the tags of one name, as in the operator, on tokens cut by the same pattern.
+_TAGS = f"""tk AS (SELECT page_id, url, generate_subscripts(k, 1) AS p, unnest(k) AS t FROM
+  (SELECT page_id, url, {S.extract_all('html', T.HTML_TOKEN)} AS k FROM pages)),
+tg AS (SELECT *, lower(regexp_extract(t, '^</?([A-Za-z][A-Za-z0-9-]*)', 1)) AS name, starts_with(t, '</') AS closing FROM tk),
+dp AS (SELECT *, sum(CASE WHEN closing THEN -1 ELSE 1 END) OVER (PARTITION BY page_id ORDER BY p) AS depth FROM tg WHERE name = 'li'),
+el AS (SELECT page_id, p AS s, closing, coalesce(lead(p) OVER (PARTITION BY page_id, CASE WHEN closing THEN depth + 1 ELSE depth END ORDER BY p), 2147483647) AS e FROM dp),
+an AS (SELECT page_id, url, p, {S.decode_entities(f"regexp_extract(t, {S.lit(_HREF)}, 1)")} AS href FROM tg WHERE name = 'a' AND NOT closing AND regexp_matches(t, {S.lit(_HREF)})),
+own AS (SELECT an.*, (SELECT max({{'e': e, 's': s}}) FROM el WHERE el.page_id = an.page_id AND NOT closing AND s < an.p AND e > an.p).s AS s FROM an),
+fst AS (SELECT page_id, url, s, min(p) AS p, arg_min(href, p) AS href FROM own WHERE s IS NOT NULL GROUP BY ALL)"""
+
+
+@query("listing_links", f"""WITH {_TAGS}
+SELECT page_id, url, (row_number() OVER (PARTITION BY page_id ORDER BY p) - 1)::INTEGER AS link_pos, href FROM fst""")
+def q_listing_links(spark, d):
+    """The first anchor of every list item: the articles of a listing page."""
+    return P.select_links(pages(spark, d), within=("li", None, None), first_only=True)
+
+
 @query("extract_article_fields", f"""
 SELECT page_id, url, {_HOST} AS author, {S.first_heading('html')} AS headline, {S.article_body('html')} AS body FROM pages""")
 def q_extract_article_fields(spark, d):
