@@ -23,5 +23,5 @@ def q_stream_ingest(spark, d):
     IO.append_articles(arts.filter(F.col("lang") == "de"), store)
     arts.filter(F.col("lang") != "es").drop("lang").write.mode("append").json(src)
     arts.filter(F.col("lang") != "en").drop("lang").write.mode("append").json(src)
-    stream_ingest(spark, src, store, ckpt)
+    stream_ingest(spark, src, store, ckpt, ledger_dir=f"{base}/ledger")
     return stored_articles(spark, store)

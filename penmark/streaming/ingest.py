@@ -9,11 +9,17 @@ resume. ``availableNow`` is "drain what is there, then stop".
 Keyed streaming state (``dropDuplicates`` across batches) is optional: without
 an event-time watermark it grows with the number of distinct URLs, and the
 store anti-join already gives the same result.
+
+With ``ledger_dir`` a batch doesn't read the store. The ledger holds the stored URLs as Parquet files in hash buckets,
+and a batch reads those buckets that its own URLs fall into. A batch first leaves a mark, then appends to
+the store, then to the ledger. A batch that finds its own mark is a replay after a failure: only then is the store read, once.
+The ledger is filled from the store when it is first used; from then on only the stream may write to the store.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from penmark.sources.files import ARTICLE, path_exists, read_articles_jsonl
@@ -27,10 +33,61 @@ def _stored_urls(spark: SparkSession, store_dir: str, store_format: str) -> Data
     return spark.read.format(store_format).load(store_dir).select("url")
 
 
+COLUMNS = ["url", "author", "headline", "body"]
+LEDGER_BUCKETS = 1024   # at most so many numbers of a batch's buckets come to the driver
+
+
+def _bucket(url: str = "url") -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(LEDGER_BUCKETS)).cast("int")
+
+
+def _absent(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """``rows`` whose URL isn't stored; null-safe: an article without a URL is stored once, too, also when a batch is replayed."""
+    return rows.join(stored, rows["url"].eqNullSafe(stored["url"]), "left_anti")
+
+
+def _ledger_append(urls: DataFrame, ledger_dir: str) -> None:
+    """One file for each bucket: rows of a bucket are brought together first."""
+    rows = urls.select("url", _bucket().alias("bucket"))
+    rows.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{ledger_dir}/urls")
+
+
+def seed_ledger(spark: SparkSession, store_dir: str, ledger_dir: str, store_format: str = "json") -> None:
+    """Fill a new ledger from the store. A mark is left when it is done; a fill that died before is done again (URLs may be twice)."""
+    if not path_exists(spark, f"{ledger_dir}/marks/seeded"):
+        _ledger_append(_stored_urls(spark, store_dir, store_format), ledger_dir)
+        spark.range(1).write.mode("overwrite").parquet(f"{ledger_dir}/marks/seeded")
+
+
+def ledger_urls(batch: DataFrame, ledger_dir: str) -> DataFrame:
+    """The stored URLs of the buckets that the batch's URLs fall into; no other bucket is listed or read."""
+    spark = batch.sparkSession
+    hit = sorted(r[0] for r in batch.select(_bucket()).distinct().collect())
+    paths = f"{ledger_dir}/urls/bucket={{{','.join(map(str, hit))}}}"
+    if not hit or not path_exists(spark, paths):
+        return spark.createDataFrame([], "url string")
+    return spark.read.schema("url string").parquet(paths)
+
+
+def ingest_batch(batch: DataFrame, mark: str, store_dir: str, ledger_dir: str, store_format: str = "json") -> None:
+    """Append a batch's new articles to the store and their URLs to the ledger; ``mark`` names the batch, also in a replay."""
+    spark = batch.sparkSession
+    path = f"{ledger_dir}/marks/{mark}"
+    replay = path_exists(spark, path)
+    if not replay:
+        spark.range(1).write.mode("overwrite").parquet(path)
+    once = batch.dropDuplicates(["url"]).select(*COLUMNS).persist()
+    new = _absent(once, ledger_urls(once, ledger_dir))
+    fresh = _absent(new, _stored_urls(spark, store_dir, store_format)) if replay else new
+    fresh.write.mode("append").format(store_format).save(store_dir)
+    _ledger_append(new, ledger_dir)
+    once.unpersist()
+
+
 def stream_ingest(spark: SparkSession, source_dir: str, store_dir: str, checkpoint_dir: str,
                   schema: StructType = ARTICLE, keyed_state: bool = False,
                   available_now: bool = True, max_files_per_trigger: int | None = None,
-                  store_format: str = "json"):
+                  store_format: str = "json", ledger_dir: str | None = None):
     """Start (and, with ``available_now``, run to completion) the ingest query.
 
     ``store_format="json"`` keeps the JSON-lines article store; a columnar format
@@ -45,11 +102,15 @@ def stream_ingest(spark: SparkSession, source_dir: str, store_dir: str, checkpoi
         stream = stream.dropDuplicates(["url"])
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        stored = _stored_urls(batch.sparkSession, store_dir, store_format)
-        once = batch.dropDuplicates(["url"])
-        # null-safe: an article without a URL is stored once, too, also when a batch is replayed
-        fresh = once.join(stored, once["url"].eqNullSafe(stored["url"]), "left_anti")
-        fresh.select("url", "author", "headline", "body").write.mode("append").format(store_format).save(store_dir)
+        if ledger_dir:
+            # the id of the query is that of its checkpoint, so batches of another checkpoint have other marks
+            own = batch.sparkSession.read.json(f"{checkpoint_dir}/metadata").first()["id"]
+            return ingest_batch(batch, f"{own}-{epoch_id}", store_dir, ledger_dir, store_format)
+        fresh = _absent(batch.dropDuplicates(["url"]), _stored_urls(batch.sparkSession, store_dir, store_format))
+        fresh.select(*COLUMNS).write.mode("append").format(store_format).save(store_dir)
+
+    if ledger_dir:
+        seed_ledger(spark, store_dir, ledger_dir, store_format)
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
