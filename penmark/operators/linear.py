@@ -339,17 +339,16 @@ def knn_predict(train: DataFrame, test: DataFrame, k: int = 10, id_col: str = "v
         labels = left["label"].to_numpy()
         q_ids = right["q_id"].to_numpy()
         kk = min(k, len(left))
-        # Direct squared differences, in query chunks that bound the temporary.
+        # Direct squared differences (exact ties stay ties), in query chunks that bound the temporary.
         step = max(1, 4_000_000 // max(1, a.shape[0] * a.shape[1]))
-        rows = []
+        near, dist = np.empty((len(b), kk), np.int64), np.empty((len(b), kk))
         for lo in range(0, len(b), step):
             diff = b[lo:lo + step, None, :] - a[None, :, :]
             d2 = np.einsum("qtd,qtd->qt", diff, diff)
-            for i in range(d2.shape[0]):
-                order = np.lexsort((t_ids, d2[i]))[:kk]
-                rows.append(pd.DataFrame({"q_id": q_ids[lo + i], "t_id": t_ids[order],
-                                          "dist": d2[i][order], "label": labels[order]}))
-        return pd.concat(rows, ignore_index=True)
+            order = np.lexsort((np.broadcast_to(t_ids, d2.shape), d2), axis=1)[:, :kk]
+            near[lo:lo + step], dist[lo:lo + step] = order, np.take_along_axis(d2, order, axis=1)
+        flat = near.ravel()
+        return pd.DataFrame({"q_id": np.repeat(q_ids, kk), "t_id": t_ids[flat], "dist": dist.ravel(), "label": labels[flat]})
 
     cand = tr.groupBy("tb", "qb").cogroup(te.groupBy("tb", "qb")).applyInPandas(
         block, "q_id long, t_id long, dist double, label int")
