@@ -34,11 +34,11 @@ def _stored_urls(spark: SparkSession, store_dir: str, store_format: str) -> Data
 
 
 COLUMNS = ["url", "author", "headline", "body"]
-LEDGER_BUCKETS = 1024   # at most so many numbers of a batch's buckets come to the driver
+LEDGER_BUCKETS = 64   # default of a new ledger; more for large stores and small batches
 
 
-def _bucket(url: str = "url") -> Column:
-    return F.pmod(F.xxhash64(url), F.lit(LEDGER_BUCKETS)).cast("int")
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("url"), F.lit(buckets)).cast("int")
 
 
 def _absent(rows: DataFrame, stored: DataFrame) -> DataFrame:
@@ -46,48 +46,56 @@ def _absent(rows: DataFrame, stored: DataFrame) -> DataFrame:
     return rows.join(stored, rows["url"].eqNullSafe(stored["url"]), "left_anti")
 
 
-def _ledger_append(urls: DataFrame, ledger_dir: str) -> None:
+def _ledger_append(urls: DataFrame, ledger_dir: str, buckets: int) -> None:
     """One file for each bucket: rows of a bucket are brought together first."""
-    rows = urls.select("url", _bucket().alias("bucket"))
+    rows = urls.select("url", _bucket(buckets).alias("bucket"))
     rows.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{ledger_dir}/urls")
 
 
-def seed_ledger(spark: SparkSession, store_dir: str, ledger_dir: str, store_format: str = "json") -> None:
-    """Fill a new ledger from the store. A mark is left when it is done; a fill that died before is done again (URLs may be twice)."""
-    if not path_exists(spark, f"{ledger_dir}/marks/seeded"):
-        _ledger_append(_stored_urls(spark, store_dir, store_format), ledger_dir)
-        spark.range(1).write.mode("overwrite").parquet(f"{ledger_dir}/marks/seeded")
+def seed_ledger(spark: SparkSession, store_dir: str, ledger_dir: str, store_format: str = "json",
+                buckets: int = LEDGER_BUCKETS) -> int:
+    """Fill a new ledger from the store; the ledger's number of buckets, which its mark keeps.
+
+    A fill that died before the mark is done again (URLs may then be in it twice).
+    """
+    mark = f"{ledger_dir}/marks/seeded"
+    if path_exists(spark, f"{mark}/part-*"):
+        return spark.read.parquet(mark).first()[0]
+    _ledger_append(_stored_urls(spark, store_dir, store_format), ledger_dir, buckets)
+    spark.range(buckets, buckets + 1).coalesce(1).write.mode("overwrite").parquet(mark)
+    return buckets
 
 
-def ledger_urls(batch: DataFrame, ledger_dir: str) -> DataFrame:
+def ledger_urls(batch: DataFrame, ledger_dir: str, buckets: int) -> DataFrame:
     """The stored URLs of the buckets that the batch's URLs fall into; no other bucket is listed or read."""
     spark = batch.sparkSession
-    hit = sorted(r[0] for r in batch.select(_bucket()).distinct().collect())
+    hit = sorted(r[0] for r in batch.select(_bucket(buckets)).distinct().collect())
     paths = f"{ledger_dir}/urls/bucket={{{','.join(map(str, hit))}}}"
     if not hit or not path_exists(spark, paths):
         return spark.createDataFrame([], "url string")
     return spark.read.schema("url string").parquet(paths)
 
 
-def ingest_batch(batch: DataFrame, mark: str, store_dir: str, ledger_dir: str, store_format: str = "json") -> None:
+def ingest_batch(batch: DataFrame, mark: str, store_dir: str, ledger_dir: str, buckets: int, store_format: str = "json") -> None:
     """Append a batch's new articles to the store and their URLs to the ledger; ``mark`` names the batch, also in a replay."""
     spark = batch.sparkSession
     path = f"{ledger_dir}/marks/{mark}"
     replay = path_exists(spark, path)
     if not replay:
-        spark.range(1).write.mode("overwrite").parquet(path)
+        spark.range(1).write.parquet(path)
     once = batch.dropDuplicates(["url"]).select(*COLUMNS).persist()
-    new = _absent(once, ledger_urls(once, ledger_dir))
+    new = _absent(once, ledger_urls(once, ledger_dir, buckets))
     fresh = _absent(new, _stored_urls(spark, store_dir, store_format)) if replay else new
     fresh.write.mode("append").format(store_format).save(store_dir)
-    _ledger_append(new, ledger_dir)
+    _ledger_append(new, ledger_dir, buckets)
     once.unpersist()
 
 
 def stream_ingest(spark: SparkSession, source_dir: str, store_dir: str, checkpoint_dir: str,
                   schema: StructType = ARTICLE, keyed_state: bool = False,
                   available_now: bool = True, max_files_per_trigger: int | None = None,
-                  store_format: str = "json", ledger_dir: str | None = None):
+                  store_format: str = "json", ledger_dir: str | None = None,
+                  ledger_buckets: int = LEDGER_BUCKETS):
     """Start (and, with ``available_now``, run to completion) the ingest query.
 
     ``store_format="json"`` keeps the JSON-lines article store; a columnar format
@@ -105,12 +113,12 @@ def stream_ingest(spark: SparkSession, source_dir: str, store_dir: str, checkpoi
         if ledger_dir:
             # the id of the query is that of its checkpoint, so batches of another checkpoint have other marks
             own = batch.sparkSession.read.json(f"{checkpoint_dir}/metadata").first()["id"]
-            return ingest_batch(batch, f"{own}-{epoch_id}", store_dir, ledger_dir, store_format)
+            return ingest_batch(batch, f"{own}-{epoch_id}", store_dir, ledger_dir, buckets, store_format)
         fresh = _absent(batch.dropDuplicates(["url"]), _stored_urls(batch.sparkSession, store_dir, store_format))
         fresh.select(*COLUMNS).write.mode("append").format(store_format).save(store_dir)
 
     if ledger_dir:
-        seed_ledger(spark, store_dir, ledger_dir, store_format)
+        buckets = seed_ledger(spark, store_dir, ledger_dir, store_format, ledger_buckets)
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

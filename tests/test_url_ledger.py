@@ -39,35 +39,35 @@ def test_stream_with_ledger_is_exactly_once(spark, dirs):
 def test_a_batch_reads_its_own_buckets_only(spark, dirs, monkeypatch):
     _, store, _, ledger = dirs
     IO.append_articles(articles(spark, *[f"u{i}" for i in range(30)]), store)
-    ST.seed_ledger(spark, store, ledger)
+    n = ST.seed_ledger(spark, store, ledger)
     batch = articles(spark, "u3", "new")
-    hit = {r[0] for r in batch.select(ST._bucket()).collect()}
+    hit = {r[0] for r in batch.select(ST._bucket(n)).collect()}
     for folder in Path(ledger, "urls").glob("bucket=*"):
         if int(folder.name.split("=")[1]) not in hit:
             (folder / "part-bad.parquet").write_bytes(b"not a table")   # reading it would fail
     monkeypatch.setattr(ST, "_stored_urls", lambda *a: pytest.fail("the store must not be read"))
-    ST.ingest_batch(batch, "q-0", store, ledger)
+    ST.ingest_batch(batch, "q-0", store, ledger, n)
     assert urls(spark, store).count("u3") == 1 and "new" in urls(spark, store)
 
 
 def test_replay_after_a_failure_between_store_and_ledger(spark, dirs, monkeypatch):
     _, store, _, ledger = dirs
-    ST.seed_ledger(spark, store, ledger)
+    n = ST.seed_ledger(spark, store, ledger)
     batch = articles(spark, "a", "b")
     with monkeypatch.context() as m:
         m.setattr(ST, "_ledger_append", lambda *a: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
-            ST.ingest_batch(batch, "q-0", store, ledger)
+            ST.ingest_batch(batch, "q-0", store, ledger, n)
     assert urls(spark, store) == ["a", "b"]
-    ST.ingest_batch(batch, "q-0", store, ledger)           # stored already: only the ledger is mended
-    ST.ingest_batch(articles(spark, "b", "c"), "q-1", store, ledger)
-    ST.ingest_batch(articles(spark, "b", "c"), "q-1", store, ledger)
+    ST.ingest_batch(batch, "q-0", store, ledger, n)           # stored already: only the ledger is mended
+    ST.ingest_batch(articles(spark, "b", "c"), "q-1", store, ledger, n)
+    ST.ingest_batch(articles(spark, "b", "c"), "q-1", store, ledger, n)
     assert urls(spark, store) == ["a", "b", "c"]
 
 
 def test_empty_batch(spark, dirs):
     _, store, _, ledger = dirs
     IO.append_articles(articles(spark, "u"), store)
-    ST.seed_ledger(spark, store, ledger)
-    ST.ingest_batch(articles(spark, "x").filter(F.lit(False)), "q-0", store, ledger)
+    n = ST.seed_ledger(spark, store, ledger)
+    ST.ingest_batch(articles(spark, "x").filter(F.lit(False)), "q-0", store, ledger, n)
     assert urls(spark, store) == ["u"]
