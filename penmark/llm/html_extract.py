@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 # Element names of the HTML standard by what they do to the tree and the text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title xmp iframe noembed noframes noscript template svg math".split())
+RAW = set("script style textarea title xmp iframe noembed noframes noscript template svg".split())
 BLOCK = set("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search
 section summary table tbody tfoot thead tr ul""".split())
@@ -53,7 +53,7 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}
 
 # What is never part of the article (ALWAYS: unless it holds the article).
 NOT_TEXT = set("""head nav footer aside button select datalist input textarea script style title xmp iframe noembed
-noframes noscript template svg math canvas audio video object applet map dialog menu search""".split())
+noframes noscript template svg canvas audio video object applet map dialog menu search annotation annotation-xml""".split())
 ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 ALWAYS = set("""ad ads advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion cookie cookies
 consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup share sharing social sidebar comment
@@ -66,6 +66,8 @@ COMMENTS = set("comment comments disqus reply replies respond".split())
 
 ROOTS = {"article", "main", "body", "html"}
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+COMMENT_START_END = re.compile(r"-?>")   # a comment that ends where it starts: <!--> or <!--->
+COMMENT_END = re.compile(r"--!?>")
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|$)""", re.I)
 NOT_NAME = re.compile(r"[^a-z0-9]+")
@@ -145,8 +147,8 @@ def parse_tags(page: str) -> tuple[Node, bool]:
         nxt = page[j + 1:j + 2]
         if nxt in ("!", "?"):
             if page.startswith("<!--", j):
-                end = page.find("-->", j + 4)
-                i = n if end < 0 else end + 3
+                end = COMMENT_START_END.match(page, j + 4) or COMMENT_END.search(page, j + 4)
+                i = end.end() if end else n
             else:
                 end = page.find(">", j)
                 i = n if end < 0 else end + 1
@@ -391,8 +393,8 @@ def article_nodes(root: Node) -> set[int]:
     threshold = min(x.density for x in path)
     # the article, and main headlines wherever they stand
     chosen = {id(best)} | {id(x) for x in order if x.tag == "h1"}
+    on_path = {id(x) for x in path}
     for around in path[1:]:
-        on_path = {id(x) for x in path}
         chosen.update(id(p) for p in around.parts if isinstance(p, Node) and id(p) not in on_path
                       and p.chars and p.density >= threshold)
     return chosen

@@ -1,5 +1,7 @@
 """HTML extraction, WARC revisits and embedding near-dedup: rules, edge cases, brute force."""
 
+import random
+
 import brute
 import numpy as np
 import pytest
@@ -72,6 +74,46 @@ def test_left_out_elements_without_end_tags(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<article><p>a<!-->b</p></article>", "ab"),
+    ("<article><p>a<!--->b</p></article>", "ab"),
+    ("<article><p>a<!---->b</p></article>", "ab"),
+    ("<article><p>a<!-- no --!>b<!-- -- no --></p></article>", "ab"),
+    ("<article><p>a<!-- no > no", "a"),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p></article>", "Let x=2 be"),
+    ("<article><p>Let <math><semantics><mi>x</mi><annotation encoding='application/x-tex'>\\x</annotation></semantics></math> be</p></article>",
+     "Let x be"),
+])
+def test_comment_ends_and_formulas(page, want):
+    assert main_text(page) == want
+
+
+def test_pages_built_from_known_blocks():
+    """Pages put together around known blocks, with and without an article element, give these blocks again."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choices("abcdefghijklmnop", k=rnd.randrange(2, 9)))
+    link = lambda: f"<a href='/{word()}'>{word()}</a>"
+    prose = lambda: " ".join(word() for _ in range(rnd.randrange(25, 90)))
+    junk = [lambda: "<nav><ul>" + "".join(f"<li>{link()}" for _ in range(9)) + "</ul></nav>", lambda: f"<div class='ad'><p>{word()}</p></div>",
+            lambda: f"<script>if (a < b) {{ '{word()}</p>' }}</script>", lambda: f"<!-- {word()} -->", lambda: f"<aside><p>{word()}</p></aside>",
+            lambda: f"<form><input><button>{word()}</button></form>", lambda: f"<style>p{{}}</style>"]
+    for _ in range(200):
+        blocks, inner = [word().title()], []
+        inner.append(f"<h1>{blocks[0]}</h1>")
+        for _ in range(rnd.randrange(3, 12)):
+            text = prose()
+            kind = rnd.choice(["plain", "open", "bold", "entity", "list"])
+            blocks.append(text + " & so" if kind == "entity" else text)
+            inner.append({"plain": f"<p>{text}</p>", "open": f"<p>\n{text}\n", "bold": f"<p><b>{text[:9]}</b>{text[9:]}</p>",
+                          "entity": f"<p>{text} &amp; so</p>", "list": f"<ul><li>{text}</ul>"}[kind])
+            if rnd.random() < 0.3:
+                inner.append(rnd.choice(junk[1:])())
+        holder = rnd.choice(["article", "main", "div", "div"])
+        page = (f"<html><head><title>{word()}</title></head><body>{rnd.choice(junk)()}<header><p>{word()}</p>{link()}</header>{rnd.choice(junk)()}"
+                f"<{holder} id='x1'>{''.join(inner)}</{holder}>{rnd.choice(junk)()}<footer><p>{word()} {link()}</p></footer></body></html>")
+        assert main_text(page) == "\n\n".join(blocks), page
+
+
 def test_many_nested_suspects():
     assert main_text("<div class='widget'>" * 5_000 + "deep") == "deep"
     assert main_text("<p>" + "text " * 50 + "</p>" + "<div class='ad'>x</div>" * 5_000) == ("text " * 50).strip()
