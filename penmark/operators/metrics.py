@@ -204,14 +204,21 @@ def grid_pivot(long: DataFrame, x: str, y: str, z: str, x_values: Sequence | Non
     return pv.agg(F.first(z))
 
 
-def grid_mesh(long: DataFrame, x: str, y: str, max_axis: int = 100_000) -> DataFrame:
-    """Every (x, y) combination of the distinct axis values.
+def grid_mesh(long: DataFrame, x: str, y: str, x_block: int = 10_000, y_block: int = 1_000) -> DataFrame:
+    """Every (x, y) combination of the distinct axis values, null included.
 
-    The x axis is gathered by a scalar subquery into one array (size checked,
-    so the broadcast value is bounded) and exploded against the distinct y rows.
+    Both axes are dealt to blocks by hash, as many as their sizes ask for. The values of an x block are
+    one array; an array meets the y values of one block by an equi-join on (x block, y block) and is
+    exploded there, so a task holds about ``x_block`` values at a time whatever the size of the axes.
     """
-    xs = long.select(x).distinct().agg(F.sort_array(F.collect_list(x)).alias("xs"))
-    xs_checked = xs.select(F.when(F.size("xs") <= max_axis, F.col("xs"))
-                           .otherwise(F.raise_error(F.lit("grid_mesh: axis too large")))).scalar()
-    ys = long.select(y).distinct()
-    return ys.select(F.explode(xs_checked).alias(x), y)
+    def blocks(axis, size):
+        n = axis.agg(F.floor(F.count(F.lit(1)) / size).cast("int").alias("n")).scalar()
+        return n, F.pmod(F.xxhash64(axis.columns[0]), n + 1).cast("int")
+
+    xs, ys = long.select(F.col(x).alias("_x")).distinct(), long.select(F.col(y).alias("_y")).distinct()
+    (nx, bx), (ny, by) = blocks(xs, x_block), blocks(ys, y_block)
+    arrays = xs.select("_x", bx.alias("_bx")).groupBy("_bx").agg(F.collect_list(F.struct("_x")).alias("_xs"))
+    left = arrays.select("_bx", "_xs", F.explode(F.sequence(F.lit(0), ny)).alias("_by"))
+    right = ys.select("_y", by.alias("_by")).select("_y", "_by", F.explode(F.sequence(F.lit(0), nx)).alias("_bx"))
+    met = right.join(left, ["_bx", "_by"]).select("_y", F.explode("_xs").alias("_c"))
+    return met.select(F.col("_c._x").alias(x), F.col("_y").alias(y))

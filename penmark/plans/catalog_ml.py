@@ -279,11 +279,14 @@ def q_load_model(spark, d):
     return both.select("item_id", "first", "reloaded", (F.col("first") == F.col("reloaded")).alias("same"))
 
 
-@query("assemble_features")
+@query("assemble_features", f"""WITH {S.metrics_cte()},
+f AS (SELECT doc_id, {S.metric_columns()} FROM m WHERE len(lens) > 0)
+{" UNION ALL ".join(f"SELECT doc_id, {i} AS position, {c}::DOUBLE AS value FROM f" for i, c in enumerate(M.FEATURES))}""")
 def q_assemble_features(spark, d):
+    """The assembled vectors, a row for each component."""
     m = metric_scalars(metrics(spark, d))
-    v = FE.assemble_features(m, M.FEATURES)
-    return ML.as_arrays(v.select("doc_id", "features"))
+    v = ML.as_arrays(FE.assemble_features(m, M.FEATURES))
+    return v.select("doc_id", F.posexplode("features").alias("position", "value"))
 
 
 @query("coef_density")

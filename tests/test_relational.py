@@ -51,6 +51,16 @@ def test_grid_pivot_and_mesh(spark):
     wide = {r["y"]: (r["1"], r["2"]) for r in M.grid_pivot(long, "x", "y", "z").collect()}
     assert wide == {2: (12.0, 22.0), 3: (13.0, 23.0), 4: (14.0, 24.0)}
     assert M.grid_mesh(long, "x", "y").count() == 6
+
+
+def test_grid_mesh_in_blocks(spark):
+    """Axes of several blocks, null among their values, and an empty table."""
+    long = spark.createDataFrame([(i % 23, f"y{i % 41}") for i in range(1000)] + [(None, "y0"), (5, None)], "x int, y string")
+    want = {(x, y) for x in [*range(23), None] for y in [*(f"y{i}" for i in range(41)), None]}
+    for sizes in ({}, {"x_block": 4, "y_block": 7}):
+        got = M.grid_mesh(long, "x", "y", **sizes).collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert M.grid_mesh(long.limit(0), "x", "y").count() == 0
     dup = long.unionByName(long.limit(1))
     with pytest.raises(Exception):
         M.grid_pivot(dup, "x", "y", "z").collect()
