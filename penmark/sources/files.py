@@ -29,6 +29,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.globStatus(p)) and len(fs.globStatus(p)) > 0
 
 
+def file_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The files that a pattern names, in order."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().toString() for s in fs.globStatus(p) or [])
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a scratch table that this session wrote and reads no more."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

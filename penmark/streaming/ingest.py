@@ -14,6 +14,10 @@ With ``ledger_dir`` a batch doesn't read the store. The ledger holds the stored
 and a batch reads those buckets that its own URLs fall into. A batch first leaves a mark, then appends to
 the store, then to the ledger. A batch that finds its own mark is a replay after a failure: only then is the store read, once.
 The ledger is filled from the store when it is first used; from then on only the stream may write to the store.
+
+A batch adds a file to each bucket it hits. Buckets with more than ``COMPACT_FILES`` files are rewritten after the batch
+that makes them so: a file of all their URLs is added first, then the old ones go. As a URL may be in the ledger twice, a
+failure between these steps leaves a ledger that is as good as before.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from penmark.sources.files import ARTICLE, path_exists, read_articles_jsonl
+from penmark.sources.files import ARTICLE, file_paths, path_exists, read_articles_jsonl, remove_path
 
 
 def _stored_urls(spark: SparkSession, store_dir: str, store_format: str) -> DataFrame:
@@ -35,6 +39,7 @@ def _stored_urls(spark: SparkSession, store_dir: str, store_format: str) -> Data
 
 COLUMNS = ["url", "author", "headline", "body"]
 LEDGER_BUCKETS = 64   # default of a new ledger; more for large stores and small batches
+COMPACT_FILES = 16    # files a bucket may have
 
 
 def _bucket(buckets: int) -> Column:
@@ -66,14 +71,39 @@ def seed_ledger(spark: SparkSession, store_dir: str, ledger_dir: str, store_form
     return buckets
 
 
-def ledger_urls(batch: DataFrame, ledger_dir: str, buckets: int) -> DataFrame:
-    """The stored URLs of the buckets that the batch's URLs fall into; no other bucket is listed or read."""
-    spark = batch.sparkSession
-    hit = sorted(r[0] for r in batch.select(_bucket(buckets)).distinct().collect())
-    paths = f"{ledger_dir}/urls/bucket={{{','.join(map(str, hit))}}}"
-    if not hit or not path_exists(spark, paths):
+def hit_buckets(batch: DataFrame, buckets: int) -> list[int]:
+    """The buckets that the batch's URLs fall into."""
+    return sorted(r[0] for r in batch.select(_bucket(buckets)).distinct().collect())
+
+
+def _folders(ledger_dir: str, hit: list[int]) -> str:
+    return f"{ledger_dir}/urls/bucket={{{','.join(map(str, hit))}}}"
+
+
+def ledger_urls(spark: SparkSession, ledger_dir: str, hit: list[int]) -> DataFrame:
+    """The stored URLs of the buckets ``hit``; no other bucket is listed or read."""
+    if not hit or not path_exists(spark, _folders(ledger_dir, hit)):
         return spark.createDataFrame([], "url string")
-    return spark.read.schema("url string").parquet(paths)
+    return spark.read.schema("url string").parquet(_folders(ledger_dir, hit))
+
+
+def compact_ledger(spark: SparkSession, ledger_dir: str, buckets: int, hit: list[int] | None = None,
+                   max_files: int | None = None) -> list[int]:
+    """Make one file of each bucket (of ``hit``, or of all) that has more than ``max_files``; returns these buckets.
+
+    Only the ledger's one writer may call it, between batches.
+    """
+    hit = list(range(buckets)) if hit is None else hit
+    files: dict[int, list[str]] = {}
+    for path in file_paths(spark, f"{_folders(ledger_dir, hit)}/part-*") if hit else []:
+        files.setdefault(int(path.rsplit("/bucket=", 1)[1].split("/")[0]), []).append(path)
+    full = {b: paths for b, paths in files.items() if len(paths) > (max_files or COMPACT_FILES)}
+    old = [path for paths in full.values() for path in paths]
+    if old:
+        _ledger_append(spark.read.schema("url string").parquet(*old).distinct(), ledger_dir, buckets)
+        for path in old:
+            remove_path(spark, path)
+    return sorted(full)
 
 
 def ingest_batch(batch: DataFrame, mark: str, store_dir: str, ledger_dir: str, buckets: int, store_format: str = "json") -> None:
@@ -84,11 +114,13 @@ def ingest_batch(batch: DataFrame, mark: str, store_dir: str, ledger_dir: str, b
     if not replay:
         spark.range(1).write.parquet(path)
     once = batch.dropDuplicates(["url"]).select(*COLUMNS).persist()
-    new = _absent(once, ledger_urls(once, ledger_dir, buckets))
+    hit = hit_buckets(once, buckets)
+    new = _absent(once, ledger_urls(spark, ledger_dir, hit))
     fresh = _absent(new, _stored_urls(spark, store_dir, store_format)) if replay else new
     fresh.write.mode("append").format(store_format).save(store_dir)
     _ledger_append(new, ledger_dir, buckets)
     once.unpersist()
+    compact_ledger(spark, ledger_dir, buckets, hit)
 
 
 def stream_ingest(spark: SparkSession, source_dir: str, store_dir: str, checkpoint_dir: str,

@@ -71,3 +71,50 @@ def test_empty_batch(spark, dirs):
     n = ST.seed_ledger(spark, store, ledger)
     ST.ingest_batch(articles(spark, "x").filter(F.lit(False)), "q-0", store, ledger, n)
     assert urls(spark, store) == ["u"]
+
+
+def files(ledger):
+    out = {}
+    for f in Path(ledger, "urls").glob("bucket=*/part-*"):
+        out.setdefault(f.parent.name, []).append(f.name)
+    return out
+
+
+def ledger_rows(spark, ledger):
+    return sorted(str(r["url"]) for r in spark.read.schema("url string").parquet(f"{ledger}/urls").collect())
+
+
+def test_full_buckets_become_one_file(spark, dirs, monkeypatch):
+    _, store, _, ledger = dirs
+    monkeypatch.setattr(ST, "COMPACT_FILES", 2)
+    n = ST.seed_ledger(spark, store, ledger, buckets=2)
+    for i in range(5):
+        ST.ingest_batch(articles(spark, *[f"u{j}" for j in range(4 * i, 4 * i + 8)], None), f"q-{i}", store, ledger, n)
+        assert all(len(x) <= 2 for x in files(ledger).values())
+    want = ["None", *sorted(f"u{j}" for j in range(24))]
+    assert urls(spark, store) == want and ledger_rows(spark, ledger) == want
+    assert ST.compact_ledger(spark, ledger, n, max_files=100) == []
+    assert ST.compact_ledger(spark, ledger, n, hit=[]) == []
+
+
+def test_failure_while_compacting_loses_no_url(spark, dirs, monkeypatch):
+    """Old files are removed last; a URL that is in the ledger twice changes nothing."""
+    _, store, _, ledger = dirs
+    n = ST.seed_ledger(spark, store, ledger, buckets=1)
+    for i in range(4):
+        ST.ingest_batch(articles(spark, f"u{i}"), f"q-{i}", store, ledger, n)
+    left = []
+    with monkeypatch.context() as m:
+        def fails_second(s, path, real=ST.remove_path):
+            left.append(path)
+            if len(left) == 2:
+                raise OSError("lost")
+            real(s, path)
+        m.setattr(ST, "remove_path", fails_second)
+        with pytest.raises(OSError):
+            ST.compact_ledger(spark, ledger, n, max_files=1)
+    assert set(ledger_rows(spark, ledger)) == {f"u{i}" for i in range(4)}
+    ST.ingest_batch(articles(spark, "u0", "u3", "u4"), "q-4", store, ledger, n)
+    assert urls(spark, store) == [f"u{i}" for i in range(5)]
+    assert ST.compact_ledger(spark, ledger, n, max_files=1) == [0]
+    assert ledger_rows(spark, ledger) == [f"u{i}" for i in range(5)] and len(files(ledger)["bucket=0"]) == 1
