@@ -13,6 +13,7 @@ SF = "/root/testdata/sf0.001"
 FAST = ["article_metrics", "longest_sentence_text", "sentence_length_histogram", "balanced_sample", "grid_pivot",
         "top_bigrams", "tfidf_unsmoothed", "tfidf_sublinear", "chi2_select", "hashed_vectors",
         "extract_article_fields", "upsert_url_index", "lemma_join", "strip_message_noise", "ascii_fold",
+        "grid_mesh", "assemble_features", "knn_text", "stream_ingest",
         "multinomial_nb", "gaussian_nb", "split_sentences", "append_articles", "knn", "classification_report", "informative_features", "read_url_index"]
 
 
