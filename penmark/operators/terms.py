@@ -1,9 +1,9 @@
 """Term statistics: top terms, bigrams, vocabulary counts, corpus sizes.
 
 Per-document work builds pairs with array expressions inside the row (no
-window, no self-join); counting shuffles on (doc, term) with partial
-aggregation, and the per-document top-k is a ``row_number() <= k`` window that
-Spark limits per group before the shuffle.
+window, no self-join). The word arrays are dealt out by document once; the
+counts of (doc, term) and the per-document top-k, a ``row_number() <= k``
+window, need no exchange after that, so what is shuffled is the text's size.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ def _words(metrics: DataFrame, id_col: str, stopwords: Iterable[str] | None) ->
     if stopwords is not None:
         stop = list(stopwords)
         words = F.filter(words, lambda w: ~w.isin(stop))
-    return metrics.select(id_col, words.alias("words"))
+    return metrics.select(id_col, words.alias("words")).repartition(id_col)
 
 
 def top_terms(metrics: DataFrame, n: int = 10, id_col: str = "doc_id",
