@@ -2,8 +2,10 @@
 
 import random
 
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from penmark.operators import sparse_linear as SL
 from penmark.operators import terms as TM
 from penmark.operators import trees as TR
 
@@ -32,3 +34,10 @@ def test_trees_no_deeper_than_the_grid_score_alike(spark):
         nodes = TR.grow(cells, rows, local, max_depth=3).nodes
         assert nodes.agg(F.max(F.length("node"))).first()[0] == 3
         assert scores(nodes) == whole
+
+
+def test_rows_of_forty_eight_million_class_cells_stay_in_one_part(spark):
+    df = spark.createDataFrame([(i, Vectors.sparse(9, [i % 9], [1.0]), float(i % 2)) for i in range(20)], ["doc_id", "features", "label_idx"])
+    rows = SL._data(df, "features", "label_idx", "doc_id")
+    parts = lambda classes: SL._dealt(rows, classes, "features", F.col("key"), 1)[3]
+    assert (parts(1_200_000), parts(1_200_001)) == (1, 2)   # 40 cells, the bias's included
