@@ -8,8 +8,8 @@ the pair is unwound along the tokens' last merges, and it is incompatible if at
 stage the touching parts would have merged earlier. Only the words with a failing pair
 undergo exact merging by rank.
 
-Every worker keeps the encodings of the pieces it met in a table of at most
-``CACHE_PIECES`` entries that is cut back when full: memory is bounded, results don't
+A task keeps the encodings of the pieces it met in a table of at most ``CACHE_PIECES``
+entries that is cut back when full and emptied at its end: memory is bounded, results don't
 depend on it. Texts are encoded whole; a very long text is worked off in slices of its
 words. The vocabulary file (a path) is read by the driver and broadcast: its size is that
 of a vocabulary, whatever the input.
@@ -37,6 +37,7 @@ LONG_PIECE = 1 << 10     # longer pieces are encoded anew each time
 LONG_TEXT = 1 << 20      # characters; longer texts are cut into pieces step by step
 SLICE = 1 << 16          # pieces of a step
 OUT_BYTES = 4 << 20      # of a slice of a batch
+WORD_BLOCK = 1 << 13     # distinct words encoded together: bounds the proposals held at a time
 
 # The word pattern of the byte-level tokenizer, white space spelled out.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -62,6 +63,7 @@ class Vocabulary:
         spec = json.loads(data)
         vocab, alphabet = spec["model"]["vocab"], byte_alphabet()
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        self.cache: dict[str, bytes] = {}
         as_bytes = {t: bytes(alphabet[c] for c in t) for t in vocab if t not in self.special}
         self.size = 1 + max([*vocab.values(), *self.special.values()])
         self.token_bytes = [b""] * self.size
@@ -104,7 +106,6 @@ class Vocabulary:
         self.match.make_automaton()
         self.pattern = regex.compile(PATTERN)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.cache: dict[str, bytes] = {}
 
     def rank(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """The number of the merge of x and y, or the number of merges if there is none."""
@@ -188,7 +189,10 @@ class Vocabulary:
         parts = [(" " + p,) if p.isalpha() else   # letters alone are one word
                  self.pattern.findall(p[1:] if p[:1] == " " else p if p[:1] == "\n" else " " + p) for p in pieces]
         words = list(set(chain.from_iterable(parts)))
-        known = dict(zip(words, self.encode_words(words))) if words else {}
+        known = {}
+        for k in range(0, len(words), WORD_BLOCK):
+            block = words[k:k + WORD_BLOCK]
+            known.update(zip(block, self.encode_words(block)))
         return {p: known[w[0]] if len(w) == 1 else b"".join([known[x] for x in w]) for p, w in zip(pieces, parts)}
 
     def pieces(self, text: str) -> Iterator[list[str]]:
@@ -262,6 +266,12 @@ def _vocabulary(shared, encoder: bool = True) -> Vocabulary:
     return _LOADED[key]
 
 
+def _forget() -> None:
+    """Empty the tables of pieces: an idle worker would keep them beside the stages that follow."""
+    for v in _LOADED.values():
+        v.cache = {}
+
+
 class _Share:
     """A broadcast with its number, which the worker keeps its tables by."""
 
@@ -292,8 +302,8 @@ def _slices(batch: pa.RecordBatch, column: int, unit: int) -> Iterator[pa.Record
             yield batch.slice(a, b - a)
 
 
-def _map_column(df: DataFrame, source: str, unit: int, name: str, kind: T.DataType, run) -> DataFrame:
-    """``df`` with column ``name`` (replaced if there is one): ``run(batch)`` of (others, source) in slices.
+def _map_column(df: DataFrame, source: str, unit: int, name: str, kind: T.DataType, run, done=None) -> DataFrame:
+    """``df`` with column ``name`` (replaced if there is one): ``run(batch)`` of (others, source) in slices; ``done()`` ends a task.
 
     The other columns travel in a struct, so that their names don't matter.
     """
@@ -305,6 +315,8 @@ def _map_column(df: DataFrame, source: str, unit: int, name: str, kind: T.DataTy
         for whole in batches:
             for b in _slices(whole, 1, unit):
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), run(b.column(1))], names=["o", "s", "n"])
+        if done:
+            done()
 
     out = packed.mapInArrow(go, schema)
     return out.select(*[(F.col("s") if c == source else F.col(f"o.`{c}`")).alias(c) for c in df.columns if c != name],
@@ -320,7 +332,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids_col
         offsets = np.cumsum([0, *(len(g) // 4 for g in got)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(got), np.int32)))
 
-    return _map_column(docs, text_col, 1, ids_col, T.ArrayType(T.IntegerType()), run)
+    return _map_column(docs, text_col, 1, ids_col, T.ArrayType(T.IntegerType()), run, _forget)
 
 
 def decode_documents(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

@@ -257,6 +257,21 @@ def test_long_texts_and_a_full_table(vocabulary, library, monkeypatch):
         assert np.frombuffer(vocabulary.encode_batch([text, "a b"])[0], np.int32).tolist() == want
 
 
+def test_words_are_encoded_in_bounded_blocks_and_forgotten(vocabulary, library, monkeypatch):
+    from penmark.llm import bpe_speculative
+    sizes, encode = [], vocabulary.encode_words
+    monkeypatch.setattr(bpe_speculative, "WORD_BLOCK", 5)
+    monkeypatch.setattr(bpe_speculative, "_LOADED", {"k": vocabulary})
+    monkeypatch.setattr(vocabulary, "encode_words", lambda words: sizes.append(len(words)) or encode(words))
+    vocabulary.cache = {}
+    text = " ".join(fuzz(60))
+    want = library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(vocabulary.encode_batch([text])[0], np.int32).tolist() == want
+    assert len(sizes) > 1 and max(sizes) <= 5 and vocabulary.cache
+    bpe_speculative._forget()
+    assert not vocabulary.cache
+
+
 def test_encode_and_decode_documents(spark, library):
     texts = [None, "", "Hello world\n", "Hello world\n", "naïve 🙂<|endoftext|>"]
     some = docs(spark, texts).withColumn("ids", F.lit("mine")).withColumn("a.b", F.lit(1))
