@@ -1,5 +1,6 @@
 """Aggregate classifiers, evaluation tables and the parameter-mixing rules on toy sets."""
 
+import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -149,3 +150,23 @@ def test_mixing_ends_when_nothing_changes(spark):
     data = spark.createDataFrame([(i, Vectors.sparse(4, [i % 2], [1.0]), float(i % 2)) for i in range(12)], ["doc_id", "features", "label_idx"])
     few, many = (SL.fit(data, 2, "perceptron", epochs=e, parts=3).array(4) for e in (4, 50))
     assert (few == many).all() and (few != 0).any()
+
+
+def test_logistic_regression_gathers_its_rows(spark, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+
+    seen, fit = [], LogisticRegression._fit
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, d: seen.append(d.rdd.getNumPartitions()) or fit(self, d))
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.createDataFrame([(Vectors.sparse(4, [i % 3, 3], [1.0, 0.1 * (i % 7)]), float(i % 2)) for i in range(120)], ["features", "label"])
+    df = df.repartition(3 * cores)
+    scores = []
+    for kind in (ML.GatheredLogisticRegression, LogisticRegression):
+        lr = kind(maxIter=5)
+        grid = ParamGridBuilder().addGrid(lr.regParam, [1e-3, 1e-1]).build()
+        scores.append(TrainValidationSplit(estimator=lr, estimatorParamMaps=grid, evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
+                                           seed=23).fit(df).validationMetrics)
+    assert max(seen[:3]) <= cores < min(seen[3:])
+    assert np.allclose(scores[0], scores[1])
