@@ -172,7 +172,7 @@ class TextModel:
     def predict(self, df: DataFrame, text_col: str = "text", out_col: str = "predicted") -> DataFrame:
         """``df`` with the predicted class, one row for each of its rows; null from a model of no rows."""
         rows = _keyed(df)
-        weights = FE.tfidf(_counts(rows, text_col, self.options), self.tables["idf"], id_col=ID)
+        weights = FE.transform_tfidf(rows, self.tables["idf"], ID, text_col, tokens=_tokens(F.col(text_col), self.options))
         pred = self.rule.predict(self.tables, rows.select(ID), written(weights, "model-weights"))
         return rows.join(pred.withColumnRenamed("prediction", out_col), ID, "left").drop(ID)
 
@@ -187,20 +187,15 @@ def _tokens(text: Column, options: dict) -> Column:
     return T.filter_tokens(tokens, options["stopwords"])
 
 
-def _counts(rows: DataFrame, text_col: str, options: dict) -> DataFrame:
-    return FE.term_counts(rows, ID, text_col, tokens=_tokens(F.col(text_col), options))
-
-
 def fit_text_model(df: DataFrame, classifier=MultinomialNB, text_col: str = "text", label_col: str = "lang", lower: bool = True,
                    strip: bool = True, stopwords: list[str] | None = None) -> TextModel:
     """Vocabulary, idf and the classifier's tables, each written once under the shared folder."""
     rule = as_rule(classifier)
     options = {"lower": lower, "strip": strip, "stopwords": list(lexicon.ENGLISH_STOP_WORDS if stopwords is None else stopwords)}
     rows = _keyed(df.filter(F.col(label_col).isNotNull()).select(text_col, F.col(label_col).cast("string").alias("class")))
-    tf = written(_counts(rows, text_col, options), "model-counts")
-    n = rows.select(F.count(F.lit(1))).scalar()
-    idf = written(FE.document_frequency(tf, n, smooth=True).select("term", "idf"), "model-idf")
-    weights = written(FE.tfidf(tf, idf, id_col=ID), "model-weights")
+    weights, idf = FE.fit_tfidf(rows, ID, text_col, tokens=_tokens(F.col(text_col), options))
+    idf = written(idf.select("term", "idf"), "model-idf")
+    weights = written(weights, "model-weights")
     tables = rule.fit(weights, rows.select(ID, "class"))
     return TextModel(rule, {"idf": idf} | {k: written(t, f"model-{k}") for k, t in tables.items()}, options)
 
